@@ -146,5 +146,10 @@ def archive_totals(rows: DataFrame) -> DataFrame:
 
 
 def message_table(messages: DataFrame) -> DataFrame:
-    """Messages as tables show them, with the deviation to two decimals."""
-    return messages.withColumn("deviation", F.round(F.col("observed_value") - F.col("expected_value"), 2))
+    """Messages as tables show them, with the deviation printed to two decimals.
+
+    The number format rounds the exact binary value, as printf does; round() would
+    round its shortest decimal text.
+    """
+    shown = F.expr("format_number(observed_value - expected_value, '0.00')")
+    return messages.withColumn("deviation", shown.cast("double"))

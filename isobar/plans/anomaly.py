@@ -24,46 +24,40 @@ def _flags(spark: SparkSession, sf_dir: str) -> DataFrame:
     return anomalies.flag_anomalies(live, reference(spark, sf_dir), carry=("reading_id",))
 
 
-_QUOTIENTS = [
-    "expected_temperature", "temp_deviation", "expected_windspeed", "wind_deviation", "temp_std", "wind_std",
-    "expected_alert_probability",
-]
-
-
 @query(
     over(
         FLAGS,
-        f"""
+        """
 select reading_id, strftime(event_time, '%Y-%m-%d %H:%M:%S') as event_time, city, country, year, month,
-       observed_temperature, observed_windspeed, temp_median, wind_median,
-       {", ".join(f"round({c}, 6) as {c}" for c in _QUOTIENTS)},
-       temp_anomaly, wind_anomaly, alert_anomaly, is_anomaly, anomaly_type
+       observed_temperature, expected_temperature, temp_deviation, round(temp_std, 6) as temp_std, temp_median,
+       observed_windspeed, expected_windspeed, wind_deviation, round(wind_std, 6) as wind_std, wind_median,
+       expected_alert_probability, temp_anomaly, wind_anomaly, alert_anomaly, is_anomaly, anomaly_type
 from flags""",
     )
 )
 def anomaly_flags(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _flags(spark, sf_dir).select(
         "reading_id", second_text("event_time"), "city", "country", "year", "month",
-        "observed_temperature", "observed_windspeed", "temp_median", "wind_median",
-        *(F.round(c, 6).alias(c) for c in _QUOTIENTS),
-        "temp_anomaly", "wind_anomaly", "alert_anomaly", "is_anomaly", "anomaly_type",
+        "observed_temperature", "expected_temperature", "temp_deviation", F.round("temp_std", 6).alias("temp_std"),
+        "temp_median", "observed_windspeed", "expected_windspeed", "wind_deviation",
+        F.round("wind_std", 6).alias("wind_std"), "wind_median", "expected_alert_probability", "temp_anomaly", "wind_anomaly", "alert_anomaly", "is_anomaly", "anomaly_type",
     )
 
 
-MESSAGE_COLUMNS = "city, country, variable, observed_value, round(expected_value, 6) as expected_value, anomaly_type"
+MESSAGE_COLUMNS = "city, country, variable, observed_value, expected_value, anomaly_type"
 
 
 @query(
     over(
         FLAGS,
         f"""
-select reading_id, {MESSAGE_COLUMNS}, round(observed_value - expected_value, 2) as deviation from messages""",
+select reading_id, {MESSAGE_COLUMNS}, cast(printf('%.2f', observed_value - expected_value) as double) as deviation
+from messages""",
     )
 )
 def anomaly_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
     messages = anomalies.anomaly_messages(_flags(spark, sf_dir), carry=("reading_id",))
-    shown = anomalies.message_table(messages)
-    return shown.drop("event_time").withColumn("expected_value", F.round("expected_value", 6))
+    return anomalies.message_table(messages).drop("event_time")
 
 
 @query(

@@ -22,19 +22,16 @@ def _month_case(column: str, locale: str) -> str:
     return f"case {column} " + " ".join(f"when {i} then '{n}'" for i, n in enumerate(MONTH_NAMES[locale], 1)) + " end"
 
 
-def _rounded(df: DataFrame, prefixes: tuple[str, ...] = ("avg_", "std_", "alert_probability")) -> DataFrame:
-    """Round what is a quotient, the only values two engines may print differently."""
-    return df.withColumns({c: F.round(c, 6) for c in df.columns if c.startswith(prefixes)})
-
-
-def _rounded_sql(names: str) -> str:
-    return ", ".join(f"round({name}, 6) as {name}" for name in names.split())
+def _rounded(df: DataFrame) -> DataFrame:
+    """Round deviations, whose last bits depend on the order rows are combined in."""
+    return df.withColumns({name: F.round(name, 6) for name in ("std_temperature", "std_windspeed")})
 
 
 _AVERAGES = (
-    "avg_temperature avg_temperature_max avg_temperature_min avg_windspeed avg_windspeed_max avg_precipitation "
-    "alert_probability"
+    "avg_temperature, avg_temperature_max, avg_temperature_min, avg_windspeed, avg_windspeed_max, "
+    "avg_precipitation, alert_probability"
 )
+_DEVIATIONS = "round(std_temperature, 6) as std_temperature, round(std_windspeed, 6) as std_windspeed"
 _COUNTS = (
     "days_with_alert, total_days, wind_level_1_days, wind_level_2_days, heat_level_1_days, heat_level_2_days, "
     "total_precipitation"
@@ -223,16 +220,16 @@ def records_top3(spark: SparkSession, sf_dir: str) -> DataFrame:
         SEASONAL,
         f"""
 select country, city, latitude, longitude, month, {_month_case("month", "fr")} as month_name,
-       {_COUNTS}, {_rounded_sql(_AVERAGES)} from seasonal""",
+       {_COUNTS}, {_AVERAGES} from seasonal""",
     )
 )
 def seasonal_profile(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _rounded(profiles.named_months(profiles.seasonal_profile(tables.daily(spark, sf_dir))))
+    return profiles.named_months(profiles.seasonal_profile(tables.daily(spark, sf_dir)))
 
 
 _ENRICHED_COLUMNS = (
     f"country, city, latitude, longitude, year, month, {_COUNTS}, {_EXTREMES}, "
-    f"{_rounded_sql(_AVERAGES + ' std_temperature std_windspeed')}"
+    f"{_AVERAGES}, {_DEVIATIONS}"
 )
 
 
@@ -342,15 +339,14 @@ def latest_profile(spark: SparkSession, sf_dir: str) -> DataFrame:
     over(
         ENRICHED,
         """
-select country, city, month, year, round(avg_temperature, 6) as avg_temperature,
-       round(alert_probability, 6) as alert_probability
+select country, city, month, year, avg_temperature, alert_probability
 from (select *, row_number() over (partition by country, city, month order by year, latitude, longitude) as rn
       from enriched) where rn = 1""",
     )
 )
 def profile_reference(spark: SparkSession, sf_dir: str) -> DataFrame:
     picked = profiles.reference_profile(profiles.enriched_profile(tables.daily(spark, sf_dir)))
-    return _rounded(picked.select("country", "city", "month", "year", "avg_temperature", "alert_probability"))
+    return picked.select("country", "city", "month", "year", "avg_temperature", "alert_probability")
 
 
 @query(

@@ -98,4 +98,4 @@ def stream_anomaly_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
         sent.withColumn("timestamp", F.lit(None).cast("timestamp")), schemas.ANOMALY_MESSAGE
     ).drop("message_key", "received_at")
     timed = readings.with_event_timestamp(messages).withColumn("event_time", second_text("event_timestamp"))
-    return timed.drop("event_timestamp").withColumn("expected_value", F.round("expected_value", 6))
+    return timed.drop("event_timestamp")
