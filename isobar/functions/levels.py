@@ -27,17 +27,22 @@ class Scale:
     second: float
     top_closed: bool = False
 
-    def grade(self, value: Column | str, nan_is_missing: bool = False) -> Column:
-        """Grade as int; a missing value grades 0, NaN sorts above everything."""
+    def _steps(self, value: Column | str, nan_is_missing: bool, outcomes: tuple) -> Column:
+        # Plain branches with literal results: Catalyst folds later tests on the
+        # outcome into them, so a filter on the level becomes a filter on the value.
         value = _col(value)
         if nan_is_missing:
-            value = F.when(~F.isnan(value), value)
+            value = F.nullif(value, F.lit(float("nan")))
+        low, middle, high = outcomes
         top = value >= self.second if self.top_closed else value > self.second
-        return F.coalesce((value >= self.first).cast("int") + top.cast("int"), F.lit(0))
+        return F.when(top, high).when(value >= self.first, middle).otherwise(low)
+
+    def grade(self, value: Column | str, nan_is_missing: bool = False) -> Column:
+        """Grade as int; a missing value grades 0, NaN sorts above everything."""
+        return self._steps(value, nan_is_missing, (0, 1, 2))
 
     def level(self, value: Column | str, nan_is_missing: bool = False) -> Column:
-        grade = self.grade(value, nan_is_missing)
-        return F.concat(F.lit("level_"), grade.cast("string"))
+        return self._steps(value, nan_is_missing, (CALM, *RAISED))
 
 
 # Cut points in m/s and degrees Celsius.

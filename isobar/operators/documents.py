@@ -85,9 +85,13 @@ def enriched_documents(profile: DataFrame, checked: DataFrame, now: Column | Non
     )
 
 
-def unfold_enriched(documents: DataFrame) -> DataFrame:
-    """Monthly profile rows of enriched documents; months without a number are dropped."""
+def unfold_enriched(documents: DataFrame, carry: tuple[str, ...] = ()) -> DataFrame:
+    """Monthly profile rows of enriched documents; months without a number are dropped.
+
+    ``carry`` names document fields to repeat on every row.
+    """
     months = documents.select(
+        *carry,
         known("country").alias("country"),
         known("city").alias("city"),
         "year",
@@ -96,7 +100,8 @@ def unfold_enriched(documents: DataFrame) -> DataFrame:
         F.explode("monthly_profiles").alias("m"),
     )
     kept = months.where("m.month is not null and m.month <> 0")
-    return kept.select("country", "city", "year", "latitude", "longitude", "m.*").withColumn(
+    place = ("country", "city", "year", "latitude", "longitude")
+    return kept.select(*carry, *place, "m.*").withColumn(
         "alert_probability", F.coalesce("alert_probability", F.lit(0.0))
     )
 

@@ -25,7 +25,9 @@ def unfold_history(documents: DataFrame) -> DataFrame:
     """Daily rows of history documents.
 
     The parallel arrays are zipped by position; a shorter array gives nulls at its end,
-    days without a date are dropped, and an unnamed place is Unknown at 0, 0.
+    days without a date are dropped, and an unnamed place is Unknown at 0, 0. A document
+    without dates zips to null and unfolds to no rows; testing for it up front would be
+    pushed below the JSON parsing and parse every document twice.
     """
     series = F.arrays_zip(
         F.col("data.daily.time").alias("date"),
@@ -40,7 +42,7 @@ def unfold_history(documents: DataFrame) -> DataFrame:
         "latitude": F.lit(0.0),
         "longitude": F.lit(0.0),
     }
-    days = documents.where("data.daily.time is not null").select(
+    days = documents.select(
         *(F.coalesce(F.col(f"metadata.location.{name}"), default).alias(name) for name, default in place.items()),
         F.explode(series).alias("day"),
     )

@@ -34,14 +34,17 @@ def parse_messages(messages: DataFrame, schema: StructType, carry: Iterable[str]
     """Decode JSON payloads; a payload that is no JSON keeps its row with null fields.
 
     ``carry`` names message columns (offset, partition, ...) to keep beside the fields.
+    The decoded struct is unfolded by a generator rather than by field access: filters
+    on its fields then stay above the parsing, which would otherwise run once more for
+    every filter.
     """
-    decoded = messages.select(
+    body = F.from_json(F.col("value").cast("string"), schema)
+    return messages.select(
         F.col("key").cast("string").alias("message_key"),
         F.col("timestamp").alias("received_at"),
         *carry,
-        F.from_json(F.col("value").cast("string"), schema).alias("body"),
+        F.inline(F.array(body)),
     )
-    return decoded.select("message_key", "received_at", *carry, "body.*")
 
 
 def grade_alerts(readings: DataFrame, wind_unit: str = "m/s", nan_is_missing: bool = False) -> DataFrame:
@@ -96,12 +99,11 @@ def parse_flat_readings(messages: DataFrame, carry: Iterable[str] = ()) -> DataF
 
 def classify_messages(messages: DataFrame, required: str = "current_weather") -> DataFrame:
     """Tag every message: reading, other_json (valid JSON without a reading) or text."""
-    body = F.try_parse_json(F.col("value").cast("string"))
-    reading = F.try_variant_get(body, f"$.{required}", "variant")
-    return messages.withColumn(
-        "kind",
-        F.when(body.isNull(), "text").when(reading.isNull(), "other_json").otherwise("reading"),
-    )
+    # Projected on its own first, so that each payload is parsed once.
+    decoded = messages.withColumn("_body", F.try_parse_json(F.col("value").cast("string")))
+    reading = F.try_variant_get("_body", f"$.{required}", "variant")
+    kind = F.when(F.col("_body").isNull(), "text").when(reading.isNull(), "other_json").otherwise("reading")
+    return decoded.withColumn("kind", kind).drop("_body")
 
 
 def split_valid(messages: DataFrame) -> tuple[DataFrame, DataFrame]:

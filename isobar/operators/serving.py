@@ -2,16 +2,19 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from isobar.functions.levels import shown_level
 from isobar.functions.places import known
 from isobar.operators.ordinals import ordinal_in_group
 from isobar.operators.records import top_k_per_group
+from isobar.storage import materialise
 
 RETAINED = 1000
 CHART_POINTS = 1000
+# A day's rows are sorted within one task up to this many.
+ROWS_PER_TASK = 1_000_000
 
 
 def city_rows(df: DataFrame, country: str, city: str) -> DataFrame:
@@ -29,9 +32,9 @@ def locations(df: DataFrame) -> DataFrame:
 
 
 def latest_year(profiles: DataFrame) -> DataFrame:
-    """Rows of the newest year of every city."""
-    newest = profiles.groupBy("country", "city").agg(F.max("year").alias("year"))
-    return profiles.join(newest, ["country", "city", "year"], "left_semi")
+    """Rows of the newest year of every city; a city has twelve rows a year."""
+    newest = F.max("year").over(Window.partitionBy("country", "city"))
+    return profiles.withColumn("_newest", newest).where("year = _newest").drop("_newest")
 
 
 def newest(df: DataFrame, order: list[Column], limit: int) -> DataFrame:
@@ -69,9 +72,32 @@ def recent_levels(readings: DataFrame) -> DataFrame:
 def thin_series(df: DataFrame, keys: list[str], order: list[str], points: int = CHART_POINTS) -> DataFrame:
     """Keep every n-th row of each series, n = max(1, floor(rows / points)).
 
-    A series has between ``points`` and twice ``points`` rows left. Positions come from
-    ordinal_in_group, so one series holding most rows is still numbered by many tasks.
+    The first column of ``order`` is the day (or another value with few distinct ones
+    per series). Rows are first only counted per series and day, which tells where each
+    day starts in its series and whether it holds a row to keep at all. Only days that
+    do are read again and sorted, each on its own. Should one day be too large for a
+    task, its positions come from ordinal_in_group instead.
     """
-    numbered = ordinal_in_group(df, keys, order)
-    step = F.greatest(F.lit(1).cast("long"), F.floor(F.col("group_rows") / points))
-    return numbered.where(F.col("ordinal") % step == 0).drop("ordinal", "group_rows")
+    day, *rest = order
+    bucket = [*keys, day]
+    counted = df.groupBy(*bucket).agg(F.count(F.lit(1)).alias("_rows"))
+    series = Window.partitionBy(*keys)
+    earlier = series.orderBy(day).rowsBetween(Window.unboundedPreceding, -1)
+    placed = counted.withColumns(
+        {
+            "_before": F.coalesce(F.sum("_rows").over(earlier), F.lit(0)),
+            "_step": F.greatest(F.lit(1), F.floor(F.sum("_rows").over(series) / points)),
+        }
+    )
+    next_kept = F.col("_before") + F.pmod(-F.col("_before"), F.col("_step"))
+    kept_days = materialise(placed.where(next_kept < F.col("_before") + F.col("_rows")), "days").alias("k")
+    largest = kept_days.agg(F.max("_rows")).first()[0] or 0
+
+    same = [F.col(f"d.{name}").eqNullSafe(F.col(f"k.{name}")) for name in bucket]
+    candidates = df.alias("d").join(kept_days, same, "inner").select("d.*", "k._before", "k._step")
+    if largest <= ROWS_PER_TASK:
+        position = F.row_number().over(Window.partitionBy(*bucket).orderBy(*rest)) - 1
+        numbered = candidates.withColumn("ordinal", position)
+    else:
+        numbered = ordinal_in_group(candidates, bucket, rest)
+    return numbered.where((F.col("_before") + F.col("ordinal")) % F.col("_step") == 0).select(*df.columns)

@@ -11,6 +11,7 @@ from isobar.plans.registry import day_text, query
 from isobar.plans.views import COMPLETENESS, DAILY, ENRICHED, HISTORY, SEASONAL, over
 from isobar.schemas import ENRICHED_DOCUMENT, HISTORY_DOCUMENT
 from isobar.sources import tables
+from isobar.storage import materialise
 
 _DAY = [
     "country", "city", "latitude", "longitude", "temperature_mean", "temperature_max", "temperature_min",
@@ -382,19 +383,15 @@ from enriched left join quantiles using (country, city, year, month) join checke
 )
 def enriched_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Enriched profile documents sent as JSON messages, read back and unfolded."""
-    profile = profiles.full_profile(tables.daily(spark, sf_dir))
+    profile = materialise(profiles.full_profile(tables.daily(spark, sf_dir)), "profile")
     stored = documents.enriched_documents(profile, profiles.completeness(profile))
     back = documents.read_as(documents.document_messages(stored), ENRICHED_DOCUMENT)
-    months = documents.unfold_enriched(back)
-    status = back.select(
-        "country",
-        "city",
-        "year",
-        "validation.months_count",
-        F.array_join("validation.missing_months", ",").alias("missing_months"),
-        "validation_status",
-    )
-    return _rounded(months.join(status.distinct(), ["country", "city", "year"]))
+    months = documents.unfold_enriched(back, ("validation", "validation_status"))
+    checked = {
+        "months_count": F.col("validation.months_count"),
+        "missing_months": F.array_join("validation.missing_months", ","),
+    }
+    return _rounded(months.withColumns(checked).drop("validation"))
 
 
 @query(

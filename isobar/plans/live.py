@@ -14,6 +14,7 @@ from isobar.plans.views import MESSAGES, READINGS, over
 from isobar.sources import tables
 from isobar.sources.documents import unfold_alerts
 from isobar.sources.messages import first_messages
+from isobar.storage import scratch_path
 
 
 @query(
@@ -97,12 +98,12 @@ from transformed where wind_alert_level <> 'level_0' or heat_alert_level <> 'lev
     )
 )
 def alert_archive_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Alerts written as archive lines, then read back from their JSON text."""
+    """Alerts written as JSON lines and read back."""
     saved = F.lit("2024-02-01 00:00:00").cast("timestamp")
+    lines = scratch_path(spark, "alerts")
     entries = readings.alert_entries(tables.transformed(spark, sf_dir), saved)
-    lines = entries.select(F.to_json(F.struct("timestamp", "alert_data")).alias("line"))
-    read = lines.select(F.from_json("line", schemas.ALERT_ENTRY).alias("entry")).select("entry.*")
-    return unfold_alerts(read).select(
+    entries.select("timestamp", "alert_data").write.json(lines)
+    return unfold_alerts(spark.read.schema(schemas.ALERT_ENTRY).json(lines)).select(
         "country", "city", "temperature", "windspeed", "wind_alert_level", "heat_alert_level", "saved_timestamp"
     )
 
@@ -134,8 +135,8 @@ def _messages(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(over(MESSAGES, "select reading_id, kind from sent"))
 def quarantine_split(spark: SparkSession, sf_dir: str) -> DataFrame:
-    valid, quarantine = readings.split_valid(_messages(spark, sf_dir))
-    return valid.unionByName(quarantine).select(F.col("offset").alias("reading_id"), "kind")
+    tagged = readings.classify_messages(_messages(spark, sf_dir))
+    return tagged.select(F.col("offset").alias("reading_id"), "kind")
 
 
 ROUND_TRIP_SQL = """

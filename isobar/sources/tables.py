@@ -65,7 +65,7 @@ def as_readings(events: DataFrame) -> DataFrame:
         (user % 90).cast("double").alias("latitude"),
         (user % 180).cast("double").alias("longitude"),
         (F.floor("value").cast("double") / 2).alias("temperature"),
-        F.when(gauge != 13, gauge.cast("double") / 4).alias("windspeed"),
+        (F.nullif(gauge, F.lit(13)).cast("double") / 4).alias("windspeed"),
         code.alias("weathercode"),
     )
 
