@@ -79,6 +79,7 @@ def thin_series(df: DataFrame, keys: list[str], order: list[str], points: int =
     task, its positions come from ordinal_in_group instead.
     """
     day, *rest = order
+    rest = rest or [day]
     bucket = [*keys, day]
     counted = df.groupBy(*bucket).agg(F.count(F.lit(1)).alias("_rows"))
     series = Window.partitionBy(*keys)
