@@ -42,6 +42,8 @@ CURRENT_WEATHER = record(
     **same(NUMBER, "temperature windspeed winddirection"), weathercode=WHOLE, time=TEXT
 )
 
+CURRENT_RESPONSE = record(**_LOCATION, current_weather=CURRENT_WEATHER)
+
 RAW_READING = record(timestamp=TEXT, location=LOCATION, current_weather=CURRENT_WEATHER, source=TEXT)
 
 FLAT_READING = record(
