@@ -21,7 +21,9 @@ def ordinal_in_group(df: DataFrame, keys: list[str], order: list[str]) -> DataFr
     slice, and their running total is where the slice starts inside the group.
     """
     spread = materialise(df.withColumn("_tie", F.rand(7)), "spread")
-    ranged = spread.repartitionByRange(*keys, *order, "_tie").sortWithinPartitions(*keys, *order, "_tie")
+    # One slice per input split: their number grows with the data, and AQE keeps it.
+    slices = spread.rdd.getNumPartitions()
+    ranged = spread.repartitionByRange(slices, *keys, *order, "_tie").sortWithinPartitions(*keys, *order, "_tie")
     sliced = materialise(ranged.drop("_tie").withColumn("_at", F.monotonically_increasing_id()), "slices")
 
     slice_no = F.expr(f"shiftright(_at, {_SLICE_BITS})").alias("_slice")

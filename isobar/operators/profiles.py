@@ -186,6 +186,11 @@ def coverage(profile: DataFrame) -> DataFrame:
     return profile.agg(*measures)
 
 
+def sorted_profile(profile: DataFrame) -> DataFrame:
+    """Profiles in reading order: by place, then year if there are years, then month."""
+    return profile.orderBy(*(key for key in CITY_MONTH if key in profile.columns))
+
+
 def named_months(profile: DataFrame, locale: str = "fr") -> DataFrame:
     return profile.withColumn("month_name", month_name("month", locale))
 

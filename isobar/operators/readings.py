@@ -134,6 +134,13 @@ def reading_envelopes(responses: DataFrame, source: str, stamped_at: Column | No
     return keyed.select(location_key().alias("key"), F.to_json(envelope).alias("value"))
 
 
+def stamp_received(messages: DataFrame) -> DataFrame:
+    """Add when the row was received, and give rows without an event time that moment."""
+    now = F.current_timestamp()
+    event_time = F.coalesce(event_timestamp(messages), now)
+    return messages.withColumns({"received_at": now, "shown_time": event_time})
+
+
 def with_location_key(readings: DataFrame) -> DataFrame:
     return readings.withColumn("location_key", location_key())
 

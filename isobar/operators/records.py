@@ -10,16 +10,33 @@ CITY = ["country", "city"]
 _NEEDED = ["temperature_max", "temperature_min", "windspeed_max", "precipitation"]
 
 
-def top_k_per_group(df: DataFrame, keys: list[str], order: list[Column], k: int, rank: str = "rank") -> DataFrame:
-    """First ``k`` rows of each group in ``order``, numbered from 1.
+# Above this k, a group that many tasks contribute to is reduced in two steps.
+_SINGLE_STEP_K = 100
+_SALTS = 64
 
-    Spark limits every group to ``k`` rows before the shuffle as long as ``k`` is at
-    most spark.sql.optimizer.windowGroupLimitThreshold, so hot groups stay small.
-    """
+
+def _ranked(df: DataFrame, keys: list[Column | str], order: list[Column], k: int, rank: str) -> DataFrame:
     numbered = df.withColumn(rank, F.row_number().over(Window.partitionBy(*keys).orderBy(*order)))
     return numbered.where(F.col(rank) <= k)
 
 
+def top_k_per_group(
+    df: DataFrame, keys: list[str], order: list[Column], k: int, rank: str = "rank", salts: int | None = None
+) -> DataFrame:
+    """First ``k`` rows of each group in ``order``, numbered from 1.
+
+    Spark limits every group to ``k`` rows per task before the shuffle as long as ``k``
+    is at most spark.sql.optimizer.windowGroupLimitThreshold. For a large ``k`` and a
+    group present in every task that is still k rows times the number of tasks, so the
+    group is then reduced in ``salts`` parts first, each holding the rows of some tasks.
+    """
+    salts = (_SALTS if k > _SINGLE_STEP_K else 1) if salts is None else salts
+    if salts > 1:
+        salted = df.withColumn("_salt", F.spark_partition_id() % salts)
+        df = _ranked(salted, [*keys, "_salt"], order, k, "_part").drop("_salt", "_part")
+    return _ranked(df, keys, order, k, rank)
+
+
 def _latest(value: Column, *carried: str) -> Column:
     """Largest value; among equals the latest date, then the largest carried fields."""
     return F.max(F.struct(value.alias("value"), "date", *carried))

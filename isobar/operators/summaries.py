@@ -8,6 +8,8 @@ from pyspark.sql import functions as F
 from isobar.functions.levels import any_raised, raised
 from isobar.functions.places import known
 
+MATRIX_CODES = 1000
+
 
 def alert_distribution(readings: DataFrame) -> DataFrame:
     """Alerts per kind and level, as long rows (kind, level, alerts).
@@ -33,11 +35,15 @@ def weathercode_histogram(readings: DataFrame) -> DataFrame:
 def weathercode_matrix(readings: DataFrame, codes: list[int] | None = None) -> DataFrame:
     """Countries by codes, zero-filled; columns ``code_N`` in ascending code order.
 
-    Without ``codes`` the distinct codes are looked up first; weather codes run 0..99.
+    Without ``codes`` the distinct codes are looked up first. Weather codes run 0..99;
+    a feed with over a thousand different ones is refused rather than truncated.
     """
     histogram = weathercode_histogram(readings)
     if codes is None:
-        codes = sorted(row.weathercode for row in histogram.select("weathercode").distinct().collect())
+        found = histogram.select("weathercode").distinct().limit(MATRIX_CODES + 1).collect()
+        if len(found) > MATRIX_CODES:
+            raise ValueError(f"more than {MATRIX_CODES} weather codes, name the ones to show")
+        codes = [row.weathercode for row in found]
     cells = [
         F.coalesce(F.max(F.when(F.col("weathercode") == code, F.col("readings"))), F.lit(0)).alias(f"code_{code}")
         for code in sorted(codes)

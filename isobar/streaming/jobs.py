@@ -158,6 +158,15 @@ def start_anomaly_detector(
     return _run_batches(flat, checkpoint, trigger, "append", process)
 
 
+def late_rows(query: StreamingQuery) -> int:
+    """Rows the watermark has dropped, over the progress reports the query still keeps."""
+    return sum(
+        operator["numRowsDroppedByWatermark"]
+        for progress in query.recentProgress
+        for operator in progress["stateOperators"]
+    )
+
+
 def supervise(
     start: Callable[[], StreamingQuery], attempts: int, pause: float = 5.0, sleep: Callable[[float], None] = time.sleep
 ) -> None:
