@@ -37,6 +37,17 @@ def top_k_per_group(
     return _ranked(df, keys, order, k, rank)
 
 
+def top_k(df: DataFrame, order: list[Column], k: int) -> DataFrame:
+    """First ``k`` rows in ``order``: every task keeps its own k, then those are merged.
+
+    For a large ``k`` the merge is done in parts first, as in top_k_per_group.
+    """
+    if k > _SINGLE_STEP_K:
+        salted = df.withColumn("_salt", F.spark_partition_id() % _SALTS)
+        df = _ranked(salted, ["_salt"], order, k, "_part").drop("_salt", "_part")
+    return df.orderBy(*order).limit(k)
+
+
 def _latest(value: Column, *carried: str) -> Column:
     """Largest value; among equals the latest date, then the largest carried fields."""
     return F.max(F.struct(value.alias("value"), "date", *carried))

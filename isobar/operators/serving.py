@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from isobar.functions.levels import shown_level
 from isobar.functions.places import known
 from isobar.operators.ordinals import ordinal_in_group
-from isobar.operators.records import top_k_per_group
+from isobar.operators.records import top_k, top_k_per_group
 from isobar.storage import materialise
 
 RETAINED = 1000
@@ -39,7 +39,7 @@ def latest_year(profiles: DataFrame) -> DataFrame:
 
 def newest(df: DataFrame, order: list[Column], limit: int) -> DataFrame:
     """The newest ``limit`` rows, newest first: a top-k, not a full sort."""
-    return df.orderBy(*order).limit(limit)
+    return top_k(df, order, limit)
 
 
 def newest_per_location(

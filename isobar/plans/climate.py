@@ -142,13 +142,13 @@ def _record_sql(measure: str, direction: str) -> str:
 
 
 RECORDS_SQL = over(
-    DAILY,
-    f"""
-, ranked as (
+    f"""{DAILY},
+ranked as (
   select *, {_record_sql("temperature_max", "desc")} as hot, {_record_sql("temperature_min", "asc")} as cold,
          {_record_sql("windspeed_max", "desc")} as wind, {_record_sql("precipitation", "desc")} as rain
   from daily where windspeed_max is not null
-)
+)""",
+    """
 select country, city, any_value(latitude) as latitude, any_value(longitude) as longitude,
        max(date) filter (where hot = 1) as max_temp_date, max(temperature_max) as max_temperature,
        max(date) filter (where cold = 1) as min_temp_date, min(temperature_min) as min_temperature,
@@ -169,12 +169,7 @@ def climate_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.withColumns({name: day_text(name) for name in found.columns if name.endswith("_date")})
 
 
-@query(
-    over(
-        RECORDS_SQL.removeprefix("with ").strip().rsplit("\nselect country", 1)[0],
-        "select country" + RECORDS_SQL.rsplit("\nselect country", 1)[1],
-    )
-)
+@query(RECORDS_SQL)
 def record_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Records as stored documents, flattened again to compare them."""
     stored = documents.record_documents(_daily_records(spark, sf_dir))

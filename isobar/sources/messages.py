@@ -8,6 +8,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from isobar.operators.records import top_k
 from isobar.schemas import MESSAGE
 
 KINDS = ("kafka", "json", "parquet", "text")
@@ -53,4 +54,4 @@ def message_table(spark: SparkSession, kind: str, location: str, **options: str)
 def first_messages(messages: DataFrame, limit: int) -> DataFrame:
     """The first ``limit`` messages in log order whose payload is JSON."""
     readable = messages.where(F.try_parse_json("value").isNotNull())
-    return readable.orderBy("partition", "offset").limit(limit)
+    return top_k(readable, [F.asc("partition"), F.asc("offset")], limit)

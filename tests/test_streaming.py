@@ -56,7 +56,12 @@ def test_late_rows_are_dropped_and_null_times_ignored(spark, folder):
     drop(spark, folder, [flat(0), flat(40), flat(None)], "a")
     drop(spark, folder, [flat(41)], "b")
     drop(spark, folder, [flat(35, temperature=99.0), flat(5, temperature=99.0)], "c")
-    found = run_windows(spark, folder, slide=None)
+    query = jobs.start_window_metrics(
+        inbox(spark, folder), f"{folder}/out", f"{folder}/checkpoint", slide=None, trigger=NOW
+    )
+    query.awaitTermination()
+    assert jobs.late_rows(query) == 1
+    found = jobs.read_windows(spark, f"{folder}/out")
     counts = {row.window_start.strftime("%H:%M"): (row.total_messages, row.max_temperature) for row in found.collect()}
     assert counts == {"10:30": (1, 26.0), "11:10": (2, 26.0), "11:05": (1, 99.0)}
 
