@@ -3,8 +3,10 @@
 from __future__ import annotations
 
 import argparse
+import contextlib
 from collections.abc import Sequence
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 
 from isobar import batch, schemas
@@ -12,7 +14,7 @@ from isobar.functions.deviations import SIGMA_LIMIT, TEMPERATURE_LIMIT
 from isobar.operators import anomalies, history, readings, serving, summaries
 from isobar.operators.profiles import extreme_months
 from isobar.session import build_session
-from isobar.sinks.writers import send_messages, store_history
+from isobar.sinks.writers import send_messages, store_daily, store_history
 from isobar.sources import documents as stored
 from isobar.sources.messages import KINDS, first_messages, message_stream, message_table
 from isobar.streaming import jobs
@@ -53,7 +55,7 @@ def _parser() -> argparse.ArgumentParser:
     def batched(name: str, text: str, topic: str) -> None:
         added = job(name, text)
         added.add_argument("--history", required=True, help="base folder of history documents")
-        added.add_argument("--layout", choices=("tree", "table"), default="tree")
+        added.add_argument("--layout", choices=("tree", "table", "rows"), default="tree")
         added.add_argument("--base", help="base folder to store documents in")
         added.add_argument("--skip-files", action="store_true")
         added.add_argument("--skip-messages", action="store_true")
@@ -79,6 +81,7 @@ def _parser() -> argparse.ArgumentParser:
     detect.add_argument("--base", required=True, help="base folder of profiles and of the anomaly archive")
     detect.add_argument("--layout", choices=("tree", "table"), default="table")
     detect.add_argument("--profile-year", choices=("earliest", "latest"), default="earliest")
+    detect.add_argument("--refresh", type=float, default=600.0, help="seconds between readings of the profiles")
     detect.add_argument("--temp-threshold", type=float, default=TEMPERATURE_LIMIT)
     detect.add_argument("--wind-threshold", type=float, default=SIGMA_LIMIT)
     detect.add_argument("--statistics", help="folder for per-batch statistics")
@@ -87,6 +90,11 @@ def _parser() -> argparse.ArgumentParser:
     batched("seasonal", "monthly climatology per city", "records")
     batched("enrich", "validated yearly profiles with dispersion", "records")
 
+    ingest = job("ingest", "store the days of history documents as clustered Parquet")
+    ingest.add_argument("--history", required=True, help="base folder of history documents")
+    ingest.add_argument("--layout", choices=("tree", "table"), default="tree")
+    ingest.add_argument("--base", required=True, help="base folder to store the days in")
+
     land = job("land-history", "wrap landed archive responses as history documents")
     land.add_argument("--responses", required=True, help="JSON folder of responses with place and daily arrays")
     land.add_argument("--base", help="base folder to store documents in")
@@ -108,13 +116,18 @@ def _parser() -> argparse.ArgumentParser:
             "history-summary", "extreme-months",
         ),
     )
-    show.add_argument("--base", help="base folder of stored documents")
-    show.add_argument("--layout", choices=("tree", "table"), default="table")
-    show.add_argument("--source", choices=KINDS, default="kafka")
-    show.add_argument("--input", default=TOPICS["flat"])
     show.add_argument("--country")
     show.add_argument("--city")
-    show.add_argument("--limit", type=int, default=20)
+
+    sql = job("sql", "run a statement over weather_transformed, daily_history, profiles, alerts and anomalies")
+    sql.add_argument("statement")
+    for reader in (show, sql):
+        reader.add_argument("--base", help="base folder of stored documents")
+        reader.add_argument("--layout", choices=("tree", "table", "rows"), default="table",
+                            help="rows: daily history from ingested Parquet, all else as table")
+        reader.add_argument("--source", choices=KINDS, default="kafka")
+        reader.add_argument("--input", help="topic or folder of flat readings")
+        reader.add_argument("--limit", type=int, default=20)
     return parser
 
 
@@ -147,9 +160,13 @@ def _run_stream(spark: SparkSession, args: argparse.Namespace) -> None:
     elif args.job == "alerts":
         query = jobs.start_alert_archive(messages, args.base, args.checkpoint, **trigger)
     else:
+
+        def load() -> DataFrame:
+            return batch.reference_profile(spark, args.base, args.layout, args.profile_year)
+
         query = jobs.start_anomaly_detector(
             messages,
-            lambda: batch.reference_profile(spark, args.base, args.layout, args.profile_year),
+            jobs.refreshed(load, args.refresh),
             args.checkpoint,
             (args.sink, args.output),
             args.base,
@@ -187,40 +204,65 @@ def _wrap(spark: SparkSession, args: argparse.Namespace) -> None:
     send_messages(readings.reading_envelopes(responses, "open-meteo"), args.sink, args.output, **_sink_options(args))
 
 
-def _table(spark: SparkSession, args: argparse.Namespace) -> DataFrame:
-    def raw() -> DataFrame:
-        return message_table(spark, args.source, args.input, **(_kafka(args) if args.source == "kafka" else {}))
+def _messages(spark: SparkSession, args: argparse.Namespace) -> DataFrame:
+    options = _kafka(args) if args.source == "kafka" else {}
+    return message_table(spark, args.source, args.input or TOPICS["flat"], **options)
+
+
+def _flat(spark: SparkSession, args: argparse.Namespace) -> DataFrame:
+    return readings.parse_flat_readings(_messages(spark, args))
 
-    def messages() -> DataFrame:
-        return readings.parse_flat_readings(raw())
+
+def _sql(spark: SparkSession, args: argparse.Namespace) -> DataFrame:
+    if args.input:
+        _flat(spark, args).createOrReplaceTempView("weather_transformed")
+    if args.base:
+        for name, read in _STORED.items():
+            # A job that has not run yet has left no folder to read.
+            with contextlib.suppress(AnalysisException):
+                layout = "table" if args.layout == "rows" and name != "daily_history" else args.layout
+                read(spark, args.base, layout).createOrReplaceTempView(name)
+    return spark.sql(args.statement)
+
+
+_STORED = {
+    "daily_history": stored.daily_history,
+    "profiles": stored.enriched_profiles,
+    "alerts": stored.archived_alerts,
+    "anomalies": stored.archived_anomalies,
+}
+
+
+def _table(spark: SparkSession, args: argparse.Namespace) -> DataFrame:
+    documents_layout = "table" if args.layout == "rows" else args.layout
 
     def of_city(df: DataFrame) -> DataFrame:
         return serving.city_rows(df, args.country, args.city)
 
     def alerts() -> DataFrame:
-        return stored.archived_alerts(spark, args.base, args.layout)
+        return stored.archived_alerts(spark, args.base, documents_layout)
 
     def daily() -> DataFrame:
         return stored.daily_history(spark, args.base, args.layout)
 
     def profiles() -> DataFrame:
-        return stored.enriched_profiles(spark, args.base, args.layout)
+        return stored.enriched_profiles(spark, args.base, documents_layout)
 
     def anomaly_rows() -> DataFrame:
-        return stored.archived_anomalies(spark, args.base, args.layout)
+        return stored.archived_anomalies(spark, args.base, documents_layout)
 
     tables = {
-        "messages": lambda: first_messages(raw(), args.limit),
-        "alerts": lambda: readings.alerts(messages()),
+        "messages": lambda: first_messages(_messages(spark, args), args.limit),
+        "alerts": lambda: readings.alerts(_flat(spark, args)),
         "alert-levels": lambda: summaries.alert_distribution(alerts()),
-        "weather-codes": lambda: summaries.weathercode_histogram(messages()).orderBy("country", "weathercode"),
-        "weather-code-matrix": lambda: summaries.weathercode_matrix(messages()).orderBy("country"),
-        "weather-code-modes": lambda: summaries.weathercode_mode(messages()).orderBy("country"),
+        "weather-codes": lambda: summaries.weathercode_histogram(_flat(spark, args)).orderBy("country", "weathercode"),
+        "weather-code-matrix": lambda: summaries.weathercode_matrix(_flat(spark, args)).orderBy("country"),
+        "weather-code-modes": lambda: summaries.weathercode_mode(_flat(spark, args)).orderBy("country"),
         "cities": lambda: serving.locations(daily()).orderBy("country", "city"),
         "city-alerts": lambda: of_city(alerts()),
         "city-history": lambda: serving.thin_series(of_city(daily()), ["country", "city"], ["date"]).orderBy("date"),
         "city-records": lambda: of_city(
-            stored.stored(spark, args.base, "records", schemas.RECORD_DOCUMENT, args.layout)
+            stored.stored(spark, args.base, "records", schemas.RECORD_DOCUMENT, documents_layout)
         ),
         "city-profile": lambda: serving.latest_year(of_city(profiles())).orderBy("month"),
         "city-anomalies": lambda: of_city(anomaly_rows()),
@@ -238,12 +280,15 @@ def main(argv: Sequence[str] | None = None) -> None:
         _run_stream(spark, args)
     elif args.job in ("records", "seasonal", "enrich"):
         _run_batch(spark, args)
+    elif args.job == "ingest":
+        store_daily(stored.daily_history(spark, args.history, args.layout), args.base)
     elif args.job == "land-history":
         _land(spark, args)
     elif args.job == "wrap-readings":
         _wrap(spark, args)
     else:
-        _table(spark, args).show(args.limit, truncate=False)
+        shown = _sql(spark, args) if args.job == "sql" else _table(spark, args)
+        shown.show(args.limit, truncate=False)
 
 
 if __name__ == "__main__":

@@ -345,6 +345,19 @@ def regional_avg_temp(spark: SparkSession, sf_dir: str) -> DataFrame:
     return summaries.average_temperature_by_place(tables.transformed(spark, sf_dir))
 
 
+_REGIONAL_SQL = """
+select country, city, count(*) as total_alerts, avg(temperature) as avg_temp
+from weather_transformed
+where wind_alert_level in ('level_1', 'level_2') or heat_alert_level in ('level_1', 'level_2')
+group by country, city"""
+
+
+@query(over(READINGS, _REGIONAL_SQL.replace("weather_transformed", "transformed")))
+def regional_sql(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Regional aggregates as a user writes them, in SQL over a view of the readings."""
+    return spark.sql(_REGIONAL_SQL.replace("weather_transformed", "{live}"), live=tables.transformed(spark, sf_dir))
+
+
 @query(over(READINGS, "select country, weathercode, count(*) as readings from transformed group by all"))
 def weathercode_histogram(spark: SparkSession, sf_dir: str) -> DataFrame:
     return summaries.weathercode_histogram(tables.transformed(spark, sf_dir))

@@ -73,6 +73,16 @@ HISTORY_DOCUMENT = record(
     ),
 )
 
+DAILY = record(
+    date=TEXT,
+    year=WHOLE,
+    **same(TEXT, "city country"),
+    **same(
+        NUMBER,
+        "latitude longitude temperature_max temperature_min temperature_mean precipitation windspeed_max windspeed_mean",
+    ),
+)
+
 MONTH_AVERAGES = same(
     NUMBER,
     "avg_temperature avg_temperature_max avg_temperature_min avg_windspeed avg_windspeed_max "

@@ -45,7 +45,13 @@ def history_documents(spark: SparkSession, base: str, layout: str = "tree") -> D
 
 
 def daily_history(spark: SparkSession, base: str, layout: str = "tree") -> DataFrame:
-    """Daily observation rows; a file that is no JSON contributes none."""
+    """Daily observation rows; a file that is no JSON contributes none.
+
+    ``layout="rows"`` reads the Parquet that store_daily() wrote, of which only the needed
+    columns and, for one city, only the matching row groups are read.
+    """
+    if layout == "rows":
+        return spark.read.schema(schemas.DAILY).parquet(f"{base}/daily")
     return unfold_history(history_documents(spark, base, layout))
 
 

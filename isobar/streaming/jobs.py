@@ -20,6 +20,7 @@ from isobar.operators import anomalies, readings, summaries, windows
 from isobar.operators.records import top_k_per_group
 from isobar.schemas import ANOMALY_MESSAGE, RAW_READING
 from isobar.sinks.writers import archive_batch, send_messages
+from isobar.storage import materialise
 
 Trigger = dict[str, object]
 Sink = tuple[str, str]
@@ -117,6 +118,24 @@ def start_alert_archive(
     return _run_batches(entries, checkpoint, trigger, "append", process)
 
 
+def refreshed(
+    load: Callable[[], DataFrame], every: float, clock: Callable[[], float] = time.monotonic
+) -> Callable[[], DataFrame]:
+    """Load a profile and store it once, and anew when it is ``every`` seconds old.
+
+    Between refreshes micro-batches join the stored table, whose size Catalyst knows.
+    """
+    held: dict[str, object] = {}
+
+    def current() -> DataFrame:
+        now = clock()
+        if not held or now - held["at"] >= every:
+            held.update(at=now, profile=materialise(load(), "reference"))
+        return held["profile"]
+
+    return current
+
+
 def start_anomaly_detector(
     messages: DataFrame,
     load_profile: Callable[[], DataFrame],
@@ -131,8 +150,9 @@ def start_anomaly_detector(
 ) -> StreamingQuery:
     """Flag readings against the reference profile; messages, archive and statistics.
 
-    One query feeds all three outputs from one evaluation of the join. The profile is
-    loaded anew for every micro-batch, so a recomputed profile takes effect at once.
+    One query feeds all three outputs from one evaluation of the join. ``load_profile``
+    is called for every micro-batch, so a recomputed profile takes effect at once; wrap
+    it in refreshed() to read the stored profiles less often.
     """
     flat = readings.parse_flat_readings(messages)
 

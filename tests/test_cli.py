@@ -94,3 +94,33 @@ def test_live_readings_end_as_anomalies(spark, base):
 def test_show(spark, base, table, shows, capfd):
     main(["show", table, "--base", base, "--country", "France", "--city", "Paris"])
     assert shows in capfd.readouterr().out
+
+
+def test_sql_over_stored_tables(spark, base, capfd):
+    statement = "select city, count(*) as days from daily_history group by city order by city"
+    main(["sql", statement, "--base", base])
+    shown = capfd.readouterr().out
+    assert "Lyon" in shown and "56" in shown
+
+
+def test_sql_over_live_readings(spark, base, capfd):
+    flat = f"{base}/live/flat/batch_id=0"
+    statement = "select city, count(*) as total_alerts from weather_transformed where heat_alert_level = 'level_1' group by city"
+    main(["sql", statement, "--source", "json", "--input", flat])
+    assert "|Paris|1" in capfd.readouterr().out
+
+
+def test_ingested_days_give_the_same_records(spark, base):
+    main(["ingest", "--history", base, "--layout", "table", "--base", f"{base}/ingested"])
+    rows = stored.daily_history(spark, f"{base}/ingested", "rows")
+    documents = stored.daily_history(spark, base, "table").select(rows.columns)
+    assert rows.exceptAll(documents).count() == documents.exceptAll(rows).count() == 0
+    city = rows.where("country = 'France' and city = 'Paris'")
+    plan = city._jdf.queryExecution().executedPlan().toString()
+    assert "EqualTo(country,France), EqualTo(city,Paris)" in plan
+    main(["records", "--history", f"{base}/ingested", "--layout", "rows", "--base", f"{base}/ingested", "--skip-messages"])
+    found, wanted = (
+        stored.stored(spark, folder, "records", schemas.RECORD_DOCUMENT).select("city", "records")
+        for folder in (f"{base}/ingested", base)
+    )
+    assert sorted(found.collect()) == sorted(wanted.collect())

@@ -134,6 +134,17 @@ def test_a_retried_batch_is_archived_once(spark, folder):
     assert spark.read.json(folder).count() == 4
 
 
+def test_compacting_keeps_the_rows(spark, folder):
+    row = ("t", "heat_wave", 1.0, 1.0, 1.0, 1.0, 1.0, 1.0, "France", "Paris", 2024, 1)
+    names = [*schemas.ANOMALY_ROW.fieldNames(), *schemas.ANOMALY_PLACE.fieldNames()]
+    place = schemas.ANOMALY_PLACE.fieldNames()
+    for batch_id in range(3):
+        writers.archive_batch(spark.createDataFrame([row], names), f"{folder}/a/anomalies", place, batch_id)
+    writers.compact_archive(stored.archived_anomalies(spark, f"{folder}/a"), f"{folder}/b/anomalies", place)
+    compacted = stored.archived_anomalies(spark, f"{folder}/b")
+    assert (compacted.count(), len(compacted.inputFiles())) == (3, 1)
+
+
 def test_city_lookup_reads_only_its_files(spark, folder):
     rows = spark.createDataFrame([("F", "P", 1), ("F", "L", 2), ("G", "P", 3)], "country string, city string, n int")
     writers.archive_batch(rows, folder, ["country", "city"], 0)

@@ -181,6 +181,20 @@ def test_detector_sees_a_recomputed_profile(spark, folder):
     assert [m["expected_value"] for m in sent] == [0.0]
 
 
+def test_profiles_are_refreshed_when_old(spark):
+    now, loads = [0.0], []
+
+    def load():
+        loads.append(now[0])
+        return spark.createDataFrame([(float(len(loads)),)], "v double")
+
+    current = jobs.refreshed(load, 60.0, lambda: now[0])
+    seen = []
+    for now[0] in (0.0, 59.0, 60.0, 61.0, 200.0):
+        seen.append(current().first().v)
+    assert seen == [1.0, 1.0, 2.0, 2.0, 3.0]
+
+
 def test_repeats_within_the_watermark_are_dropped(spark, folder):
     drop(spark, folder, [flat(0), flat(0), flat(1)], "a")
     drop(spark, folder, [flat(0), flat(2)], "b")
