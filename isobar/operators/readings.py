@@ -98,12 +98,15 @@ def parse_flat_readings(messages: DataFrame, carry: Iterable[str] = ()) -> DataF
 
 
 def classify_messages(messages: DataFrame, required: str = "current_weather") -> DataFrame:
-    """Tag every message: reading, other_json (valid JSON without a reading) or text."""
-    # Projected on its own first, so that each payload is parsed once.
+    """Tag every message: reading, other_json (valid JSON without a reading) or text.
+
+    Each payload is parsed once: in a projection of its own, and with the tag coming out
+    of a generator, below which filters on it cannot be pushed.
+    """
     decoded = messages.withColumn("_body", F.try_parse_json(F.col("value").cast("string")))
     reading = F.try_variant_get("_body", f"$.{required}", "variant")
     kind = F.when(F.col("_body").isNull(), "text").when(reading.isNull(), "other_json").otherwise("reading")
-    return decoded.withColumn("kind", kind).drop("_body")
+    return decoded.select(*messages.columns, F.explode(F.array(kind)).alias("kind"))
 
 
 def split_valid(messages: DataFrame) -> tuple[DataFrame, DataFrame]:
@@ -120,18 +123,14 @@ def reading_envelopes(responses: DataFrame, source: str, stamped_at: Column | No
     """
     stamped_at = F.current_timestamp() if stamped_at is None else stamped_at
     kept = responses.where(F.col("current_weather").isNotNull() & valid_coordinates())
-    place = ("latitude", "longitude", "city", "country", "location_name")
-    named = F.struct(
-        *(F.col(c) if c in place[:2] else F.nullif(F.col(c), F.lit("")).alias(c) for c in place)
-    )
+    named = kept.withColumns({name: F.nullif(name, F.lit("")) for name in ("city", "country", "location_name")})
     envelope = F.struct(
         F.date_format(stamped_at, "yyyy-MM-dd'T'HH:mm:ss.SSSSSS").alias("timestamp"),
-        named.alias("location"),
-        F.col("current_weather"),
+        F.struct(*schemas.LOCATION.fieldNames()).alias("location"),
+        "current_weather",
         F.lit(source).alias("source"),
     )
-    keyed = kept.withColumns({c: F.nullif(F.col(c), F.lit("")) for c in ("city", "country")})
-    return keyed.select(location_key().alias("key"), F.to_json(envelope).alias("value"))
+    return named.select(location_key().alias("key"), F.to_json(envelope).alias("value"))
 
 
 def stamp_received(messages: DataFrame) -> DataFrame:

@@ -91,6 +91,12 @@ def test_payloads_are_parsed_once_under_filters(spark):
     assert plan_of(found).count("from_json(") == 1
 
 
+def test_quarantine_parses_once(spark):
+    sent = spark.createDataFrame([(None, "{}", None, "t", 0, 0)], schemas.MESSAGE)
+    for side in readings.split_valid(sent):
+        assert plan_of(side).count("ParseJson") + plan_of(side).count("parseJson") == 1
+
+
 def test_lookup_broadcasts_only_what_is_small(spark, sf_dir):
     facts = tables.readings(spark, sf_dir)
     table = facts.groupBy("country", "city").agg(F.avg("temperature").alias("mean"))
