@@ -59,17 +59,17 @@ _PLAIN = {
 }
 _DIGITS = "regexp_replace(m, '[^0-9]', '', 'g')"
 _TURNED = "string_split(m[5:] || m[1:4], '')"
-_CODES = f"list_transform({_TURNED}, c -> case when c < 'A' then ascii(c) - 48 else ascii(c) - 55 end)"
+_CODES = f"list_transform({_TURNED}, lambda c: case when c < 'A' then ascii(c) - 48 else ascii(c) - 55 end)"
 _VALID = {
     "email": "true",
-    "ip": "list_max(list_transform(string_split(m, '.'), p -> p::hugeint)) <= 255",
+    "ip": "list_max(list_transform(string_split(m, '.'), lambda p: p::hugeint)) <= 255",
     "card": f"""length({_DIGITS}) between 13 and 19 and list_sum(list_transform(range(1, length({_DIGITS}) + 1),
-        i -> case when i % 2 = 1 then reverse({_DIGITS})[i]::int
+        lambda i: case when i % 2 = 1 then reverse({_DIGITS})[i]::int
              when reverse({_DIGITS})[i]::int > 4 then reverse({_DIGITS})[i]::int * 2 - 9
              else reverse({_DIGITS})[i]::int * 2 end)) % 10 = 0""",
     "phone": f"length({_DIGITS}) between 9 and 15",
     "iban": f"""regexp_full_match(m, '[A-Z0-9]{{15,34}}') and list_reduce(list_prepend(0, {_CODES}),
-        (rest, x) -> case when x < 10 then (rest * 10 + x) % 97 else (rest * 100 + x) % 97 end) = 1""",
+        lambda rest, x: case when x < 10 then (rest * 10 + x) % 97 else (rest * 100 + x) % 97 end) = 1""",
     "ssn": """regexp_full_match(m, '[0-9]{3}-[0-9]{2}-[0-9]{4}')
         and not regexp_matches(m, '^(?:000|666|9)|-00-|-0000$')""",
 }
@@ -78,7 +78,7 @@ _VALID = {
 def _spans_of(number: int, name: str) -> str:
     kind = KINDS[number]
     context = "" if kind.base else f" and regexp_matches(near, '{kind.context}')" * (kind.score < kind.least)
-    total = "coalesce(list_sum(list_transform({}, x -> length(x))), 0)"
+    total = "coalesce(list_sum(list_transform({}, lambda x: length(x))), 0)"
     return f"""
   select rid, {number} as k, '{name}' as kind, first, first + length(m) as last from (
     select rid, ms[i] as m, lower(right(ps[i], {CONTEXT})) as near,

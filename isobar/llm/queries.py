@@ -4,12 +4,17 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from isobar.llm import oracles
 from isobar.llm.decontamination import contamination
 from isobar.llm.exact_dedup import exact_groups
+from isobar.llm.ngram_join import near_duplicates
+from isobar.llm.packing import pack
 from isobar.llm.pii import pii_digest
+from isobar.llm.token_counts import token_counts
 from isobar.sources.tables import table
 
 Run = Callable[[SparkSession, str], DataFrame]
@@ -23,6 +28,26 @@ def op4_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def packed(docs: DataFrame) -> DataFrame:
+    """The pieces of packed sequences, their ids as a checksum."""
+    pieces = pack(docs, public_tokenizers.path("word_bpe_49k.json"))
+    return pieces.select(
+        "doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset"
+    )
+
+
+def op5_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packed(table(spark, sf_dir, "documents"))
+
+
+def op6_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_duplicates(table(spark, sf_dir, "documents"))
+
+
+def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_counts(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
+
+
 def op8_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_groups(table(spark, sf_dir, "documents"))
 
@@ -30,7 +55,10 @@ def op8_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 _ALL = (
     op3_pii,
     op4_decontamination,
+    op5_packing,
+    op6_ngram_join,
     op8_exact_dedup,
+    op10_token_counts,
 )
 _SQL = {
     "op3_pii": oracles.PII,
