@@ -5,21 +5,35 @@ from __future__ import annotations
 from collections.abc import Callable
 
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from isobar.llm import oracles
+from isobar.llm import language_id, oracles
 from isobar.llm.decontamination import contamination
 from isobar.llm.exact_dedup import exact_groups
 from isobar.llm.ngram_join import near_duplicates
 from isobar.llm.packing import pack
 from isobar.llm.pii import pii_digest
+from isobar.llm.quality import quality_scores
 from isobar.llm.token_counts import token_counts
 from isobar.sources.tables import table
 
 Run = Callable[[SparkSession, str], DataFrame]
 
 
+def _part(of: int) -> Column:
+    """A document's fold: the checksum of its id as text."""
+    return F.pmod(F.crc32(F.col("doc_id").cast("string")), F.lit(of))
+
+
+def op1_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    models = language_id.fit(docs, _part(3) != 1)
+    found = language_id.identify(docs, models)
+    held_out = F.coalesce(_part(3) == 1, F.lit(False)).alias("held_out")
+    return found.select("doc_id", held_out, "lang_pred", "score", "cross_entropy", "rejected")
+
+
 def op3_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii_digest(table(spark, sf_dir, "documents"))
 
@@ -48,15 +62,23 @@ def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
 
 
+def op7_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    scored = quality_scores(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"), _part(4) != 2)
+    held_out = F.coalesce(_part(4) == 2, F.lit(False)).alias("held_out")
+    return scored.select("doc_id", held_out, "score", "predicted")
+
+
 def op8_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_groups(table(spark, sf_dir, "documents"))
 
 
 _ALL = (
+    op1_language_id,
     op3_pii,
     op4_decontamination,
     op5_packing,
     op6_ngram_join,
+    op7_quality,
     op8_exact_dedup,
     op10_token_counts,
 )
