@@ -11,6 +11,8 @@ from pyspark.sql import functions as F
 from isobar.llm import language_id, oracles
 from isobar.llm.decontamination import contamination
 from isobar.llm.exact_dedup import exact_groups
+from isobar.llm.html_extraction import main_text
+from isobar.llm.lm_scoring import pseudo_likelihood
 from isobar.llm.ngram_join import near_duplicates
 from isobar.llm.packing import pack
 from isobar.llm.pii import pii_digest
@@ -34,6 +36,10 @@ def op1_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", held_out, "lang_pred", "score", "cross_entropy", "rejected")
 
 
+def op2_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return main_text(table(spark, sf_dir, "pages"))
+
+
 def op3_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii_digest(table(spark, sf_dir, "documents"))
 
@@ -58,6 +64,10 @@ def op6_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(table(spark, sf_dir, "documents"))
 
 
+def op9_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pseudo_likelihood(table(spark, sf_dir, "documents"))
+
+
 def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
 
@@ -74,12 +84,14 @@ def op8_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 _ALL = (
     op1_language_id,
+    op2_html_extraction,
     op3_pii,
     op4_decontamination,
     op5_packing,
     op6_ngram_join,
     op7_quality,
     op8_exact_dedup,
+    op9_lm_score,
     op10_token_counts,
 )
 _SQL = {
