@@ -233,18 +233,22 @@ def quality_scores(
     id_col: str = "doc_id",
     text_col: str = "text",
     label_col: str = "quality",
+    label_id: str = "doc_id",
+    link: str | None = None,
 ) -> DataFrame:
     """One row per input row: id, ``score`` (probability of label 1) and ``predicted``.
 
-    ``train`` is a condition on the id column of ``labels``. Labels that are null or
+    ``train`` is a condition on the columns of ``labels``. ``link`` names the field of a
+    structured document id that meets ``label_id``; by default it is the id itself. Labels that are null or
     neither 0 nor 1 teach nothing, nor do those of ids without a document; an id with
     several labels or documents teaches each combination. Null texts count as empty, which
     are scored like any other. With no label of a class every document is kept. Repeated
     rows each give a row; other columns are ignored.
     """
     table = materialise(document_statistics(docs, id_col, text_col), "statistics")
-    known = labels.where(train).select(F.col(id_col).alias("id"), F.col(label_col).cast("int").alias("label"))
-    labelled = materialise(table.join(known.where("label in (0, 1)"), "id").select("x", "label"), "labelled")
+    known = labels.where(train).select(F.col(label_id).alias("known"), F.col(label_col).cast("int").alias("label"))
+    met = F.col(f"id.{link}" if link else "id") == F.col("known")
+    labelled = materialise(table.join(known.where("label in (0, 1)"), met).select("x", "label"), "labelled")
     model = table.sparkSession.sparkContext.broadcast(fit(labelled))
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -28,6 +28,11 @@ def _part(of: int) -> Column:
     return F.pmod(F.crc32(F.col("doc_id").cast("string")), F.lit(of))
 
 
+def learned_labels() -> Column:
+    """Labels that the quality classifier may learn from."""
+    return _part(4) != 2
+
+
 def op1_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     models = language_id.fit(docs, _part(3) != 1)
@@ -73,7 +78,7 @@ def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op7_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
-    scored = quality_scores(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"), _part(4) != 2)
+    scored = quality_scores(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"), learned_labels())
     held_out = F.coalesce(_part(4) == 2, F.lit(False)).alias("held_out")
     return scored.select("doc_id", held_out, "score", "predicted")
 
