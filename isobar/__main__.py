@@ -3,16 +3,17 @@
 from __future__ import annotations
 
 import argparse
-import contextlib
 from collections.abc import Sequence
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql.streaming import StreamingQuery
 
 from isobar import batch, schemas
 from isobar.functions.deviations import SIGMA_LIMIT, TEMPERATURE_LIMIT
 from isobar.operators import anomalies, history, readings, serving, summaries
-from isobar.operators.profiles import extreme_months
+from isobar.operators.profiles import extreme_months, sorted_profile
 from isobar.session import build_session
 from isobar.sinks.writers import send_messages, store_daily, store_history
 from isobar.sources import documents as stored
@@ -46,6 +47,8 @@ def _parser() -> argparse.ArgumentParser:
         added.add_argument("--checkpoint", required=True)
         added.add_argument("--from-beginning", action="store_true", help="start at the earliest message")
         added.add_argument("--once", action="store_true", help="stop when all input is read")
+        added.add_argument("--attempts", type=int, default=5, help="starts before a failing job is given up")
+        added.add_argument("--pause", type=float, default=5.0, help="seconds between two attempts")
         return added
 
     def output(added: argparse.ArgumentParser, topic: str) -> None:
@@ -80,7 +83,7 @@ def _parser() -> argparse.ArgumentParser:
     output(detect, "anomalies")
     detect.add_argument("--base", required=True, help="base folder of profiles and of the anomaly archive")
     detect.add_argument("--layout", choices=("tree", "table"), default="table")
-    detect.add_argument("--profile-year", choices=("earliest", "latest"), default="earliest")
+    detect.add_argument("--profile-year", choices=("earliest", "latest", "same"), default="earliest")
     detect.add_argument("--refresh", type=float, default=600.0, help="seconds between readings of the profiles")
     detect.add_argument("--temp-threshold", type=float, default=TEMPERATURE_LIMIT)
     detect.add_argument("--wind-threshold", type=float, default=SIGMA_LIMIT)
@@ -113,7 +116,8 @@ def _parser() -> argparse.ArgumentParser:
         choices=(
             "messages", "alerts", "alert-levels", "weather-codes", "weather-code-matrix", "weather-code-modes",
             "cities", "city-alerts", "city-history", "city-records", "city-profile", "city-anomalies", "anomaly-types",
-            "history-summary", "extreme-months",
+            "history-summary", "extreme-months", "newest-readings", "newest-anomalies", "newest-aggregates", "totals",
+            "profiles",
         ),
     )
     show.add_argument("--country")
@@ -121,6 +125,7 @@ def _parser() -> argparse.ArgumentParser:
 
     sql = job("sql", "run a statement over weather_transformed, daily_history, profiles, alerts and anomalies")
     sql.add_argument("statement")
+    sql.add_argument("--output", help="folder that gets all rows as Parquet; otherwise the first are printed")
     for reader in (show, sql):
         reader.add_argument("--base", help="base folder of stored documents")
         reader.add_argument("--layout", choices=("tree", "table", "rows"), default="table",
@@ -145,38 +150,36 @@ def _sink_options(args: argparse.Namespace) -> dict[str, str]:
     return _kafka(args) if args.sink == "kafka" else {}
 
 
-def _run_stream(spark: SparkSession, args: argparse.Namespace) -> None:
+def _start_stream(spark: SparkSession, args: argparse.Namespace) -> StreamingQuery:
     trigger: dict = {"trigger": {"availableNow": True}} if args.once else {}
     messages = _stream(spark, args)
     if args.job == "transform":
-        query = jobs.start_transform(
+        return jobs.start_transform(
             messages, (args.sink, args.output), args.checkpoint, event_time=args.event_time,
             statistics=args.statistics, **trigger, **_sink_options(args),
         )
     elif args.job == "windows":
-        query = jobs.start_window_metrics(
+        return jobs.start_window_metrics(
             messages, args.output, args.checkpoint, args.window, args.slide, args.by, mode=args.mode, **trigger
         )
     elif args.job == "alerts":
-        query = jobs.start_alert_archive(messages, args.base, args.checkpoint, **trigger)
-    else:
+        return jobs.start_alert_archive(messages, args.base, args.checkpoint, **trigger)
 
-        def load() -> DataFrame:
-            return batch.reference_profile(spark, args.base, args.layout, args.profile_year)
-
-        query = jobs.start_anomaly_detector(
-            messages,
-            jobs.refreshed(load, args.refresh),
-            args.checkpoint,
-            (args.sink, args.output),
-            args.base,
-            args.statistics,
-            args.temp_threshold,
-            args.wind_threshold,
-            **trigger,
-            **_sink_options(args),
-        )
-    query.awaitTermination()
+    def load() -> DataFrame:
+        return batch.reference_profile(spark, args.base, args.layout, args.profile_year)
+
+    return jobs.start_anomaly_detector(
+        messages,
+        jobs.refreshed(load, args.refresh),
+        args.checkpoint,
+        (args.sink, args.output),
+        args.base,
+        args.statistics,
+        args.temp_threshold,
+        args.wind_threshold,
+        **trigger,
+        **_sink_options(args),
+    )
 
 
 def _run_batch(spark: SparkSession, args: argparse.Namespace) -> None:
@@ -218,10 +221,13 @@ def _sql(spark: SparkSession, args: argparse.Namespace) -> DataFrame:
         _flat(spark, args).createOrReplaceTempView("weather_transformed")
     if args.base:
         for name, read in _STORED.items():
-            # A job that has not run yet has left no folder to read.
-            with contextlib.suppress(AnalysisException):
-                layout = "table" if args.layout == "rows" and name != "daily_history" else args.layout
+            layout = "table" if args.layout == "rows" and name != "daily_history" else args.layout
+            try:
                 read(spark, args.base, layout).createOrReplaceTempView(name)
+            except AnalysisException as error:
+                # A job that has not run yet has left no folder to read.
+                if error.getCondition() != "PATH_NOT_FOUND":
+                    raise
     return spark.sql(args.statement)
 
 
@@ -236,20 +242,30 @@ _STORED = {
 def _table(spark: SparkSession, args: argparse.Namespace) -> DataFrame:
     documents_layout = "table" if args.layout == "rows" else args.layout
 
+    place = (args.country, args.city) if args.table.startswith("city-") else None
+
     def of_city(df: DataFrame) -> DataFrame:
         return serving.city_rows(df, args.country, args.city)
 
     def alerts() -> DataFrame:
-        return stored.archived_alerts(spark, args.base, documents_layout)
+        return stored.archived_alerts(spark, args.base, documents_layout, place)
 
     def daily() -> DataFrame:
-        return stored.daily_history(spark, args.base, args.layout)
+        return stored.daily_history(spark, args.base, args.layout, place)
 
     def profiles() -> DataFrame:
-        return stored.enriched_profiles(spark, args.base, documents_layout)
+        return stored.enriched_profiles(spark, args.base, documents_layout, place)
 
     def anomaly_rows() -> DataFrame:
-        return stored.archived_anomalies(spark, args.base, documents_layout)
+        return stored.archived_anomalies(spark, args.base, documents_layout, place)
+
+    def cities() -> DataFrame:
+        if args.layout == "table":
+            return stored.stored_places(spark, args.base)
+        return serving.locations(daily())
+
+    def aggregates() -> DataFrame:
+        return jobs.read_windows(spark, f"{args.base}/windows")
 
     tables = {
         "messages": lambda: first_messages(_messages(spark, args), args.limit),
@@ -258,14 +274,23 @@ def _table(spark: SparkSession, args: argparse.Namespace) -> DataFrame:
         "weather-codes": lambda: summaries.weathercode_histogram(_flat(spark, args)).orderBy("country", "weathercode"),
         "weather-code-matrix": lambda: summaries.weathercode_matrix(_flat(spark, args)).orderBy("country"),
         "weather-code-modes": lambda: summaries.weathercode_mode(_flat(spark, args)).orderBy("country"),
-        "cities": lambda: serving.locations(daily()).orderBy("country", "city"),
+        "cities": lambda: cities().orderBy("country", "city"),
         "city-alerts": lambda: of_city(alerts()),
         "city-history": lambda: serving.thin_series(of_city(daily()), ["country", "city"], ["date"]).orderBy("date"),
         "city-records": lambda: of_city(
-            stored.stored(spark, args.base, "records", schemas.RECORD_DOCUMENT, documents_layout)
+            stored.stored(spark, args.base, "records", schemas.RECORD_DOCUMENT, documents_layout, place)
         ),
         "city-profile": lambda: serving.latest_year(of_city(profiles())).orderBy("month"),
         "city-anomalies": lambda: of_city(anomaly_rows()),
+        "newest-readings": lambda: serving.recent_levels(
+            serving.newest(readings.with_event_timestamp(_flat(spark, args)), [F.desc("event_timestamp")], args.limit)
+        ),
+        "newest-anomalies": lambda: serving.newest(anomaly_rows(), [F.desc("event_time")], args.limit),
+        "newest-aggregates": lambda: serving.newest_aggregates(aggregates(), args.limit),
+        "totals": lambda: summaries.stream_totals(
+            {"weather_anomalies": anomaly_rows(), "weather_aggregates": aggregates(), "alerts": alerts()}
+        ),
+        "profiles": lambda: sorted_profile(profiles()),
         "anomaly-types": lambda: anomalies.anomaly_type_counts(anomaly_rows(), ("country", "city")),
         "history-summary": lambda: summaries.history_summary(daily(), ("country", "city")),
         "extreme-months": lambda: extreme_months(serving.latest_year(profiles()), ["country", "city"]),
@@ -277,7 +302,7 @@ def main(argv: Sequence[str] | None = None) -> None:
     args = _parser().parse_args(argv)
     spark = build_session(f"isobar-{args.job}", args.master)
     if args.job in ("transform", "windows", "alerts", "detect"):
-        _run_stream(spark, args)
+        jobs.supervise(lambda: _start_stream(spark, args), args.attempts, args.pause)
     elif args.job in ("records", "seasonal", "enrich"):
         _run_batch(spark, args)
     elif args.job == "ingest":
@@ -288,7 +313,10 @@ def main(argv: Sequence[str] | None = None) -> None:
         _wrap(spark, args)
     else:
         shown = _sql(spark, args) if args.job == "sql" else _table(spark, args)
-        shown.show(args.limit, truncate=False)
+        if args.job == "sql" and args.output:
+            shown.write.parquet(args.output)
+        else:
+            shown.show(args.limit, truncate=False)
 
 
 if __name__ == "__main__":

@@ -31,6 +31,11 @@ def safe_name(name: Column | str) -> Column:
     return F.translate(known(F.nullif(name, F.lit(""))), "/ ", "__")
 
 
+def safe_text(name: str | None) -> str:
+    """safe_name() of one name, for paths that are put together before a query runs."""
+    return (name or UNKNOWN).replace("/", "_").replace(" ", "_")
+
+
 def archive_place(
     country: str = "country", city: str = "city", latitude: str = "latitude", longitude: str = "longitude"
 ) -> dict[str, Column]:

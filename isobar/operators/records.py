@@ -10,9 +10,8 @@ CITY = ["country", "city"]
 _NEEDED = ["temperature_max", "temperature_min", "windspeed_max", "precipitation"]
 
 
-# Above this k, a group that many tasks contribute to is reduced in two steps.
-_SINGLE_STEP_K = 100
-_SALTS = 64
+# Input partitions whose rows of a group are reduced together before the group is whole.
+_FAN_IN = 64
 
 
 def _ranked(df: DataFrame, keys: list[Column | str], order: list[Column], k: int, rank: str) -> DataFrame:
@@ -21,30 +20,28 @@ def _ranked(df: DataFrame, keys: list[Column | str], order: list[Column], k: int
 
 
 def top_k_per_group(
-    df: DataFrame, keys: list[str], order: list[Column], k: int, rank: str = "rank", salts: int | None = None
+    df: DataFrame, keys: list[str], order: list[Column], k: int, rank: str = "rank", fan_in: int = _FAN_IN
 ) -> DataFrame:
     """First ``k`` rows of each group in ``order``, numbered from 1.
 
-    Spark limits every group to ``k`` rows per task before the shuffle as long as ``k``
-    is at most spark.sql.optimizer.windowGroupLimitThreshold. For a large ``k`` and a
-    group present in every task that is still k rows times the number of tasks, so the
-    group is then reduced in ``salts`` parts first, each holding the rows of some tasks.
+    Every task keeps at most k rows of a group before the shuffle. A group that many tasks
+    contribute to is reduced in parts first, each of the rows of ``fan_in`` input
+    partitions, so no task meets more than k rows of as many tasks or parts.
     """
-    salts = (_SALTS if k > _SINGLE_STEP_K else 1) if salts is None else salts
-    if salts > 1:
-        salted = df.withColumn("_salt", F.spark_partition_id() % salts)
-        df = _ranked(salted, [*keys, "_salt"], order, k, "_part").drop("_salt", "_part")
-    return _ranked(df, keys, order, k, rank)
+    spark = df.sparkSession
+    # Spark gives up the limit in each task beyond this k.
+    if int(spark.conf.get(_LIMITED)) < k:
+        spark.conf.set(_LIMITED, str(k))
+    parts = df.withColumn("_part", F.expr(f"spark_partition_id() div {fan_in}"))
+    reduced = _ranked(parts, [*keys, "_part"], order, k, "_rank").drop("_part", "_rank")
+    return _ranked(reduced, keys, order, k, rank)
 
 
-def top_k(df: DataFrame, order: list[Column], k: int) -> DataFrame:
-    """First ``k`` rows in ``order``: every task keeps its own k, then those are merged.
+_LIMITED = "spark.sql.optimizer.windowGroupLimitThreshold"
 
-    For a large ``k`` the merge is done in parts first, as in top_k_per_group.
-    """
-    if k > _SINGLE_STEP_K:
-        salted = df.withColumn("_salt", F.spark_partition_id() % _SALTS)
-        df = _ranked(salted, ["_salt"], order, k, "_part").drop("_salt", "_part")
+
+def top_k(df: DataFrame, order: list[Column], k: int) -> DataFrame:
+    """First ``k`` rows in ``order``: every task keeps its own k, then those are merged."""
     return df.orderBy(*order).limit(k)
 
 

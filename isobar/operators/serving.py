@@ -13,12 +13,10 @@ from isobar.storage import materialise
 
 RETAINED = 1000
 CHART_POINTS = 1000
-# A day's rows are sorted within one task up to this many.
-ROWS_PER_TASK = 1_000_000
 
 
 def city_rows(df: DataFrame, country: str, city: str) -> DataFrame:
-    """Rows of one city; on a table partitioned by country and city only its files are read."""
+    """Rows of one city by its exact names; pass the place to a reader to read its files alone."""
     return df.where((F.col("country") == country) & (F.col("city") == city))
 
 
@@ -42,17 +40,24 @@ def newest(df: DataFrame, order: list[Column], limit: int) -> DataFrame:
     return top_k(df, order, limit)
 
 
+def newest_aggregates(windows: DataFrame, limit: int = 100) -> DataFrame:
+    """The newest window states, latest window first."""
+    return newest(windows, [F.desc("window_start"), F.asc("window_end"), F.asc("location")], limit)
+
+
 def newest_per_location(
     df: DataFrame, order: list[Column], limit: int, keys: tuple[str, ...] = ("country", "city")
 ) -> DataFrame:
     return top_k_per_group(df, list(keys), order, limit)
 
 
-def retained(df: DataFrame, order: list[Column], stream: str | None = None) -> DataFrame:
-    """What a bounded buffer holds: the last 1000 rows by arrival, per stream if given."""
+def retained(
+    df: DataFrame, order: list[Column], stream: str | None = None, limit: int = RETAINED
+) -> DataFrame:
+    """What a bounded buffer holds: the last ``limit`` rows by arrival, per stream if given."""
     if stream is None:
-        return newest(df, order, RETAINED)
-    return top_k_per_group(df, [stream], order, RETAINED)
+        return newest(df, order, limit)
+    return top_k_per_group(df, [stream], order, limit)
 
 
 def measure_series(readings: DataFrame, measure: str, tie_breakers: tuple[str, ...] = ()) -> DataFrame:
@@ -75,8 +80,7 @@ def thin_series(df: DataFrame, keys: list[str], order: list[str], points: int =
     The first column of ``order`` is the day (or another value with few distinct ones
     per series). Rows are first only counted per series and day, which tells where each
     day starts in its series and whether it holds a row to keep at all. Only days that
-    do are read again and sorted, each on its own. Should one day be too large for a
-    task, its positions come from ordinal_in_group instead.
+    do are read again, and ordinal_in_group numbers their rows, whatever a day's size.
     """
     day, *rest = order
     rest = rest or [day]
@@ -92,13 +96,8 @@ def thin_series(df: DataFrame, keys: list[str], order: list[str], points: int =
     )
     next_kept = F.col("_before") + F.pmod(-F.col("_before"), F.col("_step"))
     kept_days = materialise(placed.where(next_kept < F.col("_before") + F.col("_rows")), "days").alias("k")
-    largest = kept_days.agg(F.max("_rows")).first()[0] or 0
 
     same = [F.col(f"d.{name}").eqNullSafe(F.col(f"k.{name}")) for name in bucket]
     candidates = df.alias("d").join(kept_days, same, "inner").select("d.*", "k._before", "k._step")
-    if largest <= ROWS_PER_TASK:
-        position = F.row_number().over(Window.partitionBy(*bucket).orderBy(*rest)) - 1
-        numbered = candidates.withColumn("ordinal", position)
-    else:
-        numbered = ordinal_in_group(candidates, bucket, rest)
+    numbered = ordinal_in_group(candidates, bucket, rest)
     return numbered.where((F.col("_before") + F.col("ordinal")) % F.col("_step") == 0).select(*df.columns)

@@ -2,13 +2,16 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from isobar.functions.levels import any_raised, raised
 from isobar.functions.places import known
 
-MATRIX_CODES = 1000
+# The range of weather codes.
+CODES = tuple(range(100))
 
 
 def alert_distribution(readings: DataFrame) -> DataFrame:
@@ -32,23 +35,20 @@ def weathercode_histogram(readings: DataFrame) -> DataFrame:
     return coded.groupBy(known("country").alias("country"), "weathercode").agg(F.count(F.lit(1)).alias("readings"))
 
 
-def weathercode_matrix(readings: DataFrame, codes: list[int] | None = None) -> DataFrame:
-    """Countries by codes, zero-filled; columns ``code_N`` in ascending code order.
+def weathercode_matrix(readings: DataFrame, codes: Sequence[int] = CODES) -> DataFrame:
+    """Countries by codes, zero-filled; a column ``code_N`` for each of ``codes``.
 
-    Without ``codes`` the distinct codes are looked up first. Weather codes run 0..99;
-    a feed with over a thousand different ones is refused rather than truncated.
+    ``code_other`` counts the readings with any other code, so no reading is lost.
     """
     histogram = weathercode_histogram(readings)
-    if codes is None:
-        found = histogram.select("weathercode").distinct().limit(MATRIX_CODES + 1).collect()
-        if len(found) > MATRIX_CODES:
-            raise ValueError(f"more than {MATRIX_CODES} weather codes, name the ones to show")
-        codes = [row.weathercode for row in found]
+    shown = sorted(codes)
+    number = F.col("readings")
     cells = [
-        F.coalesce(F.max(F.when(F.col("weathercode") == code, F.col("readings"))), F.lit(0)).alias(f"code_{code}")
-        for code in sorted(codes)
+        F.coalesce(F.sum(F.when(F.col("weathercode") == code, number)), F.lit(0)).alias(f"code_{code}")
+        for code in shown
     ]
-    return histogram.groupBy("country").agg(*cells)
+    other = F.coalesce(F.sum(F.when(~F.col("weathercode").isin(*shown), number)), F.lit(0)).alias("code_other")
+    return histogram.groupBy("country").agg(*cells, other)
 
 
 def weathercode_mode(readings: DataFrame) -> DataFrame:

@@ -298,6 +298,14 @@ def _windows(metrics: DataFrame) -> DataFrame:
     return metrics.withColumns({name: second_text(name) for name in ("window_start", "window_end")})
 
 
+@query(f"""
+select window_start, window_end, location, total_messages from ({windows_sql(5, 1)})
+order by window_start desc, window_end, location limit 100""")
+def latest_aggregates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    states = _windows(windows.window_metrics(tables.transformed(spark, sf_dir)))
+    return serving.newest_aggregates(states).select("window_start", "window_end", "location", "total_messages")
+
+
 @query(windows_sql(5, 1))
 def sliding_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _windows(windows.window_metrics(tables.transformed(spark, sf_dir)))
@@ -367,12 +375,13 @@ def weathercode_histogram(spark: SparkSession, sf_dir: str) -> DataFrame:
     over(
         READINGS,
         "select country, "
-        + ", ".join(f"count(*) filter (where weathercode = {c}) as code_{c}" for c in (0, 3, 61, 80, 95))
-        + " from transformed group by country",
+        + ", ".join(f"count(*) filter (where weathercode = {c}) as code_{c}" for c in summaries.CODES)
+        + ", count(*) filter (where weathercode not between 0 and 99) as code_other"
+        + " from transformed where weathercode is not null group by country",
     )
 )
 def weathercode_matrix(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return summaries.weathercode_matrix(tables.transformed(spark, sf_dir), [0, 3, 61, 80, 95])
+    return summaries.weathercode_matrix(tables.transformed(spark, sf_dir))
 
 
 @query(
@@ -432,6 +441,52 @@ def _newest_order() -> list:
     return [F.desc("event_time"), F.desc("reading_id")]
 
 
+def _recent_sql(limit: int) -> str:
+    return over(
+        READINGS,
+        f"""
+select reading_id, country, city, temperature, windspeed from transformed
+order by event_time desc, reading_id desc limit {limit}""",
+    )
+
+
+def _recent(spark: SparkSession, sf_dir: str, limit: int) -> DataFrame:
+    newest = serving.newest(tables.transformed(spark, sf_dir), _newest_order(), limit)
+    return newest.select("reading_id", "country", "city", "temperature", "windspeed")
+
+
+@query(_recent_sql(10))
+def recent_table_10(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _recent(spark, sf_dir, 10)
+
+
+@query(_recent_sql(20))
+def recent_table_20(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _recent(spark, sf_dir, 20)
+
+
+@query(
+    over(
+        READINGS,
+        """
+select reading_id, case when reading_id % 7 <> 0 then strftime(event_time, '%Y-%m-%d %H:%M:%S') end as shown,
+       true as stamped
+from transformed""",
+    )
+)
+def received_readings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every seventh reading comes without a time and is shown at the moment it is received."""
+    live = tables.transformed(spark, sf_dir)
+    text = F.date_format("event_time", "yyyy-MM-dd'T'HH:mm:ss")
+    sent = live.withColumn("event_time", F.when(F.col("reading_id") % 7 != 0, text))
+    shown = readings.stamp_received(sent)
+    late = F.col("event_time").isNull()
+    return shown.select(
+        "reading_id", F.when(~late, second_text("shown_time")).alias("shown"),
+        (~late | (F.col("shown_time") == F.col("received_at"))).alias("stamped"),
+    )
+
+
 @query(
     over(
         READINGS,

@@ -13,7 +13,7 @@ from isobar.plans.live import ROUND_TRIP_COLUMNS, ROUND_TRIP_SQL, windows_sql
 from isobar.plans.registry import query, second_text
 from isobar.plans.views import FLAGS, MESSAGES, READINGS, over
 from isobar.sources import tables
-from isobar.sources.documents import archived_alerts
+from isobar.sources.documents import archived_alerts, archived_anomalies
 from isobar.storage import scratch_path
 from isobar.streaming import jobs
 
@@ -26,7 +26,11 @@ def _raw_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _flat_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Graded readings as the JSON messages a transform job sends."""
-    graded = readings.grade_alerts(tables.as_readings(tables.event_stream(spark, sf_dir)))
+    return _flat_messages(tables.event_stream(spark, sf_dir))
+
+
+def _flat_messages(events: DataFrame) -> DataFrame:
+    graded = readings.grade_alerts(tables.as_readings(events))
     fields = [name for name in schemas.FLAT_READING.fieldNames() if name in graded.columns]
     return graded.select(
         location_key().alias("key"),
@@ -80,6 +84,75 @@ def stream_alert_archive(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+_ALERT_COLUMNS = "event_time", "temperature", "windspeed", "wind_alert_level", "heat_alert_level"
+
+
+def _archive_in_two_runs(spark: SparkSession, sf_dir: str) -> str:
+    """Even and odd readings archived by two runs, each with a checkpoint of its own, into one base."""
+    base = scratch_path(spark, "archive")
+    for half in (0, 1):
+        events = tables.event_stream(spark, sf_dir).where(F.col("event_id") % 2 == half)
+        jobs.start_alert_archive(_flat_messages(events), base, f"{base}/checkpoint-{half}", _UNTIL_READ).awaitTermination()
+    return base
+
+
+_ARCHIVED_SQL = """
+select strftime(event_time, '%Y-%m-%d %H:%M:%S') as event_time, temperature, windspeed, wind_alert_level,
+       heat_alert_level
+from transformed where (wind_alert_level <> 'level_0' or heat_alert_level <> 'level_0')"""
+
+
+def _archived(alerts: DataFrame) -> DataFrame:
+    timed = readings.with_event_timestamp(alerts).withColumn("event_time", second_text("event_timestamp"))
+    return timed.select(*_ALERT_COLUMNS)
+
+
+@query(over(READINGS, _ARCHIVED_SQL))
+def stream_archive_two_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _archived(archived_alerts(spark, _archive_in_two_runs(spark, sf_dir)))
+
+
+@query(over(READINGS, _ARCHIVED_SQL + " and country = 'NATION_14' and city = 'CITY_2'"))
+def stream_archive_of_a_city(spark: SparkSession, sf_dir: str) -> DataFrame:
+    base = _archive_in_two_runs(spark, sf_dir)
+    return _archived(archived_alerts(spark, base, place=("NATION_14", "CITY_2")))
+
+
+def _detected(spark: SparkSession, sf_dir: str) -> str:
+    base = scratch_path(spark, "anomalies")
+    profile = reference(spark, sf_dir)
+    jobs.start_anomaly_detector(
+        _flat_stream(spark, sf_dir), lambda: profile, f"{base}/checkpoint", archive=base,
+        statistics=f"{base}/statistics", trigger=_UNTIL_READ,
+    ).awaitTermination()
+    return base
+
+
+@query(
+    over(
+        FLAGS,
+        """
+select anomaly_type, observed_temperature, expected_temperature, observed_windspeed, expected_windspeed,
+       temp_deviation, wind_deviation, coalesce(country, 'Unknown') as country, coalesce(city, 'Unknown') as city,
+       year, month
+from flags where is_anomaly""",
+    )
+)
+def stream_anomaly_archive(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return archived_anomalies(spark, _detected(spark, sf_dir)).drop("event_time", "run_id", "batch_id")
+
+
+@query(
+    over(
+        FLAGS,
+        'select count(*) as "rows", count(*) filter (where is_anomaly) as anomalies from flags',
+    )
+)
+def stream_statistics(spark: SparkSession, sf_dir: str) -> DataFrame:
+    counted = spark.read.schema("rows bigint, anomalies bigint").json(f"{_detected(spark, sf_dir)}/statistics")
+    return counted.agg(F.sum("rows").alias("rows"), F.sum("anomalies").alias("anomalies"))
+
+
 @query(over(FLAGS, f"select strftime(event_time, '%Y-%m-%d %H:%M:%S') as event_time, {MESSAGE_COLUMNS} from messages"))
 def stream_anomaly_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
     base = scratch_path(spark, "anomalies")

@@ -2,45 +2,49 @@
 
 from __future__ import annotations
 
+from dataclasses import dataclass
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from isobar.operators.documents import place_for_storage
 
 
-def send_messages(messages: DataFrame, kind: str, target: str, batch_id: int | None = None, **options: str) -> None:
+@dataclass(frozen=True)
+class Batch:
+    """One micro-batch: the run it belongs to, which lasts as long as its checkpoint, and its number."""
+
+    run: str
+    number: int
+
+    def folder(self, path: str) -> str:
+        return f"{path}/run_id={self.run}/batch_id={self.number}"
+
+
+def send_messages(messages: DataFrame, kind: str, target: str, batch: Batch | None = None, **options: str) -> None:
     """Write (key, value) messages to a topic or as files.
 
-    Files of a micro-batch are filed under its id and replace what an earlier attempt
-    at the same batch left behind.
+    Files of a micro-batch are filed under its run and number and replace what an earlier
+    attempt at the same batch left behind.
     """
     if kind == "kafka":
         messages.write.format("kafka").option("topic", target).options(**options).save()
-    elif batch_id is None:
+    elif batch is None:
         messages.write.mode("append").format(kind).options(**options).save(target)
     else:
-        _replace_batch(messages, target, [], batch_id, kind)
+        archive_batch(messages, target, [], batch, kind)
 
 
-def _replace_batch(df: DataFrame, path: str, partitions: list[str], batch_id: int, kind: str) -> None:
-    placed = df.withColumn("batch_id", F.lit(batch_id).cast("bigint"))
-    if partitions:
-        # A hot place is split over several tasks, small ones share one.
-        placed = placed.hint("rebalance", *partitions)
-    (
-        placed.write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .partitionBy(*partitions, "batch_id")
-        .format(kind)
-        .save(path)
-    )
+def archive_batch(df: DataFrame, path: str, partitions: list[str], batch: Batch, kind: str = "json") -> None:
+    """Add one micro-batch to a partitioned archive, once however often it is retried.
 
-
-def archive_batch(
-    df: DataFrame, path: str, partitions: list[str], batch_id: int, kind: str = "json"
-) -> None:
-    """Add one micro-batch to a partitioned archive, once however often it is retried."""
-    _replace_batch(df, path, partitions, batch_id, kind)
+    The folder of the batch is written as a whole, so a retry leaves nothing of an earlier
+    attempt, and a job that starts anew never meets the batches of another run.
+    """
+    # A hot place is split over several tasks, small ones share one.
+    placed = df.hint("rebalance", *partitions) if partitions else df
+    writer = placed.write.mode("overwrite").option("partitionOverwriteMode", "static")
+    writer.partitionBy(*partitions).format(kind).save(batch.folder(path))
 
 
 def compact_archive(archive: DataFrame, path: str, partitions: list[str], kind: str = "json") -> None:
@@ -49,7 +53,7 @@ def compact_archive(archive: DataFrame, path: str, partitions: list[str], kind:
     ``path`` must be another folder than the archive's own; readers take either.
     """
     (
-        archive.drop("batch_id")
+        archive.drop("run_id", "batch_id")
         .hint("rebalance", *partitions)
         .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")

@@ -11,8 +11,10 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from isobar import schemas
+from isobar.functions.places import safe_text
 from isobar.operators.documents import unfold_enriched
 from isobar.operators.history import unfold_history
+from isobar.operators.serving import city_rows
 
 # Where each kind of document lies below base/country/city.
 TREE = {
@@ -33,31 +35,58 @@ def _with_dirs(schema: StructType) -> StructType:
     return named
 
 
-def _read(spark: SparkSession, base: str, kind: str, schema: StructType, layout: str) -> DataFrame:
+#: Country and city whose files alone are read.
+Place = tuple[str, str]
+
+
+def _literal(name: str) -> str:
+    """A folder name as a path pattern that matches nothing else."""
+    return "".join(f"\\{c}" if c in "*?[]{}\\" else c for c in safe_text(name))
+
+
+def _read(
+    spark: SparkSession, base: str, kind: str, schema: StructType, layout: str, place: Place | None = None
+) -> DataFrame:
     if layout == "tree":
         multi_line = kind != "alerts"
-        return spark.read.schema(schema).option("multiLine", multi_line).json(f"{base}/*/*/{TREE[kind]}")
-    return spark.read.schema(_with_dirs(schema)).json(f"{base}/{kind}")
+        country, city = map(_literal, place) if place else ("*", "*")
+        return spark.read.schema(schema).option("multiLine", multi_line).json(f"{base}/{country}/{city}/{TREE[kind]}")
+    read = spark.read.schema(_with_dirs(schema)).json(f"{base}/{kind}")
+    if place:
+        country, city = map(safe_text, place)
+        read = read.where((F.col("country_dir") == country) & (F.col("city_dir") == city))
+    return read
 
 
-def history_documents(spark: SparkSession, base: str, layout: str = "tree") -> DataFrame:
-    return _read(spark, base, "history", schemas.HISTORY_DOCUMENT, layout)
+def stored_places(spark: SparkSession, base: str, kind: str = "history") -> DataFrame:
+    """(country, city) folder names of a stored kind, from the names of its files alone."""
+    files = spark.read.format("binaryFile").option("pathGlobFilter", "*.json").load(f"{base}/{kind}")
+    return files.select(F.col("country_dir").alias("country"), F.col("city_dir").alias("city")).distinct()
 
 
-def daily_history(spark: SparkSession, base: str, layout: str = "tree") -> DataFrame:
+def history_documents(
+    spark: SparkSession, base: str, layout: str = "tree", place: Place | None = None
+) -> DataFrame:
+    return _read(spark, base, "history", schemas.HISTORY_DOCUMENT, layout, place)
+
+
+def daily_history(spark: SparkSession, base: str, layout: str = "tree", place: Place | None = None) -> DataFrame:
     """Daily observation rows; a file that is no JSON contributes none.
 
     ``layout="rows"`` reads the Parquet that store_daily() wrote, of which only the needed
     columns and, for one city, only the matching row groups are read.
     """
     if layout == "rows":
-        return spark.read.schema(schemas.DAILY).parquet(f"{base}/daily")
-    return unfold_history(history_documents(spark, base, layout))
+        days = spark.read.schema(schemas.DAILY).parquet(f"{base}/daily")
+        return city_rows(days, *place) if place else days
+    return unfold_history(history_documents(spark, base, layout, place))
 
 
-def enriched_profiles(spark: SparkSession, base: str, layout: str = "tree") -> DataFrame:
-    """Monthly rows of all stored enriched profiles."""
-    return unfold_enriched(_read(spark, base, "enriched", schemas.ENRICHED_DOCUMENT, layout))
+def enriched_profiles(
+    spark: SparkSession, base: str, layout: str = "tree", place: Place | None = None
+) -> DataFrame:
+    """Monthly rows of all stored enriched profiles, or of one city's."""
+    return unfold_enriched(_read(spark, base, "enriched", schemas.ENRICHED_DOCUMENT, layout, place))
 
 
 def unfold_alerts(entries: DataFrame) -> DataFrame:
@@ -67,20 +96,32 @@ def unfold_alerts(entries: DataFrame) -> DataFrame:
     return kept.select("alert_data.*", F.coalesce("timestamp", F.lit("")).alias("saved_timestamp"), *dirs)
 
 
-def archived_alerts(spark: SparkSession, base: str, layout: str = "table") -> DataFrame:
-    return unfold_alerts(_read(spark, base, "alerts", schemas.ALERT_ENTRY, layout))
+def archived_alerts(
+    spark: SparkSession, base: str, layout: str = "table", place: Place | None = None
+) -> DataFrame:
+    return unfold_alerts(_read(spark, base, "alerts", schemas.ALERT_ENTRY, layout, place))
 
 
-def archived_anomalies(spark: SparkSession, base: str, layout: str = "table") -> DataFrame:
+def archived_anomalies(
+    spark: SparkSession, base: str, layout: str = "table", place: Place | None = None
+) -> DataFrame:
     """Anomaly rows with country, city, year and month."""
-    place = ("country", "city", "year", "month")
     if layout == "tree":
-        files = _read(spark, base, "anomalies", schemas.ANOMALY_FILE, layout)
-        return files.select(*place, F.inline("anomalies"))
+        files = _read(spark, base, "anomalies", schemas.ANOMALY_FILE, layout, place)
+        return files.select(*schemas.ANOMALY_PLACE.fieldNames(), F.inline("anomalies"))
     schema = StructType(schemas.ANOMALY_ROW.fields + schemas.ANOMALY_PLACE.fields)
-    return spark.read.schema(schema).json(f"{base}/anomalies")
-
-
-def stored(spark: SparkSession, base: str, kind: str, schema: StructType, layout: str = "table") -> DataFrame:
+    rows = spark.read.schema(schema).json(f"{base}/anomalies")
+    # This archive is partitioned by the names themselves.
+    return city_rows(rows, *place) if place else rows
+
+
+def stored(
+    spark: SparkSession,
+    base: str,
+    kind: str,
+    schema: StructType,
+    layout: str = "table",
+    place: Place | None = None,
+) -> DataFrame:
     """Records or seasonal documents with the given schema."""
-    return _read(spark, base, kind, schema, layout)
+    return _read(spark, base, kind, schema, layout, place)

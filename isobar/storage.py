@@ -2,26 +2,18 @@
 
 from __future__ import annotations
 
-import functools
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
 
-@functools.cache
-def _local_scratch() -> str:
-    return tempfile.mkdtemp(prefix="isobar-")
-
-
 def scratch_root(spark: SparkSession) -> str:
-    """The cluster's shared checkpoint folder; a temp folder only in local mode."""
+    """The cluster's shared checkpoint folder; where none is set, a folder of the warehouse,
+    which all executors share too."""
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if configured:
         return configured.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
-        raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
-    return _local_scratch()
+    return f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/_scratch"
 
 
 def scratch_path(spark: SparkSession, label: str) -> str:

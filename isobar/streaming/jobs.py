@@ -12,15 +12,14 @@ from collections.abc import Callable
 from pyspark.errors import StreamingQueryException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.streaming import StreamingQuery, StreamingQueryListener
 
 from isobar.functions.deviations import SIGMA_LIMIT, TEMPERATURE_LIMIT
 from isobar.functions.places import location_key
 from isobar.operators import anomalies, readings, summaries, windows
 from isobar.operators.records import top_k_per_group
 from isobar.schemas import ANOMALY_MESSAGE, RAW_READING
-from isobar.sinks.writers import archive_batch, send_messages
-from isobar.storage import materialise
+from isobar.sinks.writers import Batch, archive_batch, send_messages
 
 Trigger = dict[str, object]
 Sink = tuple[str, str]
@@ -36,11 +35,23 @@ ROCKSDB = {
 }
 
 
+def _run_id(spark: SparkSession, checkpoint: str) -> str:
+    """The id that the checkpoint's own metadata gives the query; a new checkpoint has a new one."""
+    return spark.read.schema("id string").json(f"{checkpoint}/metadata").first().id
+
+
 def _run_batches(
-    stream: DataFrame, checkpoint: str, trigger: Trigger, mode: str, process: Callable[[DataFrame, int], None]
+    stream: DataFrame, checkpoint: str, trigger: Trigger, mode: str, process: Callable[[DataFrame, Batch], None]
 ) -> StreamingQuery:
+    run: list[str] = []
+
+    def numbered(rows: DataFrame, number: int) -> None:
+        if not run:
+            run.append(_run_id(rows.sparkSession, checkpoint))
+        process(rows, Batch(run[0], number))
+
     writer = stream.writeStream.outputMode(mode).option("checkpointLocation", checkpoint)
-    return writer.trigger(**trigger).foreachBatch(process).start()
+    return writer.trigger(**trigger).foreachBatch(numbered).start()
 
 
 def deduplicated(stream: DataFrame, keys: list[str], time_column: str, lateness: str = LATENESS) -> DataFrame:
@@ -61,14 +72,14 @@ def start_transform(
     flat = readings.flatten_readings(readings.parse_messages(messages, RAW_READING), event_time)
     out = readings.reading_messages(flat)
 
-    def process(batch: DataFrame, batch_id: int) -> None:
-        batch = batch.persist()
+    def process(rows: DataFrame, batch: Batch) -> None:
+        rows = rows.persist()
         try:
-            send_messages(batch, *sink, batch_id=batch_id, **options)
+            send_messages(rows, *sink, batch=batch, **options)
             if statistics:
-                archive_batch(summaries.batch_statistics(batch, "key"), statistics, [], batch_id)
+                archive_batch(summaries.batch_statistics(rows, "key"), statistics, [], batch)
         finally:
-            batch.unpersist()
+            rows.unpersist()
 
     return _run_batches(out, checkpoint, trigger, "append", process)
 
@@ -93,17 +104,18 @@ def start_window_metrics(
     flat = readings.parse_flat_readings(messages)
     metrics = windows.window_metrics(flat, width, slide, by, lateness)
 
-    def process(batch: DataFrame, batch_id: int) -> None:
-        archive_batch(windows.stamp_computed(batch), path, [], batch_id, "parquet")
+    def process(rows: DataFrame, batch: Batch) -> None:
+        archive_batch(windows.stamp_computed(rows), path, [], batch, "parquet")
 
     return _run_batches(metrics, checkpoint, trigger, mode, process)
 
 
 def read_windows(spark: SparkSession, path: str) -> DataFrame:
-    """The last written state of every window."""
+    """The last written state of every window, whichever run wrote it."""
     states = spark.read.parquet(path)
     keys = [name for name in ("window_start", "window_end", "location", "city", "country") if name in states.columns]
-    return top_k_per_group(states, keys, [F.desc("batch_id")], 1).drop("rank", "batch_id")
+    newest = [F.desc("computed_at"), F.desc("batch_id"), F.desc("run_id")]
+    return top_k_per_group(states, keys, newest, 1).drop("rank", "run_id", "batch_id")
 
 
 def start_alert_archive(
@@ -112,8 +124,8 @@ def start_alert_archive(
     """Alerts archived by country and city, each micro-batch exactly once."""
     entries = readings.alert_entries(readings.parse_flat_readings(messages))
 
-    def process(batch: DataFrame, batch_id: int) -> None:
-        archive_batch(batch, f"{base}/alerts", ["country_dir", "city_dir"], batch_id)
+    def process(rows: DataFrame, batch: Batch) -> None:
+        archive_batch(rows, f"{base}/alerts", ["country_dir", "city_dir"], batch)
 
     return _run_batches(entries, checkpoint, trigger, "append", process)
 
@@ -121,16 +133,23 @@ def start_alert_archive(
 def refreshed(
     load: Callable[[], DataFrame], every: float, clock: Callable[[], float] = time.monotonic
 ) -> Callable[[], DataFrame]:
-    """Load a profile and store it once, and anew when it is ``every`` seconds old.
+    """Load a profile once, and anew when it is ``every`` seconds old.
 
-    Between refreshes micro-batches join the stored table, whose size Catalyst knows.
+    Between refreshes micro-batches join the cached table, whose size Catalyst knows; what a
+    lost executor held of it is read again. The copy before is let go when its successor
+    is in use, so there are never more than two.
     """
     held: dict[str, object] = {}
 
     def current() -> DataFrame:
         now = clock()
         if not held or now - held["at"] >= every:
-            held.update(at=now, profile=materialise(load(), "reference"))
+            before = held.get("profile")
+            profile = load().persist()
+            profile.count()  # a table read in full has a known size
+            held.update(at=now, profile=profile)
+            if before is not None:
+                before.unpersist()
         return held["profile"]
 
     return current
@@ -156,35 +175,54 @@ def start_anomaly_detector(
     """
     flat = readings.parse_flat_readings(messages)
 
-    def process(batch: DataFrame, batch_id: int) -> None:
+    def process(rows: DataFrame, batch: Batch) -> None:
         flags = anomalies.flag_anomalies(
-            batch, load_profile(), temp_threshold, wind_threshold, carry=("latitude", "longitude")
+            rows, load_profile(), temp_threshold, wind_threshold, carry=("latitude", "longitude")
         ).persist()
         try:
             if sink:
                 found = anomalies.anomaly_messages(flags, carry=("latitude", "longitude"))
                 keyed = readings.keyed_json(found, location_key(), ANOMALY_MESSAGE.fieldNames())
-                send_messages(keyed, *sink, batch_id=batch_id, **options)
+                send_messages(keyed, *sink, batch=batch, **options)
             if archive:
-                rows = anomalies.archive_rows(flags)
-                archive_batch(rows, f"{archive}/anomalies", ["country", "city", "year", "month"], batch_id)
+                found = anomalies.archive_rows(flags)
+                archive_batch(found, f"{archive}/anomalies", ["country", "city", "year", "month"], batch)
             if statistics:
                 located = flags.withColumn("location_key", location_key())
                 counted = summaries.batch_statistics(located, "location_key", "is_anomaly")
-                archive_batch(counted, statistics, [], batch_id)
+                archive_batch(counted, statistics, [], batch)
         finally:
             flags.unpersist()
 
     return _run_batches(flat, checkpoint, trigger, "append", process)
 
 
-def late_rows(query: StreamingQuery) -> int:
-    """Rows the watermark has dropped, over the progress reports the query still keeps."""
-    return sum(
-        operator["numRowsDroppedByWatermark"]
-        for progress in query.recentProgress
-        for operator in progress["stateOperators"]
-    )
+class LateRows(StreamingQueryListener):
+    """Rows that watermarks have dropped, by query id, over the whole run of each query."""
+
+    def __init__(self) -> None:
+        self.dropped: dict[str, int] = {}
+
+    def onQueryStarted(self, event) -> None:
+        self.dropped.setdefault(str(event.id), 0)
+
+    def onQueryProgress(self, event) -> None:
+        progress = event.progress
+        late = sum(operator.numRowsDroppedByWatermark for operator in progress.stateOperators)
+        self.dropped[str(progress.id)] = self.dropped.get(str(progress.id), 0) + late
+
+    def onQueryIdle(self, event) -> None:
+        pass
+
+    def onQueryTerminated(self, event) -> None:
+        pass
+
+
+def count_late_rows(spark: SparkSession) -> LateRows:
+    """Count late rows of all queries from now on; progress reports reach the counter a moment later."""
+    counter = LateRows()
+    spark.streams.addListener(counter)
+    return counter
 
 
 def supervise(

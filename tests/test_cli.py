@@ -71,9 +71,9 @@ def test_live_readings_end_as_anomalies(spark, base):
         main([job, "--source", "json", "--input", source, "--checkpoint", f"{live}/{job}-checkpoint", "--once", *more])
 
     stream("transform", f"{live}/raw-january", "--sink", "json", "--output", f"{live}/flat", "--event-time", "payload")
-    stream("alerts", f"{live}/flat/batch_id=0", "--base", base)
-    stream("windows", f"{live}/flat/batch_id=0", "--output", f"{live}/windows")
-    stream("detect", f"{live}/flat/batch_id=0", "--base", base, "--sink", "json", "--output", f"{live}/anomalies")
+    stream("alerts", f"{live}/flat/*/*", "--base", base)
+    stream("windows", f"{live}/flat/*/*", "--output", f"{live}/windows")
+    stream("detect", f"{live}/flat/*/*", "--base", base, "--sink", "json", "--output", f"{live}/anomalies")
 
     assert stored.archived_alerts(spark, base).count() == 2
     assert spark.read.parquet(f"{live}/windows").count() == 5
@@ -104,7 +104,7 @@ def test_sql_over_stored_tables(spark, base, capfd):
 
 
 def test_sql_over_live_readings(spark, base, capfd):
-    flat = f"{base}/live/flat/batch_id=0"
+    flat = f"{base}/live/flat/*/*"
     statement = "select city, count(*) as total_alerts from weather_transformed where heat_alert_level = 'level_1' group by city"
     main(["sql", statement, "--source", "json", "--input", flat])
     assert "|Paris|1" in capfd.readouterr().out

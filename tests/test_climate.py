@@ -246,9 +246,7 @@ def thinned_by_hand(rows, points):
     return kept
 
 
-@pytest.mark.parametrize("rows_per_task", [1_000_000, 1])
-def test_thin_series_equals_brute_force(spark, monkeypatch, rows_per_task):
-    monkeypatch.setattr(serving, "ROWS_PER_TASK", rows_per_task)
+def test_thin_series_equals_brute_force(spark):
     rows, df = series(spark, {"hot": 900, "mid": 70, "few": 5, None: 33})
     thinned = serving.thin_series(df, ["city"], ["date", "a", "b"], points=20)
     wanted = sorted(thinned_by_hand(rows, 20), key=str)

@@ -54,9 +54,7 @@ def wanted(connection, sql):
 ORDER = ["date", "temperature_max", "temperature_min", "windspeed_max", "precipitation"]
 
 
-@pytest.mark.parametrize("rows_per_task", [1_000_000, 500])
-def test_thinning(skewed, duck, monkeypatch, rows_per_task):
-    monkeypatch.setattr(serving, "ROWS_PER_TASK", rows_per_task)
+def test_thinning(skewed, duck):
     thinned = serving.thin_series(skewed, ["country", "city"], ORDER).select("city", *ORDER)
     sql = f"""
 select city, {", ".join(ORDER)} from (
@@ -80,14 +78,14 @@ def test_a_hot_group_is_numbered_in_many_slices(skewed, monkeypatch):
     assert len(sizes) > 1 and max(sizes) < ROWS / 2
 
 
-@pytest.mark.parametrize("salts", [1, 8])
-def test_top_k(skewed, duck, salts):
+@pytest.mark.parametrize(("k", "fan_in"), [(150, 64), (150, 2), (1500, 2)])
+def test_top_k(skewed, duck, k, fan_in):
     order = [F.desc(name) for name in ("temperature_max", "date", "temperature_min", "windspeed_max", "precipitation")]
-    top = records.top_k_per_group(skewed, ["city"], order, 150, salts=salts)
-    sql = """
+    top = records.top_k_per_group(skewed, ["city"], order, k, fan_in=fan_in)
+    sql = f"""
 select city, date, temperature_max, rn from (
   select *, row_number() over (partition by city order by temperature_max desc, date desc, temperature_min desc,
-                               windspeed_max desc, precipitation desc) as rn from t) where rn <= 150"""
+                               windspeed_max desc, precipitation desc) as rn from t) where rn <= {k}"""
     assert rows_of(top.select("city", "date", "temperature_max", "rank")) == wanted(duck, sql)
 
 

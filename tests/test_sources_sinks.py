@@ -129,9 +129,18 @@ def test_either_output_can_be_skipped(spark, folder):
 
 def test_a_retried_batch_is_archived_once(spark, folder):
     rows = spark.createDataFrame([("F", "P", 1), ("F", "L", 2)], "country string, city string, n int")
-    for batch_id in (0, 0, 1, 1):
-        writers.archive_batch(rows, folder, ["country", "city"], batch_id)
+    for number in (0, 0, 1, 1):
+        writers.archive_batch(rows, folder, ["country", "city"], writers.Batch("run", number))
     assert spark.read.json(folder).count() == 4
+    writers.archive_batch(rows, folder, ["country", "city"], writers.Batch("later", 0))
+    assert spark.read.json(folder).count() == 6
+
+
+def test_a_retry_with_fewer_places_leaves_nothing_behind(spark, folder):
+    rows = spark.createDataFrame([("F", "P", 1), ("F", "L", 2)], "country string, city string, n int")
+    for part in (rows, rows.where("n = 1")):
+        writers.archive_batch(part, folder, ["country", "city"], writers.Batch("run", 0))
+    assert [row.n for row in spark.read.json(folder).collect()] == [1]
 
 
 def test_compacting_keeps_the_rows(spark, folder):
@@ -139,19 +148,40 @@ def test_compacting_keeps_the_rows(spark, folder):
     names = [*schemas.ANOMALY_ROW.fieldNames(), *schemas.ANOMALY_PLACE.fieldNames()]
     place = schemas.ANOMALY_PLACE.fieldNames()
     for batch_id in range(3):
-        writers.archive_batch(spark.createDataFrame([row], names), f"{folder}/a/anomalies", place, batch_id)
+        one = spark.createDataFrame([row], names)
+        writers.archive_batch(one, f"{folder}/a/anomalies", place, writers.Batch("run", batch_id))
     writers.compact_archive(stored.archived_anomalies(spark, f"{folder}/a"), f"{folder}/b/anomalies", place)
     compacted = stored.archived_anomalies(spark, f"{folder}/b")
     assert (compacted.count(), len(compacted.inputFiles())) == (3, 1)
 
 
-def test_city_lookup_reads_only_its_files(spark, folder):
-    rows = spark.createDataFrame([("F", "P", 1), ("F", "L", 2), ("G", "P", 3)], "country string, city string, n int")
-    writers.archive_batch(rows, folder, ["country", "city"], 0)
-    table = spark.read.schema("n int, country string, city string").json(folder)
-    found = serving.city_rows(table, "F", "P")
-    assert [row.n for row in found.collect()] == [1]
-    assert len(found.inputFiles()) == 3 and "PartitionFilters: [isnotnull(country" in plan_of(found)
+def test_city_lookups_read_only_their_files(spark, folder):
+    """Every stored layout is pruned to the place before anything is parsed."""
+    days = daily(spark, day("2020-01-01", city="New York"), day("2020-01-01", city="Lyon"))
+    writers.store_documents(documents.record_documents(records.climate_records(days)), folder, "records")
+    profile = profiles.full_profile(days)
+    built = documents.enriched_documents(profile, profiles.completeness(profile))
+    writers.store_documents(built, folder, "enriched", by_year=True)
+    graded = readings.grade_alerts(
+        spark.createDataFrame(
+            [("France", "New York", 1.0, 2.0, 40.0, 30.0), ("France", "Lyon", 1.0, 2.0, 40.0, 30.0)],
+            "country string, city string, latitude double, longitude double, temperature double, windspeed double",
+        )
+    )
+    entries = readings.alert_entries(graded)
+    writers.archive_batch(entries, f"{folder}/alerts", ["country_dir", "city_dir"], writers.Batch("run", 0))
+    place = ("France", "New York")
+    found = {
+        "records": stored.stored(spark, folder, "records", schemas.RECORD_DOCUMENT, place=place),
+        "enriched": stored.enriched_profiles(spark, folder, "table", place),
+        "alerts": stored.archived_alerts(spark, folder, place=place),
+    }
+    for kind, rows in found.items():
+        filters = next(line for line in plan_of(rows).splitlines() if "PartitionFilters" in line)
+        filters = filters.split("PartitionFilters: [")[1].split("]")[0]
+        assert "country_dir" in filters and "city_dir" in filters, kind
+        assert {row.city for row in rows.collect()} == {"New York"}, kind
+    assert {row.city for row in stored.stored_places(spark, folder, "records").collect()} == {"New_York", "Lyon"}
 
 
 def plan_of(df):

@@ -2,6 +2,7 @@
 
 import datetime
 import json
+import time
 
 import pytest
 from pyspark.errors import StreamingQueryException
@@ -56,11 +57,18 @@ def test_late_rows_are_dropped_and_null_times_ignored(spark, folder):
     drop(spark, folder, [flat(0), flat(40), flat(None)], "a")
     drop(spark, folder, [flat(41)], "b")
     drop(spark, folder, [flat(35, temperature=99.0), flat(5, temperature=99.0)], "c")
-    query = jobs.start_window_metrics(
-        inbox(spark, folder), f"{folder}/out", f"{folder}/checkpoint", slide=None, trigger=NOW
-    )
-    query.awaitTermination()
-    assert jobs.late_rows(query) == 1
+    counter = jobs.count_late_rows(spark)
+    try:
+        query = jobs.start_window_metrics(
+            inbox(spark, folder), f"{folder}/out", f"{folder}/checkpoint", slide=None, trigger=NOW
+        )
+        query.awaitTermination()
+        until = time.monotonic() + 20
+        while counter.dropped.get(str(query.id)) != 1 and time.monotonic() < until:
+            time.sleep(0.1)
+    finally:
+        spark.streams.removeListener(counter)
+    assert counter.dropped[str(query.id)] == 1
     found = jobs.read_windows(spark, f"{folder}/out")
     counts = {row.window_start.strftime("%H:%M"): (row.total_messages, row.max_temperature) for row in found.collect()}
     assert counts == {"10:30": (1, 26.0), "11:10": (2, 26.0), "11:05": (1, 99.0)}
@@ -132,6 +140,19 @@ def test_alert_archive_has_no_doubles_after_restart(spark, folder):
     assert {(row.country_dir, row.city_dir) for row in rows} == {("France", "Paris"), ("Lat_48.5", "Lon_2.25")}
 
 
+def test_runs_with_new_checkpoints_add_to_the_same_outputs(spark, folder):
+    """What a run stored stays when a job starts with a new checkpoint."""
+    for n, values in enumerate(([flat(0), flat(1)], [flat(2, city="Lyon")])):
+        drop(spark, f"{folder}/{n}", values, "a")
+        source = inbox(spark, f"{folder}/{n}")
+        jobs.start_alert_archive(source, folder, f"{folder}/{n}/alerts", NOW).awaitTermination()
+        source = inbox(spark, f"{folder}/{n}")
+        jobs.start_window_metrics(source, f"{folder}/w", f"{folder}/{n}/w", slide=None, trigger=NOW).awaitTermination()
+    assert sorted(row.city for row in archived_alerts(spark, folder).collect()) == ["Lyon", "Paris", "Paris"]
+    found = {row.city: row.total_messages for row in jobs.read_windows(spark, f"{folder}/w").collect()}
+    assert found == {"Paris": 2, "Lyon": 1}
+
+
 PROFILE = (
     "country string, city string, month int, avg_temperature double, std_temperature double, temp_median double, "
     "avg_windspeed double, std_windspeed double, wind_median double, alert_probability double"
@@ -195,6 +216,17 @@ def test_profiles_are_refreshed_when_old(spark):
     assert seen == [1.0, 1.0, 2.0, 2.0, 3.0]
 
 
+def test_refreshing_keeps_at_most_two_copies(spark):
+    now = [0.0]
+    held = lambda: len(spark.sparkContext._jsc.getPersistentRDDs())
+    before = held()
+    current = jobs.refreshed(lambda: spark.range(5).selectExpr(f"id + {int(now[0])} as v"), 60.0, lambda: now[0])
+    for turn in range(10):
+        now[0] = turn * 100.0
+        current().count()
+        assert held() - before <= 2
+
+
 def test_repeats_within_the_watermark_are_dropped(spark, folder):
     drop(spark, folder, [flat(0), flat(0), flat(1)], "a")
     drop(spark, folder, [flat(0), flat(2)], "b")
