@@ -14,8 +14,9 @@ from pyspark.sql import SparkSession
 
 import isobar
 
-#: Bytes of text handled at once; a longer text is handled alone.
-CHUNK_BYTES = 4 << 20
+#: Bytes of text handled at once, a longer text alone. The arrays made of them take some
+#: hundred times as much, in each Python worker.
+CHUNK_BYTES = 1 << 20
 
 
 def ship_package(spark: SparkSession) -> None:

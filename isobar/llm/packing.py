@@ -29,7 +29,7 @@ LENGTH = 2048
 #: The id that ends each document.
 END = 1
 #: Units a worker remembers before it starts anew.
-REMEMBERED = 800_000
+REMEMBERED = 500_000
 #: Partitions of the first pass whose totals are summed by one task.
 BLOCK = 4096
 
@@ -63,7 +63,7 @@ def encode(docs: DataFrame, tokenizer: str, end: int, id_col: str, text_col: str
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder, part, total = worker_encoder(definition.value, REMEMBERED), TaskContext.get().partitionId(), 0
-        for batch in chunks(batches, "text", 4 * CHUNK_BYTES):
+        for batch in chunks(batches, "text", 8 * CHUNK_BYTES):
             ids = [one + last for one in encode_texts(batch.column("text"), encoder)]
             sizes = np.array([len(one) for one in ids], dtype=np.int64) // 4
             before = total + np.cumsum(sizes) - sizes

@@ -26,7 +26,7 @@ FREQUENT = 65_536
 #: Expected rows of the sample the table is made of; it decides speed, never a count.
 SAMPLE_ROWS = 4_000
 #: Pre-tokens a worker remembers before it starts anew.
-REMEMBERED = 800_000
+REMEMBERED = 500_000
 
 
 def _lengths(encoder: UnitEncoder, values: list[bytes]) -> np.ndarray:
@@ -100,7 +100,7 @@ def token_counts(
         definition, common, lengths = table.value
         encoder = worker_encoder(definition, REMEMBERED)
         values = pa.array(common, pa.large_string())
-        for batch in chunks(batches, "text", 4 * CHUNK_BYTES):
+        for batch in chunks(batches, "text", 8 * CHUNK_BYTES):
             texts = batch.column("text")
             _, places = text_bytes(texts)
             counts = count_tokens(texts, encoder, values, lengths)
