@@ -6,10 +6,11 @@ their band hashes. Pairs are never listed within a bucket. Each member is compar
 the full n-gram sets, with one leader of its bucket; the links found join the members.
 
 A bucket whose members have not become one group may hide more links, between members
-that are both unlike the leader. Their members are joined on prefixes instead: two sets
-with a similarity of t share one of the |x| - ceil(t |x|) + 1 rarest n-grams of either,
-so only texts that share such an n-gram, and are not in one group yet, are compared.
-That finds every link the buckets can hold, whatever their size.
+that are both unlike the leader. In a small bucket the members of different groups are
+compared, so each has a bounded number of partners. In a large one they are joined on
+prefixes: two sets with a similarity of t share one of the |x| - ceil(t |x|) + 1 rarest
+n-grams of either, at places that leave room for the overlap. Both ways find every link
+the buckets hold.
 """
 
 from __future__ import annotations
@@ -22,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from isobar.llm.arrow import chunks, ship_package
+from isobar.llm.arrow import chunks, lists, ship_package
 from isobar.llm.components import components
 from isobar.llm.words import mixed, odd_numbers, shingles_of, words_of
 from isobar.storage import materialise
@@ -32,6 +33,8 @@ SIMILARITY = 0.8
 RECALL = 0.99
 #: Hash functions that may be spent on a signature.
 HASHES = 256
+#: Members of a bucket that are compared directly; beyond, prefixes choose the pairs.
+SMALL = 24
 _PART = 2048
 
 
@@ -80,8 +83,7 @@ def signatures(rows: DataFrame, words: int, bands: int, length: int) -> DataFram
                     rows = _signature(own, factors).reshape(bands, length)
                     hashes.append(mixed((rows * band_factors).sum(axis=1, dtype=np.uint64) ^ band_number))
             flat = np.concatenate(hashes).view(np.int64) if hashes else np.empty(0, np.int64)
-            ends = np.concatenate([[0], np.cumsum((np.array(sizes) > 0) * bands)])
-            banded = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(flat))
+            banded = lists(flat, np.concatenate([[0], np.cumsum((np.array(sizes) > 0) * bands)]))
             yield pa.RecordBatch.from_arrays(
                 [batch.column("key"), pa.array(sizes, pa.int32()), banded], ["key", "grams", "bands"]
             )
@@ -105,67 +107,74 @@ def _verified(pairs: DataFrame, texts: DataFrame, words: int, similarity: float)
                 keep.append(common >= similarity * (len(one) + len(other) - common))
             yield batch.filter(pa.array(keep, pa.bool_())).select(["a", "b"])
 
-    sides = [texts.select(F.col("key").alias(c), F.col("text").alias(f"text_{c}")) for c in "ab"]
+    sides = [texts.select(F.col("node").alias(c), F.col("text").alias(f"text_{c}")) for c in "ab"]
     joined = pairs.join(sides[0], "a").join(sides[1], "b").select("a", "b", "text_a", "text_b")
-    return joined.mapInArrow(run, "a binary, b binary")
+    return joined.mapInArrow(run, "a bigint, b bigint")
 
 
 def _alike_in_size(similarity: float) -> Column:
     return F.least("grams_a", "grams_b") >= similarity * F.greatest("grams_a", "grams_b")
 
 
-def _leader_pairs(buckets: DataFrame, similarity: float) -> DataFrame:
-    """(a, b): each member of a bucket with the bucket's leader."""
-    first = F.min(F.struct("key", "grams")).alias("first")
-    leaders = buckets.groupBy("band").agg(first, F.count(F.lit(1)).alias("members")).where("members > 1")
-    leaders = materialise(leaders.select("band", "first.key", "first.grams"), "leaders")
-    leaders = leaders.select("band", F.col("key").alias("a"), F.col("grams").alias("grams_a"))
-    members = buckets.select("band", F.col("key").alias("b"), F.col("grams").alias("grams_b"))
-    pairs = members.join(leaders, "band").where("a <> b").where(_alike_in_size(similarity))
-    return pairs.select("a", "b").distinct()
+def _sides(table: DataFrame, on: list[str]) -> tuple[DataFrame, DataFrame]:
+    others = [name for name in table.columns if name not in on]
+    left, right = (table.select(*on, *(F.col(c).alias(f"{c}_{side}") for c in others)) for side in "ab")
+    return left, right
 
 
-def _open_members(buckets: DataFrame, labels: DataFrame) -> DataFrame:
-    """(key, label) of the members of buckets that hold more than one group."""
-    grouped = buckets.join(labels.withColumnRenamed("node", "key"), "key", "left").select(
-        "band", "key", F.coalesce("label", "key").alias("label")
-    )
-    grouped = materialise(grouped, "grouped")
-    mixed_up = grouped.groupBy("band").agg(F.min("label").alias("low"), F.max("label").alias("high"))
-    open_bands = materialise(mixed_up.where("low <> high").select("band"), "open")
-    return materialise(grouped.join(open_bands, "band", "left_semi").select("key", "label").distinct(), "members")
+def _small_pairs(members: DataFrame, similarity: float) -> DataFrame:
+    """(a, b) of members of one small bucket that are in different groups."""
+    left, right = _sides(members.select("band", "node", "label", "grams"), ["band"])
+    apart = (F.col("node_a") < F.col("node_b")) & (F.col("label_a") != F.col("label_b")) & _alike_in_size(similarity)
+    return left.join(right, "band").where(apart).select(F.col("node_a").alias("a"), F.col("node_b").alias("b")).distinct()
 
 
-def _prefix_pairs(members: DataFrame, texts: DataFrame, words: int, similarity: float) -> DataFrame:
-    """(a, b) of members of different groups that share an n-gram of both their prefixes."""
+def _sets(members: DataFrame, texts: DataFrame, words: int) -> DataFrame:
+    """(node, sets): the n-grams of each member."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in chunks(batches, "text"):
             grams, first = shingles_of(words_of(batch.column("text")), words)
             own = [np.unique(grams[a:b]).view(np.int64) for a, b in zip(first[:-1], first[1:], strict=True)]
-            ends = np.concatenate([[0], np.cumsum([len(x) for x in own])])
-            column = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(np.concatenate(own)))
-            yield pa.RecordBatch.from_arrays(
-                [batch.column("key"), batch.column("label"), column], ["key", "label", "sets"]
-            )
+            column = lists(np.concatenate(own), np.concatenate([[0], np.cumsum([len(x) for x in own])]))
+            yield pa.RecordBatch.from_arrays([batch.column("node"), column], ["node", "sets"])
+
+    chosen = texts.join(members.select("node").distinct(), "node", "left_semi").select("node", "text")
+    return chosen.mapInArrow(run, "node bigint, sets array<bigint>")
 
-    sets = members.join(texts, "key").select("key", "label", "text")
-    sets = materialise(sets.mapInArrow(run, "key binary, label binary, sets array<bigint>"), "sets")
-    grams = sets.select("key", "label", F.size("sets").alias("grams"), F.explode("sets").alias("gram"))
+
+def _large_pairs(members: DataFrame, texts: DataFrame, words: int, similarity: float) -> DataFrame:
+    """(a, b) of members of one large bucket, of different groups, that share an n-gram of both prefixes."""
+    sets = materialise(_sets(members, texts, words), "sets")
+    grams = sets.select("node", F.explode("sets").alias("gram"))
     seen = grams.groupBy("gram").agg(F.count(F.lit(1)).alias("seen"))
-    # An n-gram that one text alone has joins nothing; it still takes its place in the prefix.
-    ranked = grams.join(seen, "gram").groupBy("key", "label", "grams").agg(
-        F.array_sort(F.collect_list(F.struct("seen", "gram"))).alias("order")
-    )
-    prefix = F.col("grams") - F.ceil(F.col("grams") * similarity).cast("int") + 1
-    tokens = ranked.select("key", "label", "grams", F.explode(F.slice("order", F.lit(1), prefix)).alias("token"))
-    tokens = materialise(tokens.where("token.seen > 1").select("key", "label", "grams", "token.gram"), "prefixes")
-    left, right = (
-        tokens.select("gram", *(F.col(c).alias(f"{c}_{side}") for c in ("key", "label", "grams"))) for side in "ab"
+    # The rarest n-grams come first; those of one text alone still take their places.
+    order = F.array_sort(F.collect_list(F.struct("seen", "gram")))
+    ranked = grams.join(seen, "gram").groupBy("node").agg(order.alias("order"))
+    size = F.size("order")
+    prefix = F.slice("order", F.lit(1), size - F.ceil(size * similarity).cast("int") + 1)
+    tokens = ranked.select("node", F.posexplode(prefix).alias("at", "token")).where("token.seen > 1")
+    tokens = materialise(tokens.select("node", "at", "token.gram"), "prefixes")
+    placed = members.select("band", "node", "label", "grams").join(tokens, "node")
+    left, right = _sides(placed, ["band", "gram"])
+    # The overlap that the similarity asks for must fit behind the first common n-gram.
+    overlap = F.ceil((F.col("grams_a") + F.col("grams_b")) * similarity / (1 + similarity) - 1e-9)
+    room = F.least(F.col("grams_a") - F.col("at_a"), F.col("grams_b") - F.col("at_b"))
+    apart = (F.col("node_a") < F.col("node_b")) & (F.col("label_a") != F.col("label_b")) & _alike_in_size(similarity)
+    pairs = left.join(right, ["band", "gram"]).where(apart & (room >= overlap))
+    return pairs.select(F.col("node_a").alias("a"), F.col("node_b").alias("b")).distinct()
+
+
+def _open_members(buckets: DataFrame, labels: DataFrame) -> DataFrame:
+    """The members of buckets that hold more than one group, with their groups."""
+    named = labels.withColumnRenamed("node", "known")
+    grouped = buckets.join(named, F.col("node") == F.col("known"), "left")
+    grouped = materialise(
+        grouped.select("band", "node", "grams", "members", F.coalesce("label", "node").alias("label")), "grouped"
     )
-    near = (F.col("key_a") < F.col("key_b")) & (F.col("label_a") != F.col("label_b")) & _alike_in_size(similarity)
-    pairs = left.join(right, "gram").where(near)
-    return pairs.select(F.col("key_a").alias("a"), F.col("key_b").alias("b")).distinct()
+    mixed_up = grouped.groupBy("band").agg(F.min("label").alias("low"), F.max("label").alias("high"))
+    open_bands = materialise(mixed_up.where("low <> high").select("band"), "open")
+    return materialise(grouped.join(open_bands, "band", "left_semi"), "open-members")
 
 
 def near_duplicates(
@@ -189,31 +198,38 @@ def near_duplicates(
     bands, length = choose_bands(similarity, recall)
     rows = docs.select(F.col(id_col).alias("id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
     rows = rows.select("id", _key("text").alias("key"), "text")
-    signed = signatures(rows.select("key", "text"), words, bands, length)
-    # Copies have one signature; a task drops its own copies' band rows before the shuffle.
-    buckets = signed.select("key", "grams", F.explode("bands").alias("band")).dropDuplicates(["band", "key"])
-    buckets = materialise(buckets, "buckets")
-
-    pairs = materialise(_leader_pairs(buckets, similarity), "leader-pairs")
-    shared = buckets.groupBy("band").agg(F.count(F.lit(1)).alias("members")).where("members > 1")
-    compared = materialise(buckets.join(shared, "band", "left_semi").select("key").distinct(), "compared")
-    texts = rows.select("key", "text").join(compared, "key", "left_semi").dropDuplicates(["key"])
+    # Copies have one signature; a task drops those of its own before the shuffle.
+    signed = signatures(rows.select("key", "text"), words, bands, length).dropDuplicates(["key"])
+    signed = materialise(signed.withColumn("node", F.monotonically_increasing_id()), "signatures")
+
+    banded = signed.select("node", "grams", F.explode("bands").alias("band"))
+    leaders = banded.groupBy("band").agg(F.min("node").alias("leader"), F.count(F.lit(1)).alias("members"))
+    leaders = materialise(leaders.where("members > 1"), "leaders")
+    buckets = materialise(banded.join(leaders, "band"), "buckets")
+    pairs = buckets.where("node <> leader").select(F.col("leader").alias("a"), F.col("node").alias("b")).distinct()
+    pairs = materialise(pairs, "leader-pairs")
+
+    compared = signed.join(buckets.select("node").distinct(), "node", "left_semi").select("key", "node")
+    compared = materialise(compared, "compared")
+    texts = rows.select("key", "text").join(compared, "key").dropDuplicates(["key"]).select("node", "text")
     texts = materialise(texts, "texts")
     links = materialise(_verified(pairs, texts, words, similarity), "links")
 
-    members = _open_members(buckets.join(compared, "key", "left_semi"), components(links))
-    late = materialise(_prefix_pairs(members, texts, words, similarity), "prefix-pairs")
+    open_members = _open_members(buckets, components(links))
+    small = _small_pairs(open_members.where(F.col("members") <= SMALL), similarity)
+    large = _large_pairs(open_members.where(F.col("members") > SMALL), texts, words, similarity)
+    late = materialise(small.unionByName(large).distinct().join(pairs, ["a", "b"], "left_anti"), "late-pairs")
     links = materialise(links.unionByName(_verified(late, texts, words, similarity)), "links")
 
-    labels = components(links)
-    degree = links.select("a").unionAll(links.select("b")).groupBy("a").agg(F.count(F.lit(1)).alias("n_links"))
     ids = materialise(rows.select("id", "key"), "ids")
+    degree = links.select(F.col("a").alias("node")).unionAll(links.select(F.col("b").alias("node")))
+    degree = degree.groupBy("node").agg(F.count(F.lit(1)).alias("n_links"))
     nodes = ids.groupBy("key").agg(F.min("id").alias("first"), F.count(F.lit(1)).alias("n_copies"))
-    nodes = nodes.join(labels.withColumnRenamed("node", "key"), "key", "left")
-    nodes = nodes.join(degree.withColumnRenamed("a", "key"), "key", "left")
-    nodes = materialise(nodes.withColumn("label", F.coalesce("label", "key")), "nodes")
+    nodes = nodes.join(signed.select("key", "node"), "key")
+    nodes = nodes.join(components(links), "node", "left").join(degree, "node", "left")
+    nodes = materialise(nodes.withColumn("label", F.coalesce("label", "node")), "nodes")
     classes = nodes.groupBy("label").agg(F.min("first").alias("class_id"), F.sum("n_copies").alias("class_size"))
-    known = materialise(nodes.join(classes, "label").drop("label", "first"), "classes")
+    known = materialise(nodes.join(classes, "label").drop("label", "first", "node"), "classes")
     return ids.join(known, "key").select(
         F.col("id").alias(id_col), "class_id", "class_size",
         F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"), "n_copies",
