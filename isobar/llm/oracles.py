@@ -78,13 +78,13 @@ _VALID = {
 def _spans_of(number: int, name: str) -> str:
     kind = KINDS[number]
     context = "" if kind.base else f" and regexp_matches(near, '{kind.context}')" * (kind.score < kind.least)
-    total = "coalesce(list_sum(list_transform({}, lambda x: length(x))), 0)"
+    pattern = _PLAIN[name]
     return f"""
-  select rid, {number} as k, '{name}' as kind, first, first + length(m) as last from (
-    select rid, ms[i] as m, lower(right(ps[i], {CONTEXT})) as near,
-           ({total.format("ps[1:i]")} + {total.format("ms[1:i - 1]")})::bigint as first
-    from (select rid, ms, ps, unnest(range(1, len(ms) + 1)) as i from (
-      select rid, regexp_extract_all(body, '{_PLAIN[name]}') as ms, regexp_split_to_array(body, '{_PLAIN[name]}') as ps
+  select rid, {number} as k, '{name}' as kind, last - length(m) as first, last from (
+    select rid, m, lower(right(gap, {CONTEXT})) as near,
+           (sum(length(gap) + length(m)) over (partition by rid order by i))::bigint as last
+    from (select rid, unnest(ms) as m, unnest(ps[1:len(ms)]) as gap, unnest(range(len(ms))) as i from (
+      select rid, regexp_extract_all(body, '{pattern}') as ms, regexp_split_to_array(body, '{pattern}') as ps
       from rows)))
   where {_VALID[name]}{context}"""
 
