@@ -115,61 +115,68 @@ KINDS = (
 _BONUS = 0.1
 
 
+def _let(value: Column, body: Callable[[Column], Column]) -> Column:
+    """``body`` of a value that is computed once, however often and however deep it is used."""
+    return F.element_at(F.transform(F.array(value), body), 1)
+
+
+def _running(values: Column) -> Column:
+    """0 and the sums up to each element."""
+    start = F.array(F.lit(0).cast("long"))
+    return F.aggregate(values, start, lambda done, x: F.concat(done, F.array(F.element_at(done, -1) + x)))
+
+
 def _totals_before(lengths: Column) -> Column:
-    """For each element the sum of those before it, by chunks so that long arrays stay linear."""
-    chunks = F.transform(
-        F.sequence(F.lit(0), F.floor((F.size(lengths) - 1) / _CHUNK).cast("int")),
-        lambda c: F.slice(lengths, c * _CHUNK + 1, F.lit(_CHUNK)),
-    )
-
-    def running(values: Column) -> Column:
-        start = F.array(F.lit(0).cast("long"))
-        return F.aggregate(values, start, lambda done, x: F.concat(done, F.array(F.element_at(done, -1) + x)))
-
-    inner = F.transform(chunks, running)
-    outer = running(F.transform(inner, lambda chunk: F.element_at(chunk, -1)))
-    shifted = F.transform(
-        inner,
-        lambda chunk, c: F.transform(
-            F.slice(chunk, 1, F.size(chunk) - 1), lambda x: x + F.get(outer, c)
-        ),
-    )
-    return F.flatten(shifted)
+    """For each element the sum of those before it, by chunks so that long arrays stay nearly linear."""
+
+    def chunked(values: Column) -> Column:
+        last = F.floor((F.size(values) - 1) / _CHUNK).cast("int")
+        each = F.transform(
+            F.sequence(F.lit(0), last), lambda c: _running(F.slice(values, c * _CHUNK + 1, F.lit(_CHUNK)))
+        )
+        return _let(each, shifted)
+
+    def shifted(inner: Column) -> Column:
+        return _let(
+            _running(F.transform(inner, lambda chunk: F.element_at(chunk, -1))),
+            lambda outer: F.flatten(
+                F.transform(
+                    inner,
+                    lambda chunk, c: _let(
+                        F.get(outer, c),
+                        lambda base: F.transform(F.slice(chunk, 1, F.size(chunk) - 1), lambda x: x + base),
+                    ),
+                )
+            ),
+        )
+
+    return _let(lengths, chunked)
 
 
 _SPAN = "array<struct<kind:string,start:bigint,end:bigint,score:double>>"
 
 
 def _found(text: Column, matches: Column, kind: Kind) -> Column:
-    pieces = F.split(text, kind.pattern, -1)
-    # A gap and the match behind it, in turn.
-    lengths = F.transform(
-        F.arrays_zip(F.slice(pieces, 1, F.size(matches)).alias("gap"), matches.alias("match")),
-        lambda pair: F.struct(
-            F.length(pair["gap"]).cast("long").alias("gap"), F.length(pair["match"]).cast("long").alias("match")
-        ),
-    )
-    before = _totals_before(F.transform(lengths, lambda n: n["gap"] + n["match"]))
+    """The confirmed spans of a kind, of which the text has at least one match."""
 
     def span(pair: Column) -> Column:
         start = pair["before"] + F.length(pair["gap"])
-        near = F.lower(F.substring(pair["gap"], -CONTEXT, CONTEXT))
-        near = F.when(F.length(pair["gap"]) < CONTEXT, F.lower(pair["gap"])).otherwise(near)
+        near = F.lower(F.when(F.length(pair["gap"]) < CONTEXT, pair["gap"]).otherwise(F.right(pair["gap"], F.lit(CONTEXT))))
         score = F.lit(kind.score) + F.when(near.rlike(kind.context), F.lit(_BONUS)).otherwise(F.lit(0.0))
         return F.struct(
             F.lit(kind.name).alias("kind"), start.alias("start"),
-            (start + F.length(pair["match"])).alias("end"), score.alias("score"), pair["match"].alias("match"),
+            (start + F.length(pair["match"])).alias("end"), score.alias("score"),
         )
 
-    zipped = F.arrays_zip(
-        before.alias("before"), F.slice(pieces, 1, F.size(matches)).alias("gap"), matches.alias("match")
-    )
-    confirmed = F.filter(F.transform(zipped, span), lambda s: kind.valid(s["match"]))
-    if not kind.base:
-        confirmed = F.filter(confirmed, lambda s: s["score"] >= kind.least)
-    return F.transform(
-        confirmed, lambda s: F.struct(s["kind"].alias("kind"), s["start"].alias("start"), s["end"].alias("end"), s["score"].alias("score"))
-    )
+    def spans(gaps: Column) -> Column:
+        pairs = F.arrays_zip(gaps.alias("gap"), matches.alias("match"))
+        size = F.transform(pairs, lambda p: (F.length(p["gap"]) + F.length(p["match"])).cast("long"))
+        placed = F.arrays_zip(_totals_before(size).alias("before"), gaps.alias("gap"), matches.alias("match"))
+        confirmed = F.transform(F.filter(placed, lambda p: kind.valid(p["match"])), span)
+        return confirmed if kind.base else F.filter(confirmed, lambda s: s["score"] >= kind.least)
+
+    # The pieces between the matches; the last one is behind them all.
+    return _let(F.slice(F.split(text, kind.pattern, -1), 1, F.size(matches)), spans)
 
 
 def find_pii(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -180,13 +187,13 @@ def find_pii(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
     a row; other columns are ignored.
     """
     rows = docs.select(F.col(id_col), F.coalesce(F.col(text_col), F.lit("")).alias("_text"))
-    for kind in KINDS:
-        rows = rows.withColumn(f"_{kind.name}", F.regexp_extract_all("_text", F.lit(kind.pattern), F.lit(0)))
-    none = F.array().cast(_SPAN)
-    spans = [
-        F.when(F.size(f"_{kind.name}") > 0, _found(F.col("_text"), F.col(f"_{kind.name}"), kind)).otherwise(none)
-        for kind in KINDS
-    ]
+    none, text = F.array().cast(_SPAN), F.col("_text")
+
+    def of(kind: Kind) -> Column:
+        matches = F.regexp_extract_all(text, F.lit(kind.pattern), F.lit(0))
+        return _let(matches, lambda m: F.when(F.size(m) > 0, _found(text, m, kind)).otherwise(none))
+
+    spans = [of(kind) for kind in KINDS]
     return rows.select(F.col(id_col), F.concat(*spans).alias("spans"))
 
 
