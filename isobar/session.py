@@ -13,6 +13,11 @@ DEFAULTS = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.optimizeSkewsInRebalancePartitions.enabled": "true",
     "spark.sql.sources.partitionOverwriteMode": "dynamic",
+    # Quantile sketches of more groups than Spark's default 128 are still hashed, not sorted.
+    "spark.sql.objectHashAggregate.sortBased.fallbackThreshold": "4096",
+    # Window state lives on disk beside the executor instead of in its heap.
+    "spark.sql.streaming.stateStore.providerClass":
+    "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
 }
 
 

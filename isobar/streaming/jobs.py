@@ -29,11 +29,6 @@ LATENESS = "10 minutes"
 EVERY_5_SECONDS: Trigger = {"processingTime": "5 seconds"}
 EVERY_10_SECONDS: Trigger = {"processingTime": "10 seconds"}
 
-ROCKSDB = {
-    "spark.sql.streaming.stateStore.providerClass":
-    "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
-}
-
 
 def _run_id(spark: SparkSession, checkpoint: str) -> str:
     """The id that the checkpoint's own metadata gives the query; a new checkpoint has a new one."""

@@ -10,6 +10,7 @@ from isobar.operators import profiles, readings, records, serving, summaries, wi
 from isobar.operators.joins import lookup
 from isobar.plans import registered
 from isobar.sources import tables
+from isobar.storage import materialise
 
 BATCH = sorted(name for name in registered() if not name.startswith("stream_s"))
 
@@ -107,3 +108,15 @@ def test_lookup_broadcasts_only_what_is_small(spark, sf_dir):
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
     assert "SortMergeJoin" in plan and "BroadcastHashJoin" not in plan
+
+
+def test_a_full_profile_reads_its_days_once(spark, sf_dir, monkeypatch):
+    plans = []
+
+    def keep(df, label):
+        plans.append(plan_of(df))
+        return materialise(df, label)
+
+    monkeypatch.setattr(profiles, "materialise", keep)
+    final = plan_of(profiles.full_profile(tables.daily(spark, sf_dir)))
+    assert len(plans) == 1 and plans[0].count("lineitem.parquet") == 1 and "lineitem.parquet" not in final
