@@ -108,7 +108,9 @@ def _verified(pairs: DataFrame, texts: DataFrame, words: int, similarity: float)
             yield batch.filter(pa.array(keep, pa.bool_())).select(["a", "b"])
 
     sides = [texts.select(F.col("node").alias(c), F.col("text").alias(f"text_{c}")) for c in "ab"]
-    joined = pairs.join(sides[0], "a").join(sides[1], "b").select("a", "b", "text_a", "text_b")
+    # Joins that carry texts are planned alike at every size; AQE splits their hot keys.
+    joined = pairs.hint("merge").join(sides[0], "a").hint("merge").join(sides[1], "b")
+    joined = joined.select("a", "b", "text_a", "text_b")
     return joined.mapInArrow(run, "a bigint, b bigint")
 
 
@@ -144,7 +146,10 @@ def _sets(members: DataFrame, texts: DataFrame, words: int) -> DataFrame:
 
 
 def _large_pairs(members: DataFrame, texts: DataFrame, words: int, similarity: float) -> DataFrame:
-    """(a, b) of members of one large bucket, of different groups, that share an n-gram of both prefixes."""
+    """(a, b) of members of one large bucket, of different groups, that share an n-gram of both prefixes.
+
+    A pair is made once: in the first bucket the two share, at their first common n-gram.
+    """
     sets = materialise(_sets(members, texts, words), "sets")
     grams = sets.select("node", F.explode("sets").alias("gram"))
     seen = grams.groupBy("gram").agg(F.count(F.lit(1)).alias("seen"))
@@ -153,16 +158,24 @@ def _large_pairs(members: DataFrame, texts: DataFrame, words: int, similarity: f
     ranked = grams.join(seen, "gram").groupBy("node").agg(order.alias("order"))
     size = F.size("order")
     prefix = F.slice("order", F.lit(1), size - F.ceil(size * similarity).cast("int") + 1)
-    tokens = ranked.select("node", F.posexplode(prefix).alias("at", "token")).where("token.seen > 1")
-    tokens = materialise(tokens.select("node", "at", "token.gram"), "prefixes")
-    placed = members.select("band", "node", "label", "grams").join(tokens, "node")
+    prefixes = materialise(ranked.select("node", prefix.alias("prefix")), "prefixes")
+    own = members.groupBy("node", "label", "grams").agg(F.array_sort(F.collect_set("band")).alias("bands"))
+    tokens = own.join(prefixes, "node").select(
+        "node", "label", "grams", "bands", F.posexplode("prefix").alias("at", "token"),
+        F.transform(F.filter("prefix", lambda t: t["seen"] > 1), lambda t: t["gram"]).alias("prefix"),
+    )
+    placed = tokens.where("token.seen > 1").withColumn("gram", F.col("token.gram")).drop("token")
+    placed = materialise(placed.withColumn("band", F.explode("bands")), "placed")
     left, right = _sides(placed, ["band", "gram"])
     # The overlap that the similarity asks for must fit behind the first common n-gram.
     overlap = F.ceil((F.col("grams_a") + F.col("grams_b")) * similarity / (1 + similarity) - 1e-9)
     room = F.least(F.col("grams_a") - F.col("at_a"), F.col("grams_b") - F.col("at_b"))
     apart = (F.col("node_a") < F.col("node_b")) & (F.col("label_a") != F.col("label_b")) & _alike_in_size(similarity)
-    pairs = left.join(right, ["band", "gram"]).where(apart & (room >= overlap))
-    return pairs.select(F.col("node_a").alias("a"), F.col("node_b").alias("b")).distinct()
+    first = (F.get(F.array_intersect("prefix_a", "prefix_b"), F.lit(0)) == F.col("gram")) & (
+        F.get(F.array_intersect("bands_a", "bands_b"), F.lit(0)) == F.col("band")
+    )
+    pairs = left.join(right, ["band", "gram"]).where(apart & (room >= overlap) & first)
+    return pairs.select(F.col("node_a").alias("a"), F.col("node_b").alias("b"))
 
 
 def _open_members(buckets: DataFrame, labels: DataFrame) -> DataFrame:
@@ -211,7 +224,7 @@ def near_duplicates(
 
     compared = signed.join(buckets.select("node").distinct(), "node", "left_semi").select("key", "node")
     compared = materialise(compared, "compared")
-    texts = rows.select("key", "text").join(compared, "key").dropDuplicates(["key"]).select("node", "text")
+    texts = rows.select("key", "text").join(compared.hint("merge"), "key").dropDuplicates(["key"]).select("node", "text")
     texts = materialise(texts, "texts")
     links = materialise(_verified(pairs, texts, words, similarity), "links")
 

@@ -62,7 +62,9 @@ def texts():
     return list(enumerate(rows))
 
 
-def test_classes_equal_all_pairs(spark, texts):
+@pytest.mark.parametrize("small", [24, 1])
+def test_classes_equal_all_pairs(spark, texts, monkeypatch, small):
+    monkeypatch.setattr("isobar.llm.ngram_join.SMALL", small)
     found = near_duplicates(spark.createDataFrame(texts, "doc_id int, text string").repartition(4)).collect()
     wanted = classes_by_hand(texts)
     assert {row.doc_id: row.class_id for row in found} == wanted
