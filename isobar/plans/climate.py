@@ -234,6 +234,11 @@ def seasonal_profile_enriched(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _rounded(profiles.enriched_profile(tables.daily(spark, sf_dir)))
 
 
+@query(over(ENRICHED, f"select {_ENRICHED_COLUMNS} from enriched order by country, city, year, month"))
+def sorted_profile(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _rounded(profiles.sorted_profile(profiles.enriched_profile(tables.daily(spark, sf_dir))))
+
+
 @query(over(ENRICHED, "select * from quantiles"))
 def profile_quantiles(spark: SparkSession, sf_dir: str) -> DataFrame:
     return profiles.quartiles(tables.daily(spark, sf_dir))
