@@ -10,6 +10,7 @@ from isobar.functions.calendar import event_timestamp
 from isobar.functions.deviations import SIGMA_LIMIT, TEMPERATURE_LIMIT
 from isobar.functions.places import known
 
+# Profile field -> its name beside a reading.
 _EXPECTED = {
     "avg_temperature": "expected_temperature",
     "std_temperature": "temp_std",

@@ -13,7 +13,7 @@ from isobar.functions.calendar import event_timestamp
 from isobar.functions.levels import LIVE_HEAT, LIVE_WIND, any_raised, wind_in_ms
 from isobar.functions.places import archive_place, location_key, safe_name, valid_coordinates
 
-# Flat field -> where the nested reading keeps it.
+# Flat field -> where the nested reading keeps it.
 _NESTED = {
     "latitude": "location.latitude",
     "longitude": "location.longitude",
@@ -30,15 +30,19 @@ _NESTED = {
 }
 
 
-def parse_messages(messages: DataFrame, schema: StructType, carry: Iterable[str] = ()) -> DataFrame:
+def parse_messages(
+    messages: DataFrame, schema: StructType, carry: Iterable[str] = (), fields: Iterable[str] | None = None
+) -> DataFrame:
     """Decode JSON payloads; a payload that is no JSON keeps its row with null fields.
 
     ``carry`` names message columns (offset, partition, ...) to keep beside the fields.
+    ``fields`` names the fields to parse, all by default; others are skipped in the text.
     The decoded struct is unfolded by a generator rather than by field access: filters
     on its fields then stay above the parsing, which would otherwise run once more for
     every filter.
     """
-    body = F.from_json(F.col("value").cast("string"), schema)
+    wanted = schema if fields is None else StructType([schema[name] for name in fields])
+    body = F.from_json(F.col("value").cast("string"), wanted)
     return messages.select(
         F.col("key").cast("string").alias("message_key"),
         F.col("timestamp").alias("received_at"),
@@ -93,8 +97,10 @@ def reading_messages(flat: DataFrame) -> DataFrame:
     return keyed_json(flat, "message_key", schemas.FLAT_READING.fieldNames())
 
 
-def parse_flat_readings(messages: DataFrame, carry: Iterable[str] = ()) -> DataFrame:
-    return parse_messages(messages, schemas.FLAT_READING, carry)
+def parse_flat_readings(
+    messages: DataFrame, carry: Iterable[str] = (), fields: Iterable[str] | None = None
+) -> DataFrame:
+    return parse_messages(messages, schemas.FLAT_READING, carry, fields)
 
 
 def classify_messages(messages: DataFrame, required: str = "current_weather") -> DataFrame:

@@ -33,6 +33,13 @@ def _metrics() -> list[Column]:
     return [measure.alias(name) for name, measure in measures.items()]
 
 
+#: Fields of a flat reading that window metrics use.
+USED = (
+    "event_time", "latitude", "longitude", "city", "country", "temperature", "windspeed", "wind_alert_level",
+    "heat_alert_level",
+)
+
+
 def window_metrics(
     readings: DataFrame,
     width: str = "5 minutes",

@@ -52,6 +52,10 @@ def message_table(spark: SparkSession, kind: str, location: str, **options: str)
 
 
 def first_messages(messages: DataFrame, limit: int) -> DataFrame:
-    """The first ``limit`` messages in log order whose payload is JSON."""
+    """The first ``limit`` messages in log order whose payload is JSON.
+
+    Lines of text have no offset; they come in the order of their files' times and names.
+    """
     readable = messages.where(F.try_parse_json("value").isNotNull())
-    return top_k(readable, [F.asc("partition"), F.asc("offset")], limit)
+    order = ("partition", "offset", "timestamp", "topic", "value")
+    return top_k(readable, [F.asc(name) for name in order], limit)

@@ -96,7 +96,7 @@ def start_window_metrics(
     its last state; in "append" mode it is written once, when the watermark passes it.
     """
     trigger = trigger or {"processingTime": slide or width}
-    flat = readings.parse_flat_readings(messages)
+    flat = readings.parse_flat_readings(messages, fields=windows.USED)
     metrics = windows.window_metrics(flat, width, slide, by, lateness)
 
     def process(rows: DataFrame, batch: Batch) -> None:

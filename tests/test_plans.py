@@ -120,3 +120,11 @@ def test_a_full_profile_reads_its_days_once(spark, sf_dir, monkeypatch):
     monkeypatch.setattr(profiles, "materialise", keep)
     final = plan_of(profiles.full_profile(tables.daily(spark, sf_dir)))
     assert len(plans) == 1 and plans[0].count("lineitem.parquet") == 1 and "lineitem.parquet" not in final
+
+
+def test_only_the_named_fields_are_parsed(spark):
+    sent = spark.createDataFrame([(None, "{}", None, "t", 0, 0)], schemas.MESSAGE)
+    found = windows.window_metrics(readings.parse_flat_readings(sent, fields=windows.USED))
+    plan = plan_of(found)
+    parsed = plan[plan.index("from_json(") :].split("\n", 1)[0]
+    assert "StructField(temperature" in parsed and "weathercode" not in parsed and "winddirection" not in parsed
