@@ -9,8 +9,11 @@ A bucket whose members have not become one group may hide more links, between me
 that are both unlike the leader. In a small bucket the members of different groups are
 compared, so each has a bounded number of partners. In a large one they are joined on
 prefixes: two sets with a similarity of t share one of the |x| - ceil(t |x|) + 1 rarest
-n-grams of either, at places that leave room for the overlap. Both ways find every link
-the buckets hold.
+n-grams of either, at places that leave room for the overlap. These links make the classes.
+
+A link has both ends in one class, so the links of a text are counted within its class:
+classes are dealt into blocks, every two blocks of a class meet in a task that compares
+all their texts, and only the number of partners of each text leaves it.
 """
 
 from __future__ import annotations
@@ -35,7 +38,9 @@ RECALL = 0.99
 HASHES = 256
 #: Members of a bucket that are compared directly; beyond, prefixes choose the pairs.
 SMALL = 24
-_PART = 2048
+#: Texts, and bytes of text, in a block of a class whose links are counted.
+BLOCK, BLOCK_BYTES = 512, 4 << 20
+_PART, _COLUMNS = 2048, 4096
 
 
 def choose_bands(similarity: float = SIMILARITY, recall: float = RECALL, hashes: int = HASHES) -> tuple[int, int]:
@@ -190,6 +195,72 @@ def _open_members(buckets: DataFrame, labels: DataFrame) -> DataFrame:
     return materialise(grouped.join(open_bands, "band", "left_semi"), "open-members")
 
 
+def _common(grams: np.ndarray, owners: np.ndarray, texts: int, split: int) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct n-grams of each text, and how many of them each text shares with each from ``split`` on.
+
+    The rows are the texts before ``split``, or all if it is 0.
+    """
+    order = np.lexsort((owners, grams))
+    grams, owners = grams[order], owners[order]
+    fresh = np.ones(len(grams), dtype=bool)
+    fresh[1:] = (grams[1:] != grams[:-1]) | (owners[1:] != owners[:-1])
+    grams, owners = grams[fresh], owners[fresh]
+    sizes = np.bincount(owners, minlength=texts)
+    _, column, holders = np.unique(grams, return_inverse=True, return_counts=True)
+    shared = holders > 1
+    keep = shared[column]
+    owners, column = owners[keep], (np.cumsum(shared) - 1)[column[keep]]
+    common = np.zeros((split or texts, texts - split))
+    for at in range(0, int(shared.sum()), _COLUMNS):
+        a, b = np.searchsorted(column, [at, at + _COLUMNS])
+        held = np.zeros((texts, _COLUMNS), dtype=np.float32)
+        held[owners[a:b], column[a:b] - at] = 1
+        common += held[: split or texts] @ held[split:].T
+    return sizes, common
+
+
+def _link_counts(labels: DataFrame, texts: DataFrame, words: int, similarity: float) -> DataFrame:
+    """(node, n_links): the texts that each text is similar to, from all pairs within its class."""
+    members = materialise(labels.join(texts, "node").select("label", "node", "text"), "members")
+    blocks = F.greatest(F.ceil(F.count(F.lit(1)) / BLOCK), F.ceil(F.sum(F.octet_length("text")) / BLOCK_BYTES))
+    classes = members.groupBy("label").agg(F.count(F.lit(1)).alias("nodes"), blocks.cast("int").alias("blocks"))
+    classes = materialise(classes, "class-sizes")
+    # The two texts of a class of two are linked; larger classes are compared.
+    dealt = members.join(classes.where("nodes > 2"), "label")
+    dealt = dealt.withColumn("block", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
+    other = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other")
+    dealt = dealt.select("label", "node", "text", "block", other).select(
+        "label", F.least("block", "other").alias("low"), F.greatest("block", "other").alias("high"), "block", "node", "text"
+    )
+
+    def count(met: pa.Table) -> pa.Table:
+        met = met.sort_by("block")
+        nodes, own = met.column("node"), met.column("block").to_numpy()
+        split = int((own == own[0]).sum()) if met.column("low")[0] != met.column("high")[0] else 0
+        if split == len(own):
+            return pa.table({"node": nodes, "n": pa.array([0] * len(own), pa.int64())})
+        grams, sizes = [], []
+        for batch in chunks(met.to_batches(), "text"):
+            found, first = shingles_of(words_of(batch.column("text")), words)
+            grams.append(found)
+            sizes.append(np.diff(first))
+        owners = np.repeat(np.arange(len(own)), np.concatenate(sizes))
+        distinct, common = _common(np.concatenate(grams), owners, len(own), split)
+        rows, columns = distinct[: split or len(own)], distinct[split:]
+        alike = common >= similarity * (rows[:, None] + columns[None, :] - common)
+        if split:
+            found = np.concatenate([alike.sum(axis=1), alike.sum(axis=0)])
+        else:
+            np.fill_diagonal(alike, False)
+            found = alike.sum(axis=1)
+        return pa.table({"node": nodes, "n": pa.array(found.astype(np.int64))})
+
+    compared = dealt.groupBy("label", "low", "high").applyInArrow(count, "node bigint, n bigint")
+    compared = compared.groupBy("node").agg(F.sum("n").alias("n_links"))
+    twos = labels.join(classes.where("nodes = 2").select("label"), "label").select("node", F.lit(1).cast("long"))
+    return compared.unionAll(twos)
+
+
 def near_duplicates(
     docs: DataFrame,
     words: int = WORDS,
@@ -202,9 +273,8 @@ def near_duplicates(
 
     A class is a connected group of texts that are similar to each other, directly or
     through others; ``class_id`` is its smallest id and ``class_size`` its rows.
-    ``n_links`` counts the verified links of the text to other texts; links that the
-    ones found already imply are not all looked up. ``n_copies`` counts the rows with the
-    very same text. Texts of fewer than ``words`` words are compared as one n-gram. Texts
+    ``n_links`` is the number of different texts of the class that the text is similar
+    to, from all pairs of the class. ``n_copies`` counts the rows with the very same text. Texts of fewer than ``words`` words are compared as one n-gram. Texts
     without words, null or empty, link to nothing but their copies. Other columns are
     ignored; an empty table gives an empty result.
     """
@@ -235,11 +305,11 @@ def near_duplicates(
     links = materialise(links.unionByName(_verified(late, texts, words, similarity)), "links")
 
     ids = materialise(rows.select("id", "key"), "ids")
-    degree = links.select(F.col("a").alias("node")).unionAll(links.select(F.col("b").alias("node")))
-    degree = degree.groupBy("node").agg(F.count(F.lit(1)).alias("n_links"))
+    labels = components(links)
+    degree = materialise(_link_counts(labels, texts, words, similarity), "link-counts")
     nodes = ids.groupBy("key").agg(F.min("id").alias("first"), F.count(F.lit(1)).alias("n_copies"))
     nodes = nodes.join(signed.select("key", "node"), "key")
-    nodes = nodes.join(components(links), "node", "left").join(degree, "node", "left")
+    nodes = nodes.join(labels, "node", "left").join(degree, "node", "left")
     nodes = materialise(nodes.withColumn("label", F.coalesce("label", "node")), "nodes")
     classes = nodes.groupBy("label").agg(F.min("first").alias("class_id"), F.sum("n_copies").alias("class_size"))
     known = materialise(nodes.join(classes, "label").drop("label", "first", "node"), "classes")

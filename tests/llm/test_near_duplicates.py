@@ -41,6 +41,17 @@ def classes_by_hand(rows):
     return {i: min(m for m in group if m is not None) for group in members.values() for i in group if i is not None}
 
 
+def links_by_hand(rows):
+    """How many different texts each row's text is similar to, from every pair."""
+    sets = {text: grams(text) for _, text in rows}
+    found = dict.fromkeys(sets, 0)
+    for a, one in sets.items():
+        for b, other in sets.items():
+            common = len(one & other)
+            found[a] += a != b and 0 < common >= 0.8 * (len(one) + len(other) - common)
+    return {i: found[text] for i, text in rows}
+
+
 def near_copies(seed, copies, words, changes):
     pick = random.Random(seed)
     base = [f"{seed}w{pick.randrange(400)}" for _ in range(words)]
@@ -72,6 +83,17 @@ def test_classes_equal_all_pairs(spark, texts, monkeypatch, small):
     assert all((row.n_links > 0) == (row.class_size > row.n_copies) for row in found)
 
 
+@pytest.mark.parametrize(("block", "block_bytes"), [(512, 4 << 20), (7, 4 << 20), (512, 5000)])
+def test_links_equal_all_pairs(spark, texts, monkeypatch, block, block_bytes):
+    monkeypatch.setattr("isobar.llm.ngram_join.BLOCK", block)
+    monkeypatch.setattr("isobar.llm.ngram_join.BLOCK_BYTES", block_bytes)
+    monkeypatch.setattr("isobar.llm.ngram_join._COLUMNS", 1000 if block == 7 else 4096)
+    found = near_duplicates(spark.createDataFrame(texts, "doc_id int, text string").repartition(4)).collect()
+    wanted = links_by_hand(texts)
+    assert max(wanted.values()) > 50
+    assert {row.doc_id: row.n_links for row in found} == wanted
+
+
 def test_odd_rows(odd):
     found = near_duplicates(odd).collect()
     assert len(found) == len(odd_rows())
