@@ -87,6 +87,23 @@ def test_language_model_learns_from_both_sides(spark):
     assert trained > -np.log(60) + 1.0 and trained > blank + 1.0
 
 
+def test_language_model_learns_every_word(spark, monkeypatch):
+    """With the defaults, the rounds together learn from all words, and learn something."""
+    averaged, learned = lm_scoring._averaged, []
+
+    def spy(parts, size):
+        learned.append(parts.where("slice = 0").agg(F.sum("weight")).first()[0])
+        return averaged(parts, size)
+
+    monkeypatch.setattr(lm_scoring, "_averaged", spy)
+    pick = np.random.default_rng(3)
+    texts = [" ".join(f"left{p} mid{p} right{p}" for p in pick.integers(0, 20, 41)) for _ in range(4000)]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id int, text string").repartition(3)
+    trained = lm_scoring.pseudo_likelihood(docs).agg(F.avg("mean_log_likelihood")).first()[0]
+    assert sum(learned) == 4000 * 41 * 3
+    assert trained > -np.log(60) + 1.0
+
+
 def test_language_model_on_odd_rows(odd, nothing):
     found = lm_scoring.pseudo_likelihood(odd).collect()
     assert len(found) == len(odd_rows())
