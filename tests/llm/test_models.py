@@ -1,6 +1,7 @@
 """The trained models: held-out accuracy, learning, odd rows."""
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -113,6 +114,25 @@ def test_language_model_on_odd_rows(odd, nothing):
     assert lm_scoring.pseudo_likelihood(nothing).count() == 0
 
 
+@pytest.mark.parametrize("sent", [1 << 18, 100, 0])
+def test_rare_words_have_their_own_share(spark, monkeypatch, sent):
+    """Documents of one word differ, within a class, by the counts of their words alone."""
+    monkeypatch.setattr(lm_scoring, "SENT", sent)
+    counts = {f"w{i}": 20 if i < lm_scoring.SINGLE else i % 9 + 1 for i in range(400)}
+    rows = [(word,) for word, n in counts.items() for _ in range(n)]
+    docs = spark.createDataFrame(rows, "text string").selectExpr("text as doc_id", "text").repartition(3)
+    found = lm_scoring.pseudo_likelihood(docs, size=lm_scoring.SINGLE, rounds=0).collect()
+    assert len(found) == len(rows)
+    places = lm_scoring._shared_class(lm_scoring.words_of(pa.array(list(counts))).hashes)
+    classes = {word: place for word, place in zip(counts, places, strict=True) if counts[word] < 20}
+    rest = {}
+    for row in found:
+        if row.doc_id in classes:
+            rest.setdefault(classes[row.doc_id], []).append(row.log_likelihood - np.log(counts[row.doc_id]))
+    assert len(rest) > 50
+    assert all(np.allclose(same, same[0]) for same in rest.values())
+
+
 def test_weights_are_averaged_by_words(spark, monkeypatch):
     monkeypatch.setattr(lm_scoring, "FAN_IN", 2)
     rows = [(0, part, float(part + 1), [float(part), 1.0]) for part in range(5)]
