@@ -104,3 +104,62 @@ from rows left join spans using (rid) group by rid, doc_id"""
 
 
 PII = _pii()
+
+
+_USABLE = "embedding is not null and len(list_filter(embedding, lambda x: x is null or not isfinite(x))) = 0"
+_INTEGERS = "list_transform(embedding, lambda x: floor(256 * x::double))"
+
+HARD_NEGATIVES = f"""
+with vectors as materialized (
+  select row_number() over () as rid, vec_id, case when vec_id % 7 = 0 then (label + 1) % 10 else label end as label,
+         {_INTEGERS} as v
+  from embeddings where label is not null and {_USABLE}
+),
+pairs as materialized (
+  select a.rid as anchor, a.vec_id as anchor_id, b.vec_id, a.label = b.label as same,
+         list_dot_product(a.v, b.v)::bigint as score
+  from vectors a join vectors b on a.rid <> b.rid where a.vec_id % 100 = 0
+),
+positives as (
+  select anchor, anchor_id, vec_id, score, row_number() over (partition by anchor order by score desc, vec_id) as slot
+  from pairs where same qualify slot <= 5
+)
+select p.anchor_id, p.vec_id as positive_id,
+       row_number() over (partition by p.anchor, p.slot order by n.score desc, n.vec_id)::int as rank,
+       n.vec_id as negative_id, p.score as positive_score, n.score as negative_score
+from positives p join pairs n on n.anchor = p.anchor and not n.same
+where 80 * p.score <= 100 * n.score and n.score <= p.score qualify rank <= 5"""
+
+
+def clustering(centroids: int = 40, rounds: int = 5, dimension: int = 64) -> str:
+    """Every vector against every centroid, each round written out."""
+    nearest = """a{r} as materialized (
+  select rid, vec_id, v, min((list_dot_product(v, v) - 2 * list_dot_product(v, w) + list_dot_product(w, w))::bigint
+         * 1000 + c) as best
+  from kept, c{r} group by rid, vec_id, v
+)"""
+    means = """c{n} as materialized (
+  select o.c, coalesce(m.w, o.w) as w from c{r} o left join (
+    select c, list(((s - (((s % n) + n) % n)) // n)::double order by i) as w from (
+      select c, i, sum(x::bigint) as s, count(*) as n
+      from (select best % 1000 as c, unnest(v) as x, unnest(range(len(v))) as i from a{r}) group by c, i
+    ) group by c
+  ) m using (c)
+)"""
+    steps = [nearest.format(r=r) if turn == 0 else means.format(r=r, n=r + 1) for r in range(rounds) for turn in (0, 1)]
+    return f"""
+with kept as materialized (
+  select row_number() over () as rid, vec_id, {_INTEGERS} as v from embeddings
+  where {_USABLE} and len(embedding) = {dimension}
+),
+c0 as materialized (
+  select row_number() over (order by sha256('2:' || vec_id) nulls last, v) - 1 as c, v as w
+  from kept qualify c < {centroids}
+),
+{", ".join(steps)},
+{nearest.format(r=rounds)}
+select vec_id, (best % 1000)::int as cluster, best // 1000 as distance,
+       sum(best // 1000) over (partition by best % 1000)::bigint as cluster_inertia,
+       sum(best // 1000) over ()::bigint as inertia,
+       sha256(array_to_string(list_transform(w, lambda x: x::bigint::varchar), ',')) as centroid_sha256
+from a{rounds} join c{rounds} on c = best % 1000"""

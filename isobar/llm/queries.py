@@ -9,15 +9,19 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from isobar.llm import language_id, oracles
+from isobar.llm.clustering import cluster_vectors
 from isobar.llm.decontamination import contamination
 from isobar.llm.exact_dedup import exact_groups
+from isobar.llm.hard_negatives import hard_negatives
 from isobar.llm.html_extraction import main_text
 from isobar.llm.lm_scoring import pseudo_likelihood
 from isobar.llm.ngram_join import near_duplicates
 from isobar.llm.packing import pack
 from isobar.llm.pii import pii_digest
 from isobar.llm.quality import quality_scores
+from isobar.llm.secret_scan import secret_digest
 from isobar.llm.token_counts import token_counts
+from isobar.llm.vectors import integers, usable
 from isobar.sources.tables import table
 
 Run = Callable[[SparkSession, str], DataFrame]
@@ -87,6 +91,22 @@ def op8_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_groups(table(spark, sf_dir, "documents"))
 
 
+def op11_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secret_digest(table(spark, sf_dir, "documents"))
+
+
+def op12_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = table(spark, sf_dir, "embeddings").where(usable("embedding"))
+    # Every seventh label is wrong on purpose.
+    label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    vectors = rows.select("vec_id", label.alias("label"), integers("embedding").alias("vector"))
+    return hard_negatives(vectors, F.col("vec_id") % 100 == 0)
+
+
+def op13_centroid_clustering(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return cluster_vectors(table(spark, sf_dir, "embeddings"))
+
+
 _ALL = (
     op1_language_id,
     op2_html_extraction,
@@ -98,11 +118,16 @@ _ALL = (
     op8_exact_dedup,
     op9_lm_score,
     op10_token_counts,
+    op11_secret_scan,
+    op12_hard_negatives,
+    op13_centroid_clustering,
 )
 _SQL = {
     "op3_pii": oracles.PII,
     "op4_decontamination": oracles.contamination(),
     "op8_exact_dedup": oracles.EXACT_DEDUP,
+    "op12_hard_negatives": oracles.HARD_NEGATIVES,
+    "op13_centroid_clustering": oracles.clustering(),
 }
 
 
