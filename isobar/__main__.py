@@ -13,7 +13,7 @@ from pyspark.sql.streaming import StreamingQuery
 from isobar import batch, schemas
 from isobar.functions.deviations import SIGMA_LIMIT, TEMPERATURE_LIMIT
 from isobar.operators import anomalies, history, readings, serving, summaries
-from isobar.operators.profiles import extreme_months, sorted_profile
+from isobar.operators.profiles import PROFILE_YEARS, extreme_months, sorted_profile
 from isobar.session import build_session
 from isobar.sinks.writers import send_messages, store_daily, store_history
 from isobar.sources import documents as stored
@@ -83,10 +83,11 @@ def _parser() -> argparse.ArgumentParser:
     output(detect, "anomalies")
     detect.add_argument("--base", required=True, help="base folder of profiles and of the anomaly archive")
     detect.add_argument("--layout", choices=("tree", "table"), default="table")
-    detect.add_argument("--profile-year", choices=("earliest", "latest", "same"), default="earliest")
+    detect.add_argument("--profile-year", choices=PROFILE_YEARS, default="earliest")
     detect.add_argument("--refresh", type=float, default=600.0, help="seconds between readings of the profiles")
     detect.add_argument("--temp-threshold", type=float, default=TEMPERATURE_LIMIT)
     detect.add_argument("--wind-threshold", type=float, default=SIGMA_LIMIT)
+    detect.add_argument("--temp-sigmas", type=float, help="standard deviations for temperature, if not those for wind")
     detect.add_argument("--statistics", help="folder for per-batch statistics")
 
     batched("records", "extreme days per city", "records")
@@ -177,6 +178,8 @@ def _start_stream(spark: SparkSession, args: argparse.Namespace) -> StreamingQue
         args.statistics,
         args.temp_threshold,
         args.wind_threshold,
+        args.temp_sigmas,
+        args.profile_year,
         **trigger,
         **_sink_options(args),
     )

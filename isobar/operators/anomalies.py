@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from isobar.functions import deviations
 from isobar.functions.calendar import event_timestamp
 from isobar.functions.deviations import SIGMA_LIMIT, TEMPERATURE_LIMIT
+from isobar.functions.lookup import last_not_after
 from isobar.functions.places import known
 
 # Profile field -> its name beside a reading.
@@ -22,6 +23,12 @@ _EXPECTED = {
 }
 
 
+def _expected(prefix: str, there: list[str]) -> list[Column]:
+    # A profile made without quartiles has no medians to carry along.
+    absent = F.lit(None).cast("double")
+    return [(F.col(prefix + name) if name in there else absent).alias(alias) for name, alias in _EXPECTED.items()]
+
+
 def flag_anomalies(
     readings: DataFrame,
     profile: DataFrame,
@@ -34,9 +41,14 @@ def flag_anomalies(
     """Left-join readings with the reference profile of their city and month and flag them.
 
     ``wind_threshold`` is the number of standard deviations for wind, and for temperature
-    too unless ``temp_sigmas`` is given. With ``profile_year="same"`` the profile holds
-    one row per year and is matched on it. Stateless, so it also runs on a stream.
+    too unless ``temp_sigmas`` is given. ``profile`` comes from reference_profile(), made with
+    the same ``profile_year``: for "same" it holds one row per year and is matched on it,
+    for "as-of" each reading is compared with its year's profile or, where there is none,
+    with the nearest year before. Every reading gives one row, whatever the mode.
+    Stateless, so it also runs on a stream.
     """
+    if (profile_year == "as-of") != ("years" in profile.columns):
+        raise ValueError('profiles by "as-of" and their profile_year go together')
     temp_sigmas = wind_threshold if temp_sigmas is None else temp_sigmas
     at = event_timestamp(readings)
     observed = readings.select(
@@ -52,11 +64,14 @@ def flag_anomalies(
         "heat_alert_level",
     )
     keys = ["country", "city", "month", *(["year"] if profile_year == "same" else [])]
-    # A profile made without quartiles has no medians to carry along.
-    missing = [name for name in _EXPECTED if name not in profile.columns]
-    profile = profile.withColumns({name: F.lit(None).cast("double") for name in missing}) if missing else profile
-    expected = profile.select(*keys, *(F.col(name).alias(alias) for name, alias in _EXPECTED.items()))
-    joined = observed.join(expected, keys, "left").withColumns(
+    if profile_year == "as-of":
+        past = observed.join(profile.select(*keys, F.col("years").alias("_years")), keys, "left")
+        past = past.withColumn("_past", last_not_after(F.col("_years"), F.col("year"), "year"))
+        there = profile.schema["years"].dataType.elementType.fieldNames()
+        matched = past.select(*observed.columns, *_expected("_past.", there))
+    else:
+        matched = observed.join(profile.select(*keys, *_expected("", profile.columns)), keys, "left")
+    joined = matched.withColumns(
         {
             "temp_deviation": F.col("observed_temperature") - F.col("expected_temperature"),
             "wind_deviation": F.col("observed_windspeed") - F.col("expected_windspeed"),

@@ -24,6 +24,9 @@ PHYSICAL_RANGES = {
 
 QUARTILES = (0.25, 0.5, 0.75)
 
+#: Which year's profile a reading is compared with.
+PROFILE_YEARS = ("earliest", "latest", "same", "as-of")
+
 _MEASURED = [
     *PLACE, "date", "year", "temperature_mean", "temperature_max", "temperature_min", "windspeed_mean", "windspeed_max",
     "precipitation",
@@ -222,19 +225,29 @@ def extreme_months(profile: DataFrame, keys: list[str], locale: str = "fr-short"
 def reference_profile(profile: DataFrame, year: str = "earliest") -> DataFrame:
     """The profile each city and month is compared with.
 
-    ``year`` picks the "earliest" or "latest" year per city and month, or keeps the
-    "same" year as the reading.
+    ``year`` picks the "earliest" or "latest" year per city and month, or keeps all of them:
+    for "same" a row per year, for "as-of" one row per city and month whose ``years`` are
+    the years' profiles in ascending order. Readings are matched by flag_anomalies() with
+    the same ``profile_year``.
     """
-    order = {"earliest": F.asc("year"), "latest": F.desc("year"), "same": F.asc("year")}[year]
-    keys = CITY_MONTH if year == "same" else ["country", "city", "month"]
+    order = F.desc("year") if year == "latest" else F.asc("year")
+    keys = ["country", "city", "month"] if year in ("earliest", "latest") else CITY_MONTH
+    if year not in PROFILE_YEARS:
+        raise ValueError(f"unknown profile year {year!r}, expected one of {PROFILE_YEARS}")
     first = Window.partitionBy(*keys).orderBy(order, "latitude", "longitude")
-    return (
+    chosen = (
         profile.where("month is not null and month <> 0")
         .withColumn("alert_probability", F.coalesce("alert_probability", F.lit(0.0)))
         .withColumn("rank", F.row_number().over(first))
         .where("rank = 1")
         .drop("rank")
     )
+    if year != "as-of":
+        return chosen
+    # As many entries as a city has years of history: a bounded array.
+    others = [name for name in chosen.columns if name not in CITY_MONTH]
+    years = F.array_sort(F.collect_list(F.struct("year", *others)))
+    return chosen.where("year is not null").groupBy("country", "city", "month").agg(years.alias("years"))
 
 
 def iqr_outliers(daily: DataFrame, ranks: DataFrame) -> DataFrame:

@@ -8,14 +8,14 @@ from pyspark.sql import functions as F
 from isobar.operators import anomalies, profiles, serving, summaries
 from isobar.operators.windows import window_metrics
 from isobar.plans.registry import query, second_text
-from isobar.plans.views import FLAGS, over
+from isobar.plans.views import FLAGS, MOVED_READINGS, flags, over
 from isobar.sources import tables
 from isobar.storage import materialise
 
 
-def reference(spark: SparkSession, sf_dir: str) -> DataFrame:
+def reference(spark: SparkSession, sf_dir: str, year: str = "earliest") -> DataFrame:
     """The stored reference profile, the product of a separate batch job."""
-    profile = profiles.reference_profile(profiles.full_profile(tables.daily(spark, sf_dir)))
+    profile = profiles.reference_profile(profiles.full_profile(tables.daily(spark, sf_dir)), year)
     return materialise(profile, "reference")
 
 
@@ -24,19 +24,16 @@ def _flags(spark: SparkSession, sf_dir: str) -> DataFrame:
     return anomalies.flag_anomalies(live, reference(spark, sf_dir), carry=("reading_id",))
 
 
-@query(
-    over(
-        FLAGS,
-        """
+_FLAGS_SQL = """
 select reading_id, strftime(event_time, '%Y-%m-%d %H:%M:%S') as event_time, city, country, year, month,
        observed_temperature, expected_temperature, temp_deviation, round(temp_std, 6) as temp_std, temp_median,
        observed_windspeed, expected_windspeed, wind_deviation, round(wind_std, 6) as wind_std, wind_median,
        expected_alert_probability, temp_anomaly, wind_anomaly, alert_anomaly, is_anomaly, anomaly_type
-from flags""",
-    )
-)
-def anomaly_flags(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _flags(spark, sf_dir).select(
+from flags"""
+
+
+def _shown(flagged: DataFrame) -> DataFrame:
+    return flagged.select(
         "reading_id", second_text("event_time"), "city", "country", "year", "month",
         "observed_temperature", "expected_temperature", "temp_deviation", F.round("temp_std", 6).alias("temp_std"),
         "temp_median", "observed_windspeed", "expected_windspeed", "wind_deviation",
@@ -44,6 +41,32 @@ def anomaly_flags(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query(over(FLAGS, _FLAGS_SQL))
+def anomaly_flags(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _shown(_flags(spark, sf_dir))
+
+
+def _compared(spark: SparkSession, sf_dir: str, year: str) -> DataFrame:
+    live = tables.moved_in_time(tables.transformed(spark, sf_dir))
+    profile = reference(spark, sf_dir, year)
+    return _shown(anomalies.flag_anomalies(live, profile, profile_year=year, carry=("reading_id",)))
+
+
+@query(over(flags("latest", MOVED_READINGS), _FLAGS_SQL))
+def anomaly_flags_latest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _compared(spark, sf_dir, "latest")
+
+
+@query(over(flags("same", MOVED_READINGS), _FLAGS_SQL))
+def anomaly_flags_same_year(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _compared(spark, sf_dir, "same")
+
+
+@query(over(flags("as-of", MOVED_READINGS), _FLAGS_SQL))
+def anomaly_flags_as_of(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _compared(spark, sf_dir, "as-of")
+
+
 MESSAGE_COLUMNS = "city, country, variable, observed_value, expected_value, anomaly_type"
 
 

@@ -346,10 +346,47 @@ from (select *, row_number() over (partition by country, city, month order by ye
     )
 )
 def profile_reference(spark: SparkSession, sf_dir: str) -> DataFrame:
-    picked = profiles.reference_profile(profiles.enriched_profile(tables.daily(spark, sf_dir)))
+    return _reference_rows(spark, sf_dir, "earliest")
+
+
+def _reference_rows(spark: SparkSession, sf_dir: str, year: str) -> DataFrame:
+    picked = profiles.reference_profile(profiles.enriched_profile(tables.daily(spark, sf_dir)), year)
     return picked.select("country", "city", "month", "year", "avg_temperature", "alert_probability")
 
 
+@query(
+    over(
+        ENRICHED,
+        """
+select country, city, month, year, avg_temperature, alert_probability
+from (select *, row_number() over (partition by country, city, month order by year desc, latitude, longitude) as rn
+      from enriched) where rn = 1""",
+    )
+)
+def profile_reference_latest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _reference_rows(spark, sf_dir, "latest")
+
+
+@query(
+    over(
+        ENRICHED,
+        """
+select country, city, month, array_to_string(list(year order by year), ',') as years,
+       list(avg_temperature order by year)[1] as first_temperature, max(alert_probability) as alert_probability
+from (select *, row_number() over (partition by country, city, month, year order by latitude, longitude) as rn
+      from enriched) where rn = 1 group by country, city, month""",
+    )
+)
+def profile_reference_as_of(spark: SparkSession, sf_dir: str) -> DataFrame:
+    picked = profiles.reference_profile(profiles.enriched_profile(tables.daily(spark, sf_dir)), "as-of")
+    each = lambda field: F.transform("years", lambda entry: entry[field])
+    return picked.select(
+        "country", "city", "month", F.array_join(each("year").cast("array<string>"), ",").alias("years"),
+        F.col("years")[0]["avg_temperature"].alias("first_temperature"),
+        F.array_max(each("alert_probability")).alias("alert_probability"),
+    )
+
+
 @query(
     over(
         SEASONAL,

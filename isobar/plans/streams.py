@@ -11,7 +11,7 @@ from isobar.operators import readings
 from isobar.plans.anomaly import MESSAGE_COLUMNS, reference
 from isobar.plans.live import ROUND_TRIP_COLUMNS, ROUND_TRIP_SQL, windows_sql
 from isobar.plans.registry import query, second_text
-from isobar.plans.views import FLAGS, MESSAGES, READINGS, over
+from isobar.plans.views import FLAGS, MESSAGES, MOVED_READINGS, READINGS, flags, over
 from isobar.sources import tables
 from isobar.sources.documents import archived_alerts, archived_anomalies
 from isobar.storage import scratch_path
@@ -30,7 +30,11 @@ def _flat_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _flat_messages(events: DataFrame) -> DataFrame:
-    graded = readings.grade_alerts(tables.as_readings(events))
+    return _as_flat_messages(tables.as_readings(events))
+
+
+def _as_flat_messages(live: DataFrame) -> DataFrame:
+    graded = readings.grade_alerts(live)
     fields = [name for name in schemas.FLAT_READING.fieldNames() if name in graded.columns]
     return graded.select(
         location_key().alias("key"),
@@ -153,6 +157,45 @@ def stream_statistics(spark: SparkSession, sf_dir: str) -> DataFrame:
     return counted.agg(F.sum("rows").alias("rows"), F.sum("anomalies").alias("anomalies"))
 
 
+_BY_YEAR_SQL = f"""
+select strftime(event_time, '%Y-%m-%d %H:%M:%S') as event_time, {MESSAGE_COLUMNS},
+       (select count(*) from flags) as readings
+from messages"""
+
+
+def _sent_by_year(spark: SparkSession, sf_dir: str, year: str) -> DataFrame:
+    """What a running detector sends about readings of many years, and how many readings it has flagged."""
+    base = scratch_path(spark, "anomalies")
+    profile = reference(spark, sf_dir, year)
+    moved = tables.moved_in_time(tables.as_readings(tables.event_stream(spark, sf_dir)))
+    jobs.start_anomaly_detector(
+        _as_flat_messages(moved), lambda: profile, f"{base}/checkpoint", ("json", f"{base}/out"),
+        statistics=f"{base}/statistics", profile_year=year, trigger=_UNTIL_READ,
+    ).awaitTermination()
+    flagged = spark.read.schema("rows bigint").json(f"{base}/statistics").agg(F.sum("rows").alias("readings"))
+    # One row of totals.
+    return _sent_anomalies(spark, f"{base}/out").join(F.broadcast(flagged))
+
+
+def _sent_anomalies(spark: SparkSession, path: str) -> DataFrame:
+    sent = spark.read.schema("key string, value string").json(path)
+    messages = readings.parse_messages(
+        sent.withColumn("timestamp", F.lit(None).cast("timestamp")), schemas.ANOMALY_MESSAGE
+    ).drop("message_key", "received_at")
+    timed = readings.with_event_timestamp(messages).withColumn("event_time", second_text("event_timestamp"))
+    return timed.drop("event_timestamp")
+
+
+@query(over(flags("same", MOVED_READINGS), _BY_YEAR_SQL))
+def stream_anomalies_same_year(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _sent_by_year(spark, sf_dir, "same")
+
+
+@query(over(flags("as-of", MOVED_READINGS), _BY_YEAR_SQL))
+def stream_anomalies_as_of(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _sent_by_year(spark, sf_dir, "as-of")
+
+
 @query(over(FLAGS, f"select strftime(event_time, '%Y-%m-%d %H:%M:%S') as event_time, {MESSAGE_COLUMNS} from messages"))
 def stream_anomaly_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
     base = scratch_path(spark, "anomalies")
@@ -166,9 +209,4 @@ def stream_anomaly_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
         statistics=f"{base}/statistics",
         trigger=_UNTIL_READ,
     ).awaitTermination()
-    sent = spark.read.schema("key string, value string").json(f"{base}/out")
-    messages = readings.parse_messages(
-        sent.withColumn("timestamp", F.lit(None).cast("timestamp")), schemas.ANOMALY_MESSAGE
-    ).drop("message_key", "received_at")
-    timed = readings.with_event_timestamp(messages).withColumn("event_time", second_text("event_timestamp"))
-    return timed.drop("event_timestamp")
+    return _sent_anomalies(spark, f"{base}/out")

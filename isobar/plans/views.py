@@ -107,16 +107,29 @@ checked as (
 )"""
 )
 
-# Readings against the earliest year's profile of their city and month.
-FLAGS = (
-    READINGS
-    + ","
-    + ENRICHED
-    + """,
+# Readings at the same month, day and time of other years: some have a profile, some only
+# an earlier one, some none.
+MOVED_MONTHS = 12 * 22, 10
+MOVED_READINGS = READINGS.replace(
+    "ts as event_time", f"ts - to_months({MOVED_MONTHS[0]} + 12 * (event_id % {MOVED_MONTHS[1]}) + event_id % 12) as event_time"
+)
+
+
+def flags(profile_year: str = "earliest", live: str = READINGS) -> str:
+    """Readings against the profile of their city and month, of the chosen year."""
+    by = "country, city, month" + (", year" if profile_year in ("same", "as-of") else "")
+    order = "year desc" if profile_year == "latest" else "year"
+    join = "asof left join" if profile_year == "as-of" else "left join"
+    also = {"same": " and year(t.event_time) = r.year", "as-of": " and year(t.event_time) >= r.year"}.get(profile_year, "")
+    return (
+        live
+        + ","
+        + ENRICHED
+        + f""",
 reference as (
   select * from (
     select e.*, q.temp_median, q.wind_median,
-           row_number() over (partition by country, city, month order by year, latitude, longitude) as rn
+           row_number() over (partition by {by} order by {order}, latitude, longitude) as rn
     from enriched e left join quantiles q using (country, city, year, month)
   ) where rn = 1
 ),
@@ -133,8 +146,8 @@ compared as (
          coalesce(t.windspeed - r.avg_windspeed > 2 * r.std_windspeed, false) as wind_anomaly,
          coalesce((wind_alert_level <> 'level_0' or heat_alert_level <> 'level_0') and r.alert_probability < 10,
                   false) as alert_anomaly
-  from transformed t left join reference r
-       on t.country = r.country and t.city = r.city and month(t.event_time) = r.month
+  from transformed t {join} reference r
+       on t.country = r.country and t.city = r.city and month(t.event_time) = r.month{also}
 ),
 flags as (
   select *, temp_anomaly or wind_anomaly or alert_anomaly as is_anomaly,
@@ -154,7 +167,10 @@ messages as (
   select event_time, reading_id, city, country, 'alert', 1.0, expected_alert_probability, anomaly_type
   from flags where alert_anomaly
 )"""
-)
+    )
+
+
+FLAGS = flags()
 
 # The raw message of every reading, with the junk that replaces some.
 MESSAGES = (

@@ -159,6 +159,8 @@ def start_anomaly_detector(
     statistics: str | None = None,
     temp_threshold: float = TEMPERATURE_LIMIT,
     wind_threshold: float = SIGMA_LIMIT,
+    temp_sigmas: float | None = None,
+    profile_year: str = "earliest",
     trigger: Trigger = EVERY_5_SECONDS,
     **options: str,
 ) -> StreamingQuery:
@@ -166,13 +168,14 @@ def start_anomaly_detector(
 
     One query feeds all three outputs from one evaluation of the join. ``load_profile``
     is called for every micro-batch, so a recomputed profile takes effect at once; wrap
-    it in refreshed() to read the stored profiles less often.
+    it in refreshed() to read the stored profiles less often. ``profile_year`` is the one
+    that the profile was made for.
     """
     flat = readings.parse_flat_readings(messages)
 
     def process(rows: DataFrame, batch: Batch) -> None:
         flags = anomalies.flag_anomalies(
-            rows, load_profile(), temp_threshold, wind_threshold, carry=("latitude", "longitude")
+            rows, load_profile(), temp_threshold, wind_threshold, temp_sigmas, profile_year, ("latitude", "longitude")
         ).persist()
         try:
             if sink:

@@ -1,8 +1,10 @@
 """Anomaly rules on the golden cases."""
 
 import pytest
+from pyspark.sql import functions as F
 
-from isobar.operators import anomalies
+from isobar.functions.lookup import last_not_after
+from isobar.operators import anomalies, profiles
 
 READING = (
     "case int, event_time string, city string, country string, temperature double, windspeed double, "
@@ -107,3 +109,53 @@ def test_type_counts_name_the_unknown(spark):
     rows = spark.createDataFrame([("heat_wave",), (None,), ("heat_wave",)], "anomaly_type string")
     counted = {row.anomaly_type: row.anomalies for row in anomalies.anomaly_type_counts(rows).collect()}
     assert counted == {"heat_wave": 2, "unknown": 1}
+
+
+YEARS = [(1995, 5.0), (1997, 7.0), (1998, 8.0), (2003, 13.0)]
+
+
+def yearly_profile(spark, mode):
+    """Two places of one city, so that a year has two profiles, of which the first place's counts."""
+    rows = [("France", "Paris", lat, 2.0, year, 1, t + lat, 1.0, 1.0, 1.0, 50.0) for year, t in YEARS for lat in (0.0, 9.0)]
+    rows += [("France", "Paris", 0.0, 2.0, 1996, 2, 99.0, 1.0, 1.0, 1.0, 50.0), ("France", "Paris", 0.0, 2.0, None, 1, 77.0, 1.0, 1.0, 1.0, 50.0)]
+    fields = "country string, city string, latitude double, longitude double, year int, month int, avg_temperature double, "
+    fields += "std_temperature double, avg_windspeed double, std_windspeed double, alert_probability double"
+    return profiles.reference_profile(spark.createDataFrame(rows, fields).where("year is not null or '%s' = 'as-of'" % mode), mode)
+
+
+@pytest.mark.parametrize("mode", profiles.PROFILE_YEARS)
+def test_profile_years(spark, mode):
+    """Each reading gives one row, compared with the year that the mode names."""
+    asked = [1990, 1994, 1995, 1996, 1997, 2000, 2002, 2003, 2024, None]
+    rows = [(y or 0, y and f"{y}-01-15T12:00:00Z", "Paris", "France", 6.0, 5.0, "level_0", "level_0") for y in asked]
+    rows.append((1, "1997-01-15T12:00:00Z", "Lyon", "France", 6.0, 5.0, "level_0", "level_0"))
+    readings = spark.createDataFrame(rows, READING)
+    flags = anomalies.flag_anomalies(readings, yearly_profile(spark, mode), profile_year=mode, carry=("case",)).collect()
+    assert len(flags) == len(rows)
+    found = {row.case: row.expected_temperature for row in flags}
+    known = dict(YEARS)
+    wanted = {
+        "earliest": lambda y: 5.0, "latest": lambda y: 13.0, "same": known.get,
+        "as-of": lambda y: next((t for k, t in reversed(YEARS) if k <= y), None),
+    }[mode]
+    assert found == {y or 0: wanted(y) if y else None for y in asked} | {1: None}
+
+
+def test_as_of_profiles_are_not_joined_as_others(spark):
+    readings = spark.createDataFrame([], READING)
+    with pytest.raises(ValueError, match="as-of"):
+        anomalies.flag_anomalies(readings, yearly_profile(spark, "as-of"))
+    with pytest.raises(ValueError, match="as-of"):
+        anomalies.flag_anomalies(readings, yearly_profile(spark, "same"), profile_year="as-of")
+
+
+def test_last_not_after(spark):
+    """Halving finds what a scan of the array finds, at all sizes."""
+    rows = [(n, at) for n in range(0, 70) for at in (-1, 0, 1, n - 1, 2 * n, 2 * n + 5, None)] + [(None, 3)]
+    made = spark.createDataFrame(rows, "n int, at int").withColumn(
+        "entries", F.expr("if(n is null, null, if(n = 0, array(), transform(sequence(1, n), i -> named_struct('key', 2 * i))))")
+    ).withColumn("entries", F.col("entries").cast("array<struct<key:int>>"))
+    found = made.select("n", "at", last_not_after(F.col("entries"), F.col("at"), "key")["key"].alias("key")).collect()
+    for row in found:
+        fits = [2 * i for i in range(1, (row.n or 0) + 1) if row.at is not None and 2 * i <= row.at]
+        assert row.key == (fits[-1] if fits else None)
