@@ -46,6 +46,18 @@ def chunks(batches: Iterable[pa.RecordBatch], column: str, limit: int = CHUNK_BY
             first = stop
 
 
+def list_chunks(batches: Iterable[pa.RecordBatch], column: str, limit: int) -> Iterator[pa.RecordBatch]:
+    """Slices of the batches whose lists hold at most ``limit`` elements together, or one row."""
+    for batch in batches:
+        ends = np.cumsum(pc.fill_null(pc.list_value_length(batch.column(column)), 0).to_numpy(zero_copy_only=False), dtype=np.int64)
+        first = 0
+        while first < batch.num_rows:
+            before = ends[first - 1] if first else 0
+            stop = max(first + 1, int(np.searchsorted(ends, before + limit, side="right")))
+            yield batch.slice(first, stop - first)
+            first = stop
+
+
 def text_bytes(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """The UTF-8 bytes of all texts, and where each starts and the last ends; null is empty."""
     plain = pc.fill_null(column.cast(pa.large_string()), "")

@@ -8,10 +8,12 @@ shares of the frequent words go out to the tasks; words too rare for that get th
 join with the counts, in which no key is hot. A
 document's score is the sum of the log probabilities of all its words.
 
-Vocabulary and class shares are counted over all documents. Training reads all documents
-too: in each round every task starts from the same weights and learns from its own
-documents, at every ``stride``-th word, and the rounds take turns; then the tasks' weights are averaged, a bounded
-number at a time, and sent out again.
+Vocabulary and class shares are counted over all documents. With them every document is
+written once as the codes of its words, from which training and scoring read; neither
+touches a text again. Training takes all documents: in each round every task starts from
+the same weights and learns from its own documents, at every ``stride``-th word, and the
+rounds take turns; then the tasks' weights are averaged, a bounded number at a time, and
+sent out again.
 """
 
 from __future__ import annotations
@@ -26,8 +28,8 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from isobar.llm.arrow import chunks, lists, ship_package
-from isobar.llm.words import Words, words_of
+from isobar.llm.arrow import chunks, list_chunks, lists, ship_package
+from isobar.llm.words import words_of
 from isobar.storage import materialise
 
 #: Words with an embedding of their own, and hashed embeddings for all others.
@@ -44,6 +46,8 @@ STRIDE = ROUNDS
 #: Tasks whose weights are averaged in one step, and weights of one row.
 FAN_IN, SLICE = 64, 16_384
 _STEP, _BLOCK = 1024, 16_384
+#: Words handled at once, a longer document alone.
+_WORDS = 1 << 18
 _RATE = 0.3
 
 
@@ -71,6 +75,23 @@ class Vocabulary:
         single = ids < min(SINGLE, len(self.ranks))
         return np.where(single, ids, SINGLE + _shared_class(words))
 
+    def codes(self, words: np.ndarray, ids: np.ndarray) -> np.ndarray:
+        """One number for a word's embedding and class: its rank, or both behind the ranks."""
+        behind = len(self.ranks) + (ids - len(self.ranks)) * SHARED + _shared_class(words)
+        return np.where(ids < len(self.ranks), ids, behind).astype(np.int32)
+
+    def decoded(self, codes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The embeddings and the classes of coded words."""
+        kept = len(self.ranks)
+        behind = np.maximum(codes - kept, 0)
+        # Few enough for 16 bits, which sort fastest.
+        ids = np.where(codes < kept, codes, kept + behind // SHARED).astype(np.int32 if kept > 30_000 else np.int16)
+        by_rank = np.empty(kept, dtype=np.int64)
+        by_rank[self.ranks] = SINGLE + _shared_class(self.hashes)
+        by_rank[:SINGLE] = np.arange(min(SINGLE, kept))
+        classes = np.where(codes < kept, by_rank[np.minimum(codes, kept - 1)] if kept else 0, SINGLE + behind % SHARED)
+        return ids, classes
+
     def within(self, ids: np.ndarray, classes: np.ndarray) -> np.ndarray:
         known = ids < len(self.ranks)
         rest = self.log_rest[np.maximum(classes - SINGLE, 0)]
@@ -197,10 +218,12 @@ class Network:
         error[np.arange(len(classes)), classes] -= 1
         back = (error @ self.output.T) * (1 - hidden**2)
         size = np.float32(len(classes))
-        ids, first, number = np.unique(around.ravel(), return_index=True, return_counts=True)
-        order = np.argsort(around.ravel(), kind="stable")
+        flat = around.ravel()
+        order = np.argsort(flat, kind="stable")
+        sorted_ids = flat[order]
+        starts = np.flatnonzero(np.concatenate([[True], sorted_ids[1:] != sorted_ids[:-1]]))
+        ids, number = sorted_ids[starts], np.diff(np.append(starts, len(flat)))
         pulls = (back[:, None, :] * self.distances).reshape(-1, WIDTH)[order]
-        starts = np.cumsum(number) - number
         summed = np.add.reduceat(pulls, starts, axis=0)
         self.output -= rate * (hidden.T @ error) / size * 4
         self.output_bias -= rate * error.sum(axis=0) / size * 4
@@ -209,17 +232,47 @@ class Network:
         self.embeddings[ids] -= rate * summed / np.sqrt(number)[:, None].astype(np.float32)
 
 
-def _around(ids: np.ndarray, words: Words, pad: int) -> np.ndarray:
+def _around(ids: np.ndarray, first: np.ndarray, pad: int) -> np.ndarray:
     """The ids at the distances -REACH to REACH without 0; ``pad`` beyond the ends of a text."""
-    counts = np.diff(words.first)
-    since = np.arange(len(ids)) - np.repeat(words.first[:-1], counts)
-    left = np.repeat(counts, counts) - since
-    columns = []
-    for distance in [*range(-REACH, 0), *range(1, REACH + 1)]:
-        inside = (since + distance >= 0) & (left - distance > 0)
-        places = np.clip(np.arange(len(ids)) + distance, 0, max(0, len(ids) - 1))
-        columns.append(np.where(inside, ids[places], pad))
-    return np.stack(columns, axis=1) if len(ids) else np.empty((0, 2 * REACH), dtype=np.int64)
+    counts = np.diff(first)
+    # Every text between two runs of pads: a neighbour is then a plain shift.
+    places = np.arange(len(ids)) + np.repeat(REACH * np.arange(1, len(counts) + 1), counts)
+    padded = np.full(len(ids) + REACH * (len(counts) + 1), pad, dtype=ids.dtype)
+    padded[places] = ids
+    return np.stack([padded[places + d] for d in [*range(-REACH, 0), *range(1, REACH + 1)]], axis=1)
+
+
+def encode(docs: DataFrame, words: Vocabulary, id_col: str, text_col: str) -> DataFrame:
+    """(id, codes, shares, far): the words of each document as codes, the sum of the log shares
+    within their classes, and the words whose log count is still to be added to it."""
+    shared = docs.sparkSession.sparkContext.broadcast(words)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        words = shared.value
+        for batch in chunks(batches, "text"):
+            own = words_of(batch.column("text"))
+            ids = words.ids(own.hashes)
+            classes = words.classes(own.hashes, ids)
+            shares, far = words.among_rest(own.hashes, ids, classes)
+            totals = np.concatenate([[0.0], np.cumsum(shares + words.within(ids, classes))])
+            yield pa.RecordBatch.from_arrays(
+                [
+                    batch.column("id"), lists(words.codes(own.hashes, ids), own.first),
+                    pa.array(totals[own.first[1:]] - totals[own.first[:-1]]),
+                    lists(own.hashes[far].view(np.int64), np.concatenate([[0], np.cumsum(far)])[own.first]),
+                ],
+                ["id", "codes", "shares", "far"],
+            )
+
+    rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
+    kind = rows.schema["id"].dataType.simpleString()
+    return rows.mapInArrow(run, f"id {kind}, codes array<int>, shares double, far array<bigint>")
+
+
+def _codes(batch: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray]:
+    column = batch.column("codes")
+    ends = column.offsets.to_numpy()
+    return column.flatten().to_numpy(), (ends - ends[0]).astype(np.int64)
 
 
 def _averaged(parts: DataFrame, size: int) -> np.ndarray:
@@ -247,9 +300,9 @@ def _averaged(parts: DataFrame, size: int) -> np.ndarray:
     return flat
 
 
-def train(docs: DataFrame, words: Vocabulary, text_col: str, rounds: int = ROUNDS, stride: int = STRIDE) -> Network:
-    spark = docs.sparkSession
-    texts = docs.select(F.col(text_col).alias("text"))
+def train(coded: DataFrame, words: Vocabulary, rounds: int = ROUNDS, stride: int = STRIDE) -> Network:
+    """``coded`` is a stored table of codes."""
+    spark = coded.sparkSession
     pad = len(words.ranks) + OTHERS
     network = Network.fresh(pad + 1)
     size = len(network.flat())
@@ -259,15 +312,14 @@ def train(docs: DataFrame, words: Vocabulary, text_col: str, rounds: int = ROUND
         def learn(batches: Iterator[pa.RecordBatch], number: int = number, shared=shared) -> Iterator[pa.RecordBatch]:
             words, network = shared.value
             network, learned = network.replaced(network.flat()), 0
-            rate = _RATE / (1 + number)
-            for batch in chunks(batches, "text"):
-                own = words_of(batch.column("text"))
-                ids = words.ids(own.hashes)
+            rate = np.float32(_RATE / (1 + number))
+            for batch in list_chunks(batches, "codes", _WORDS):
+                codes, first = _codes(batch)
+                ids, classes = words.decoded(codes)
                 places = np.arange(number % stride, len(ids), stride)
                 # In a fixed random order, so that a step sees many documents.
                 places = places[np.random.default_rng(number).permutation(len(places))]
-                around = _around(ids, own, pad)
-                classes = words.classes(own.hashes, ids)
+                around = _around(ids, first, pad)
                 for at in range(0, len(places), _STEP):
                     step = places[at : at + _STEP]
                     network.learn(around[step], classes[step], rate)
@@ -284,46 +336,42 @@ def train(docs: DataFrame, words: Vocabulary, text_col: str, rounds: int = ROUND
                     ["slice", "part", "weight", "values"],
                 )
 
-        parts = texts.mapInArrow(learn, "slice int, part bigint, weight double, values array<float>")
+        parts = coded.select("codes").mapInArrow(learn, "slice int, part bigint, weight double, values array<float>")
         flat = _averaged(parts, size)
         if flat.any():
             network = network.replaced(flat)
     return network
 
 
-def score(
-    docs: DataFrame, words: Vocabulary, counted: DataFrame, network: Network, id_col: str, text_col: str
-) -> DataFrame:
-    shared = docs.sparkSession.sparkContext.broadcast((words, network))
+def score(coded: DataFrame, words: Vocabulary, counted: DataFrame, network: Network) -> DataFrame:
+    """(id, n_words, log_likelihood) of a stored table of codes with row numbers."""
+    shared = coded.sparkSession.sparkContext.broadcast((words, network))
     pad = len(words.ranks) + OTHERS
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         words, network = shared.value
-        for batch in chunks(batches, "text"):
-            own = words_of(batch.column("text"))
-            ids = words.ids(own.hashes)
-            around, classes = _around(ids, own, pad), words.classes(own.hashes, ids)
-            logs = words.within(ids, classes).astype(np.float64)
-            shares, far = words.among_rest(own.hashes, ids, classes)
-            logs += shares
+        for batch in list_chunks(batches, "codes", _WORDS):
+            codes, first = _codes(batch)
+            ids, classes = words.decoded(codes)
+            around, logs = _around(ids, first, pad), np.zeros(len(ids))
             for at in range(0, len(ids), _BLOCK):
                 block = slice(at, at + _BLOCK)
-                logs[block] += network.log_classes(around[block], classes[block])
+                logs[block] = network.log_classes(around[block], classes[block])
             totals = np.concatenate([[0.0], np.cumsum(logs)])
-            sums, counts = totals[own.first[1:]] - totals[own.first[:-1]], np.diff(own.first)
-            joined = lists(own.hashes[far].view(np.int64), np.concatenate([[0], np.cumsum(far)])[own.first])
+            sums = totals[first[1:]] - totals[first[:-1]] + batch.column("shares").to_numpy()
             yield pa.RecordBatch.from_arrays(
-                [batch.column("id"), pa.array(counts), pa.array(sums), joined], ["id", "n_words", "log_likelihood", "far"]
+                [batch.column("row"), batch.column("id"), pa.array(np.diff(first)), pa.array(sums)],
+                ["row", "id", "n_words", "log_likelihood"],
             )
 
-    rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
-    kind = rows.schema["id"].dataType.simpleString()
-    scored = rows.mapInArrow(run, f"id {kind}, n_words bigint, log_likelihood double, far array<bigint>")
-    scored = materialise(scored.withColumn("row", F.monotonically_increasing_id()), "scored")
-    missing = scored.select("row", F.explode("far").alias("word")).join(counted, "word")
+    kind = coded.schema["id"].dataType.simpleString()
+    scored = coded.select("row", "id", "codes", "shares").mapInArrow(
+        run, f"row bigint, id {kind}, n_words bigint, log_likelihood double"
+    )
+    missing = coded.select("row", F.explode("far").alias("word")).join(counted, "word")
     missing = missing.groupBy("row").agg(F.sum(F.log("n")).alias("more"))
     whole = F.col("log_likelihood") + F.coalesce("more", F.lit(0.0))
-    return scored.drop("far").join(missing, "row", "left").select("id", "n_words", whole.alias("log_likelihood"))
+    return scored.join(missing, "row", "left").select("id", "n_words", whole.alias("log_likelihood"))
 
 
 def pseudo_likelihood(
@@ -345,8 +393,10 @@ def pseudo_likelihood(
     ship_package(docs.sparkSession)
     counted = materialise(count_words(docs, text_col), "word-counts")
     words = vocabulary(docs, text_col, size, counted)
-    network = train(docs, words, text_col, rounds, stride)
-    scored = score(docs, words, counted, network, id_col, text_col)
+    coded = encode(docs, words, id_col, text_col).withColumn("row", F.monotonically_increasing_id())
+    coded = materialise(coded, "codes")
+    network = train(coded, words, rounds, stride)
+    scored = score(coded, words, counted, network)
     return scored.select(
         F.col("id").alias(id_col), "n_words", "log_likelihood",
         (F.col("log_likelihood") / F.nullif("n_words", F.lit(0))).alias("mean_log_likelihood"),
