@@ -15,9 +15,11 @@ from isobar.functions.deviations import SIGMA_LIMIT, TEMPERATURE_LIMIT
 from isobar.operators import anomalies, history, readings, serving, summaries
 from isobar.operators.profiles import PROFILE_YEARS, extreme_months, sorted_profile
 from isobar.session import build_session
-from isobar.sinks.writers import send_messages, store_daily, store_history
+from isobar.sinks import archive, daily_store, profile_store
+from isobar.sinks.writers import send_messages, store_history
 from isobar.sources import documents as stored
 from isobar.sources.messages import KINDS, first_messages, message_stream, message_table
+from isobar.storage import scratch_scope
 from isobar.streaming import jobs
 
 # Topic names of the running system.
@@ -55,9 +57,13 @@ def _parser() -> argparse.ArgumentParser:
         added.add_argument("--sink", choices=("kafka", "json", "parquet"), default="kafka")
         added.add_argument("--output", default=TOPICS[topic], help="topic or folder for messages")
 
-    def batched(name: str, text: str, topic: str) -> None:
+    def batched(name: str, text: str, topic: str, states: bool = False) -> None:
         added = job(name, text)
-        added.add_argument("--history", required=True, help="base folder of history documents")
+        source = added.add_mutually_exclusive_group(required=True)
+        source.add_argument("--history", help="base folder of history documents")
+        if states:
+            source.add_argument("--states", help="base folder of profile states, see add-days")
+            added.add_argument("--quantile-scope", choices=("all", "validated"), default="all")
         added.add_argument("--layout", choices=("tree", "table", "rows"), default="tree")
         added.add_argument("--base", help="base folder to store documents in")
         added.add_argument("--skip-files", action="store_true")
@@ -92,12 +98,22 @@ def _parser() -> argparse.ArgumentParser:
 
     batched("records", "extreme days per city", "records")
     batched("seasonal", "monthly climatology per city", "records")
-    batched("enrich", "validated yearly profiles with dispersion", "records")
+    batched("enrich", "validated yearly profiles with dispersion", "records", states=True)
 
     ingest = job("ingest", "store the days of history documents as clustered Parquet")
-    ingest.add_argument("--history", required=True, help="base folder of history documents")
-    ingest.add_argument("--layout", choices=("tree", "table"), default="tree")
-    ingest.add_argument("--base", required=True, help="base folder to store the days in")
+    ingest.add_argument("--merge", action="store_true", help="replace only the cities that the documents hold")
+    learn = job("add-days", "add days to the profile states; days in them are not read again")
+    learn.add_argument("--name", help="an ingest of this name counts once, however often it is run")
+    for reader in (ingest, learn):
+        reader.add_argument("--history", required=True, help="base folder of history documents")
+        reader.add_argument("--layout", choices=("tree", "table"), default="tree")
+        reader.add_argument("--base", required=True, help="base folder to store in")
+
+    compact = job("compact", "gather the small files of a store; readers and writers may go on")
+    compact.add_argument("kind", choices=("alerts", "anomalies", "profile-state"))
+    compact.add_argument("--base", required=True)
+    compact.add_argument("--full", action="store_true", help="write earlier generations anew, too")
+    compact.add_argument("--drop", action="store_true", help="then remove what is no longer read")
 
     land = job("land-history", "wrap landed archive responses as history documents")
     land.add_argument("--responses", required=True, help="JSON folder of responses with place and daily arrays")
@@ -188,10 +204,38 @@ def _start_stream(spark: SparkSession, args: argparse.Namespace) -> StreamingQue
 def _run_batch(spark: SparkSession, args: argparse.Namespace) -> None:
     base = None if args.skip_files else args.base
     sink = None if args.skip_messages else (args.sink, args.output)
-    run = {"records": batch.run_records, "seasonal": batch.run_seasonal, "enrich": batch.run_enriched}[args.job]
-    summary = run(spark, args.history, base, sink, args.layout, **_sink_options(args))
-    if summary is not None:
-        summary.show()
+    with scratch_scope(spark):
+        if args.job == "enrich":
+            profile = profile_store.stored_full_profile(spark, args.states) if args.states else None
+            summary = batch.run_enriched(
+                spark, args.history, base, sink, args.layout, args.quantile_scope, profile, **_sink_options(args)
+            )
+            summary.show()
+        else:
+            run = {"records": batch.run_records, "seasonal": batch.run_seasonal}[args.job]
+            run(spark, args.history, base, sink, args.layout, **_sink_options(args))
+
+
+def _store_days(spark: SparkSession, args: argparse.Namespace) -> None:
+    days = stored.daily_history(spark, args.history, args.layout)
+    with scratch_scope(spark):
+        if args.job == "add-days":
+            profile_store.add_days(days, args.base, args.name)
+        elif args.merge:
+            daily_store.merge_daily(days, args.base)
+        else:
+            daily_store.store_daily(days, args.base)
+
+
+def _compact(spark: SparkSession, args: argparse.Namespace) -> None:
+    if args.kind == "profile-state":
+        profile_store.compact_state(spark, args.base)
+        return
+    schema, partitions = stored.ARCHIVES[args.kind]
+    path = f"{args.base}/{args.kind}"
+    archive.compact_archive(spark, path, schema, partitions, args.full)
+    if args.drop:
+        archive.drop_covered(spark, path)
 
 
 def _land(spark: SparkSession, args: argparse.Namespace) -> None:
@@ -308,8 +352,10 @@ def main(argv: Sequence[str] | None = None) -> None:
         jobs.supervise(lambda: _start_stream(spark, args), args.attempts, args.pause)
     elif args.job in ("records", "seasonal", "enrich"):
         _run_batch(spark, args)
-    elif args.job == "ingest":
-        store_daily(stored.daily_history(spark, args.history, args.layout), args.base)
+    elif args.job in ("ingest", "add-days"):
+        _store_days(spark, args)
+    elif args.job == "compact":
+        _compact(spark, args)
     elif args.job == "land-history":
         _land(spark, args)
     elif args.job == "wrap-readings":

@@ -42,10 +42,15 @@ def run_enriched(
     sink: Sink | None = None,
     layout: str = "tree",
     quantile_scope: str = "all",
+    profile: DataFrame | None = None,
     **options: str,
 ) -> DataFrame:
-    """Validated per-year profiles; returns how many city-years are complete."""
-    profile = profiles.full_profile(stored.daily_history(spark, source, layout), quantile_scope)
+    """Validated per-year profiles; returns how many city-years are complete.
+
+    ``profile`` is one made from stored states, in place of one from history.
+    """
+    if profile is None:
+        profile = profiles.full_profile(stored.daily_history(spark, source, layout), quantile_scope)
     profile = materialise(profile, "profile")
     checked = profiles.completeness(profile)
     _publish(documents.enriched_documents(profile, checked), base, "enriched", sink, True, options)

@@ -10,8 +10,9 @@ from isobar.operators import documents, history, profiles, records, serving, sum
 from isobar.plans.registry import day_text, query
 from isobar.plans.views import COMPLETENESS, DAILY, ENRICHED, HISTORY, SEASONAL, over
 from isobar.schemas import ENRICHED_DOCUMENT, HISTORY_DOCUMENT
+from isobar.sinks import daily_store, profile_store
 from isobar.sources import tables
-from isobar.storage import materialise
+from isobar.storage import materialise, scratch_path
 
 _DAY = [
     "country", "city", "latitude", "longitude", "temperature_mean", "temperature_max", "temperature_min",
@@ -258,6 +259,57 @@ def profile_full(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _rounded(profiles.full_profile(tables.daily(spark, sf_dir)))
 
 
+def _states(spark: SparkSession, sf_dir: str) -> str:
+    """Days ingested in three parts, of which the first two are merged into one."""
+    base = scratch_path(spark, "states")
+    days = tables.daily(spark, sf_dir)
+    for third in range(3):
+        profile_store.add_days(days.where(F.dayofyear("date") % 3 == third), base, f"third-{third}")
+        if third == 1:
+            profile_store.compact_state(spark, base)
+    return base
+
+
+@query(
+    over(
+        ENRICHED,
+        f"""
+select {_ENRICHED_COLUMNS}, {_QUARTILES} from enriched left join quantiles using (country, city, year, month)""",
+    )
+)
+def profile_from_states(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _rounded(profile_store.stored_full_profile(spark, _states(spark, sf_dir)))
+
+
+@query(over(SEASONAL, f"select country, city, latitude, longitude, month, {_COUNTS}, {_AVERAGES} from seasonal"))
+def seasonal_from_states(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return profile_store.stored_seasonal_profile(spark, _states(spark, sf_dir))
+
+
+_DAY_COLUMNS = (
+    "date, year, country, city, latitude, longitude, temperature_mean, temperature_max, temperature_min, windspeed_mean, "
+    "windspeed_max, precipitation"
+)
+
+
+@query(over(DAILY, f"select {_DAY_COLUMNS} from daily where city = 'CITY_1' and latitude % 3 = 0 or year < 1998"))
+def merged_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Days of earlier years, then all days of some cities in place of what they had."""
+    base = scratch_path(spark, "ingest")
+    days = tables.daily(spark, sf_dir).withColumn("date", F.col("date").cast("string"))
+    daily_store.store_daily(days.where("year < 1998"), base)
+    daily_store.merge_daily(days.where("city = 'CITY_1' and latitude % 3 = 0"), base)
+    return daily_store.stored_days(spark, base).select(*_DAY_COLUMNS.split(", "))
+
+
+@query(over(DAILY, f"select {_DAY_COLUMNS} from daily where country = 'NATION_9' and city = 'CITY_1'"))
+def stored_days_of_a_city(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One city of the ingested days, from its files alone."""
+    base = scratch_path(spark, "ingest")
+    daily_store.store_daily(tables.daily(spark, sf_dir).withColumn("date", F.col("date").cast("string")), base)
+    return daily_store.stored_days(spark, base, ("NATION_9", "CITY_1")).select(*_DAY_COLUMNS.split(", "))
+
+
 @query(over(COMPLETENESS, "select * from checked"))
 def profile_completeness(spark: SparkSession, sf_dir: str) -> DataFrame:
     checked = profiles.completeness(profiles.enriched_profile(tables.daily(spark, sf_dir)))

@@ -12,8 +12,9 @@ from isobar.plans.anomaly import MESSAGE_COLUMNS, reference
 from isobar.plans.live import ROUND_TRIP_COLUMNS, ROUND_TRIP_SQL, windows_sql
 from isobar.plans.registry import query, second_text
 from isobar.plans.views import FLAGS, MESSAGES, MOVED_READINGS, READINGS, flags, over
+from isobar.sinks.archive import compact_archive, drop_covered
 from isobar.sources import tables
-from isobar.sources.documents import archived_alerts, archived_anomalies
+from isobar.sources.documents import ARCHIVES, archived_alerts, archived_anomalies
 from isobar.storage import scratch_path
 from isobar.streaming import jobs
 
@@ -116,6 +117,24 @@ def stream_archive_two_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _archived(archived_alerts(spark, _archive_in_two_runs(spark, sf_dir)))
 
 
+def _compacted(spark: SparkSession, sf_dir: str) -> str:
+    """An archive of three runs, compacted after the first and, in full, after the second."""
+    base = scratch_path(spark, "archive")
+    schema, partitions = ARCHIVES["alerts"]
+    for third in range(3):
+        events = tables.event_stream(spark, sf_dir).where(F.col("event_id") % 3 == third)
+        jobs.start_alert_archive(_flat_messages(events), base, f"{base}/checkpoint-{third}", _UNTIL_READ).awaitTermination()
+        if third < 2:
+            compact_archive(spark, f"{base}/alerts", schema, partitions, full=third == 1)
+            drop_covered(spark, f"{base}/alerts")
+    return base
+
+
+@query(over(READINGS, _ARCHIVED_SQL))
+def stream_archive_compacted(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _archived(archived_alerts(spark, _compacted(spark, sf_dir)))
+
+
 @query(over(READINGS, _ARCHIVED_SQL + " and country = 'NATION_14' and city = 'CITY_2'"))
 def stream_archive_of_a_city(spark: SparkSession, sf_dir: str) -> DataFrame:
     base = _archive_in_two_runs(spark, sf_dir)

@@ -48,9 +48,10 @@ def archive_batch(df: DataFrame, path: str, partitions: list[str], batch: Batch,
 
 
 def compact_archive(archive: DataFrame, path: str, partitions: list[str], kind: str = "json") -> None:
-    """Write an archive of many micro-batches anew, with few files per partition.
+    """Write an archive of many micro-batches anew elsewhere, with few files per partition.
 
     ``path`` must be another folder than the archive's own; readers take either.
+    isobar.sinks.archive compacts an archive in place.
     """
     (
         archive.drop("run_id", "batch_id")
@@ -93,19 +94,6 @@ def store_history(documents: DataFrame, base: str) -> None:
     )
 
 
-def store_daily(daily: DataFrame, base: str) -> None:
-    """Store daily rows as Parquet clustered by place and date.
-
-    Files are ranges of equal size: a large city spans many, and a lookup skips those of
-    other cities by their statistics. The row number spreads rows equal in all else; it
-    is stable because ``daily`` comes straight from a scan of documents.
-    """
-    place = ["country", "city", "date"]
-    numbered = daily.withColumn("_row", F.monotonically_increasing_id())
-    clustered = numbered.repartitionByRange(*place, "_row").sortWithinPartitions(*place)
-    clustered.drop("_row").write.mode("overwrite").parquet(f"{base}/daily")
-
-
 def publish_documents(
     documents: DataFrame,
     messages: DataFrame | None,

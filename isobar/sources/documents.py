@@ -15,6 +15,8 @@ from isobar.functions.places import safe_text
 from isobar.operators.documents import unfold_enriched
 from isobar.operators.history import unfold_history
 from isobar.operators.serving import city_rows
+from isobar.sinks.archive import read_archive
+from isobar.sinks.daily_store import stored_days
 
 # Where each kind of document lies below base/country/city.
 TREE = {
@@ -51,16 +53,28 @@ def _read(
         multi_line = kind != "alerts"
         country, city = map(_literal, place) if place else ("*", "*")
         return spark.read.schema(schema).option("multiLine", multi_line).json(f"{base}/{country}/{city}/{TREE[kind]}")
-    read = spark.read.schema(_with_dirs(schema)).json(f"{base}/{kind}")
+    named = _with_dirs(schema)
+    read = read_archive(spark, f"{base}/{kind}", named) if kind == "alerts" else spark.read.schema(named).json(f"{base}/{kind}")
     if place:
         country, city = map(safe_text, place)
         read = read.where((F.col("country_dir") == country) & (F.col("city_dir") == city))
     return read
 
 
+#: Archives of micro-batches: their rows, and the columns that they are filed by.
+ARCHIVES = {
+    "alerts": (_with_dirs(schemas.ALERT_ENTRY), ["country_dir", "city_dir"]),
+    "anomalies": (
+        StructType(schemas.ANOMALY_ROW.fields + schemas.ANOMALY_PLACE.fields), schemas.ANOMALY_PLACE.fieldNames()
+    ),
+}
+
+
 def stored_places(spark: SparkSession, base: str, kind: str = "history") -> DataFrame:
     """(country, city) folder names of a stored kind, from the names of its files alone."""
-    files = spark.read.format("binaryFile").option("pathGlobFilter", "*.json").load(f"{base}/{kind}")
+    # Named as text, so that a city called "007" stays what it is; no file is opened.
+    named = _with_dirs(StructType().add("path", "string").add("modificationTime", "timestamp").add("length", "long").add("content", "binary"))
+    files = spark.read.format("binaryFile").schema(named).option("pathGlobFilter", "*.json").load(f"{base}/{kind}")
     return files.select(F.col("country_dir").alias("country"), F.col("city_dir").alias("city")).distinct()
 
 
@@ -73,12 +87,11 @@ def history_documents(
 def daily_history(spark: SparkSession, base: str, layout: str = "tree", place: Place | None = None) -> DataFrame:
     """Daily observation rows; a file that is no JSON contributes none.
 
-    ``layout="rows"`` reads the Parquet that store_daily() wrote, of which only the needed
-    columns and, for one city, only the matching row groups are read.
+    ``layout="rows"`` reads the Parquet that store_daily() and merge_daily() wrote, of which
+    only the needed columns and, for one city, only its files are read.
     """
     if layout == "rows":
-        days = spark.read.schema(schemas.DAILY).parquet(f"{base}/daily")
-        return city_rows(days, *place) if place else days
+        return stored_days(spark, base, place)
     return unfold_history(history_documents(spark, base, layout, place))
 
 
@@ -109,8 +122,7 @@ def archived_anomalies(
     if layout == "tree":
         files = _read(spark, base, "anomalies", schemas.ANOMALY_FILE, layout, place)
         return files.select(*schemas.ANOMALY_PLACE.fieldNames(), F.inline("anomalies"))
-    schema = StructType(schemas.ANOMALY_ROW.fields + schemas.ANOMALY_PLACE.fields)
-    rows = spark.read.schema(schema).json(f"{base}/anomalies")
+    rows = read_archive(spark, f"{base}/anomalies", ARCHIVES["anomalies"][0])
     # This archive is partitioned by the names themselves.
     return city_rows(rows, *place) if place else rows
 

@@ -3,6 +3,9 @@
 from __future__ import annotations
 
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -17,8 +20,29 @@ def scratch_root(spark: SparkSession) -> str:
     return f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/_scratch"
 
 
+_made: ContextVar[list[str] | None] = ContextVar("scratch tables of the scope", default=None)
+
+
 def scratch_path(spark: SparkSession, label: str) -> str:
-    return f"{scratch_root(spark)}/{label}-{uuid.uuid4().hex}"
+    path = f"{scratch_root(spark)}/{label}-{uuid.uuid4().hex}"
+    if (made := _made.get()) is not None:
+        made.append(path)
+    return path
+
+
+@contextmanager
+def scratch_scope(spark: SparkSession) -> Iterator[None]:
+    """Remove the scratch tables made inside once it is left; what is kept must be written by then."""
+    made: list[str] = []
+    before = _made.set(made)
+    try:
+        yield
+    finally:
+        _made.reset(before)
+        files = spark._jvm.org.apache.hadoop.fs
+        for path in made:
+            place = files.Path(path)
+            place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)
 
 
 def materialise(df: DataFrame, label: str) -> DataFrame:
