@@ -10,7 +10,7 @@ CITY = ["country", "city"]
 _NEEDED = ["temperature_max", "temperature_min", "windspeed_max", "precipitation"]
 
 
-# Input partitions whose rows of a group are reduced together before the group is whole.
+# Tasks or parts whose rows of a group are reduced together.
 _FAN_IN = 64
 
 
@@ -19,25 +19,41 @@ def _ranked(df: DataFrame, keys: list[Column | str], order: list[Column], k: int
     return numbered.where(F.col(rank) <= k)
 
 
+def tree_levels(tasks: int, fan_in: int) -> int:
+    """Levels of parts below the final one so that nothing meets the rows of more than ``fan_in`` of the level below."""
+    levels, left = 0, tasks
+    while left > fan_in:
+        levels, left = levels + 1, -(-left // fan_in)
+    return levels
+
+
 def top_k_per_group(
-    df: DataFrame, keys: list[str], order: list[Column], k: int, rank: str = "rank", fan_in: int = _FAN_IN
+    df: DataFrame,
+    keys: list[str],
+    order: list[Column],
+    k: int,
+    rank: str = "rank",
+    fan_in: int = _FAN_IN,
+    tasks: int | None = None,
 ) -> DataFrame:
     """First ``k`` rows of each group in ``order``, numbered from 1.
 
-    Every task keeps at most k rows of a group before the shuffle. A group that many tasks
-    contribute to is reduced in parts first, each of the rows of ``fan_in`` input
-    partitions, so no task meets more than k rows of as many tasks or parts.
+    A tree reduces a group that many tasks contribute to: every task keeps its own k
+    rows, a part the k best of ``fan_in`` tasks, the next level those of as many parts.
+    ``tasks`` is about how many tasks deliver ``df``, by default the session's number of
+    shuffle partitions. Spark limits the rows in each task up to the k of
+    spark.sql.optimizer.windowGroupLimitThreshold, which build_session() sets; a session
+    with a lower one gives the same rows and shuffles more of them.
     """
-    spark = df.sparkSession
-    # Spark gives up the limit in each task beyond this k.
-    if int(spark.conf.get(_LIMITED)) < k:
-        spark.conf.set(_LIMITED, str(k))
-    parts = df.withColumn("_part", F.expr(f"spark_partition_id() div {fan_in}"))
-    reduced = _ranked(parts, [*keys, "_part"], order, k, "_rank").drop("_part", "_rank")
-    return _ranked(reduced, keys, order, k, rank)
-
-
-_LIMITED = "spark.sql.optimizer.windowGroupLimitThreshold"
+    if tasks is None:
+        tasks = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    # At least one: a scan may have more tasks than a shuffle.
+    levels = max(1, tree_levels(tasks, fan_in))
+    reduced = df.withColumn("_task", F.spark_partition_id())
+    for level in range(1, levels + 1):
+        part = F.floor(F.col("_task") / fan_in**level)
+        reduced = _ranked(reduced.withColumn("_part", part), [*keys, "_part"], order, k, "_rank").drop("_rank", "_part")
+    return _ranked(reduced.drop("_task"), keys, order, k, rank)
 
 
 def top_k(df: DataFrame, order: list[Column], k: int) -> DataFrame:

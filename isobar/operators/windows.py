@@ -71,5 +71,28 @@ def window_metrics(
     )
 
 
+def metrics_of_state(state: DataFrame, by: str = "location") -> DataFrame:
+    """Window metrics from the rows of the state data source, which hold the measures' buffers.
+
+    The buffers are in the order of the measures: an average has a sum and a count.
+    """
+    names = ["location", "city", "country"] if by == "location" else ["location"]
+    buffers: list[str] = []
+    shown: list[Column] = []
+    for name in ("latitude", "longitude", "avg_temperature"):
+        buffers += [f"{name}_sum", f"{name}_n"]
+        shown.append((F.col(f"{name}_sum") / F.nullif(f"{name}_n", F.lit(0))).alias(name))
+    whole = ["min_temperature", "max_temperature", *_alert_counts(), "total_messages"]
+    buffers += whole
+    kinds = [field.dataType.simpleString() for field in state.schema["value"].dataType.fields]
+    named = "struct<" + ",".join(f"{n}:{k}" for n, k in zip(buffers, kinds, strict=True)) + ">"
+    keys = [field.dataType.simpleString() for field in state.schema["key"].dataType.fields]
+    key = "struct<" + ",".join(f"{n}:{k}" for n, k in zip(["span", *names], keys, strict=True)) + ">"
+    rows = state.select(F.col("key").cast(key).alias("key"), F.col("value").cast(named).alias("value")).select("key.*", "value.*")
+    return rows.select(
+        F.col("span.start").alias("window_start"), F.col("span.end").alias("window_end"), *names, *shown, *whole
+    )
+
+
 def stamp_computed(df: DataFrame) -> DataFrame:
     return df.withColumn("computed_at", F.current_timestamp())

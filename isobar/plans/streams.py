@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from isobar import schemas
 from isobar.functions.places import location_key
-from isobar.operators import readings
+from isobar.operators import readings, summaries
 from isobar.plans.anomaly import MESSAGE_COLUMNS, reference
 from isobar.plans.live import ROUND_TRIP_COLUMNS, ROUND_TRIP_SQL, windows_sql
 from isobar.plans.registry import query, second_text
@@ -15,6 +15,7 @@ from isobar.plans.views import FLAGS, MESSAGES, MOVED_READINGS, READINGS, flags,
 from isobar.sinks.archive import compact_archive, drop_covered
 from isobar.sources import tables
 from isobar.sources.documents import ARCHIVES, archived_alerts, archived_anomalies
+from isobar.sources.messages import message_stream
 from isobar.storage import scratch_path
 from isobar.streaming import jobs
 
@@ -66,6 +67,77 @@ def stream_sliding_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
     return last.withColumns({name: second_text(name) for name in ("window_start", "window_end")})
 
 
+@query(
+    f"select * from ({windows_sql(5, 1)}) where window_end > "
+    "(select strftime(max(ts) - interval '10 minutes', '%Y-%m-%d %H:%M:%S') from events)"
+)
+def stream_current_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Windows still open, from the state of the job."""
+    base = scratch_path(spark, "windows")
+    jobs.start_window_metrics(
+        _flat_stream(spark, sf_dir), f"{base}/out", f"{base}/checkpoint", trigger=_UNTIL_READ
+    ).awaitTermination()
+    last = jobs.read_current_windows(spark, f"{base}/checkpoint")
+    return last.withColumns({name: second_text(name) for name in ("window_start", "window_end")})
+
+
+# Readings in three batches: the second is of other rows of the same time, so what is more
+# than ten minutes before its end comes late.
+_BATCHES = 3
+
+
+def _batched_messages(spark: SparkSession, sf_dir: str, path: str) -> DataFrame:
+    """The messages of all readings as files of their own, read one in a micro-batch."""
+    flat = _flat_messages(tables.table(spark, sf_dir, "events"))
+    numbered = flat.withColumns({"topic": F.lit("weather_transformed"), "partition": F.lit(0), "offset": F.xxhash64("value")})
+    for number in range(_BATCHES):
+        own = numbered.where(F.pmod(F.minute("timestamp"), F.lit(_BATCHES)) == number)
+        own.select(*schemas.MESSAGE.fieldNames()).coalesce(1).write.json(f"{path}/batch-{number}")
+    return message_stream(spark, "json", f"{path}/*", maxFilesPerTrigger="1")
+
+
+@query(
+    over(
+        READINGS,
+        """
+select case when minute(event_time) % 3 = 0
+                 or event_time >= (select max(event_time) from transformed p
+                                   where minute(p.event_time) % 3 < minute(t.event_time) % 3) - interval '10 minutes'
+            then 'on_time' else 'late' end as arrival,
+       count(*) as readings, sum(temperature) as temperature
+from transformed t group by all""",
+    )
+)
+def stream_arrivals(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Late rows as data: together with those on time they are the input."""
+    base = scratch_path(spark, "arrivals")
+    jobs.start_arrival_split(
+        _batched_messages(spark, sf_dir, f"{base}/in"), f"{base}/out", f"{base}/checkpoint", trigger=_UNTIL_READ
+    ).awaitTermination()
+    found = jobs.read_arrivals(spark, f"{base}/out").groupBy("arrival")
+    return found.agg(F.count(F.lit(1)).alias("readings"), F.sum("temperature").alias("temperature"))
+
+
+@query(
+    over(
+        READINGS,
+        """
+select strftime(event_time, '%Y-%m-%d %H:%M:%S') as event_time, temperature
+from transformed order by transformed.event_time desc limit 1000""",
+    )
+)
+def stream_live_buffer(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The last 1,000 messages, kept while three micro-batches come in."""
+    base = scratch_path(spark, "buffer")
+    jobs.start_live_buffer(
+        _batched_messages(spark, sf_dir, f"{base}/in"), f"{base}/out", f"{base}/checkpoint",
+        lambda: [F.desc("timestamp"), F.desc("offset")], trigger=_UNTIL_READ,
+    ).awaitTermination()
+    held = readings.parse_flat_readings(jobs.read_live_buffer(spark, f"{base}/out"))
+    timed = readings.with_event_timestamp(held).withColumn("event_time", second_text("event_timestamp"))
+    return timed.select("event_time", "temperature")
+
+
 @query(
     over(
         READINGS,
@@ -165,6 +237,30 @@ def stream_anomaly_archive(spark: SparkSession, sf_dir: str) -> DataFrame:
     return archived_anomalies(spark, _detected(spark, sf_dir)).drop("event_time", "run_id", "batch_id")
 
 
+@query(
+    over(
+        FLAGS,
+        """
+select count(*) as "rows", count(distinct coalesce(country || '/' || city, latitude || ',' || longitude)) as distinct_keys,
+       count(*) filter (where is_anomaly) as anomalies from flags""",
+    )
+)
+def stream_distinct_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Totals of two runs over the same stream: keys that both have seen count once."""
+    totals = None
+    for half in (0, 1):
+        base = scratch_path(spark, "statistics")
+        profile = reference(spark, sf_dir)
+        events = tables.event_stream(spark, sf_dir).where(F.col("event_id") % 2 == half)
+        jobs.start_anomaly_detector(
+            _flat_messages(events), lambda profile=profile: profile, f"{base}/checkpoint",
+            statistics=f"{base}/statistics", trigger=_UNTIL_READ,
+        ).awaitTermination()
+        read = spark.read.schema("rows bigint, anomalies bigint, keys binary").json(f"{base}/statistics")
+        totals = read if totals is None else totals.unionByName(read)
+    return summaries.merged_statistics(totals)
+
+
 @query(
     over(
         FLAGS,

@@ -15,6 +15,8 @@ DEFAULTS = {
     "spark.sql.sources.partitionOverwriteMode": "dynamic",
     # Quantile sketches of more groups than Spark's default 128 are still hashed, not sorted.
     "spark.sql.objectHashAggregate.sortBased.fallbackThreshold": "4096",
+    # Top-k per group keeps k rows in each task also for a large k.
+    "spark.sql.optimizer.windowGroupLimitThreshold": "100000",
     # Window state lives on disk beside the executor instead of in its heap.
     "spark.sql.streaming.stateStore.providerClass":
     "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",

@@ -10,15 +10,19 @@ import time
 from collections.abc import Callable
 
 from pyspark.errors import StreamingQueryException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery, StreamingQueryListener
+from pyspark.sql.types import StructType
 
 from isobar.functions.deviations import SIGMA_LIMIT, TEMPERATURE_LIMIT
 from isobar.functions.places import location_key
 from isobar.operators import anomalies, readings, summaries, windows
 from isobar.operators.records import top_k_per_group
-from isobar.schemas import ANOMALY_MESSAGE, RAW_READING
+from isobar.operators.serving import RETAINED, retained
+from isobar.schemas import ANOMALY_MESSAGE, FLAT_READING, RAW_READING
+from isobar.sinks import manifest
+from isobar.sinks.manifest import listed
 from isobar.sinks.writers import Batch, archive_batch, send_messages
 
 Trigger = dict[str, object]
@@ -54,6 +58,19 @@ def deduplicated(stream: DataFrame, keys: list[str], time_column: str, lateness:
     return stream.withWatermark(time_column, lateness).dropDuplicatesWithinWatermark(keys)
 
 
+def _observed(rows: DataFrame, key: Column, flag: Column | None = None) -> tuple[DataFrame, Observation]:
+    """``rows``, and the statistics of whatever job reads them next: no job of its own."""
+    observation = Observation()
+    flagged = F.count_if(flag) if flag is not None else F.count_if(F.lit(False))
+    measures = [F.count(F.lit(1)).alias("rows"), flagged.alias("anomalies"), summaries.key_sketch(key).alias("keys")]
+    return rows.observe(observation, *measures), observation
+
+
+def _statistics_row(spark: SparkSession, observation: Observation) -> DataFrame:
+    found = observation.get
+    return summaries.statistics_row(spark, found["rows"], found["anomalies"], found["keys"])
+
+
 def start_transform(
     messages: DataFrame,
     sink: Sink,
@@ -68,13 +85,12 @@ def start_transform(
     out = readings.reading_messages(flat)
 
     def process(rows: DataFrame, batch: Batch) -> None:
-        rows = rows.persist()
-        try:
+        if not statistics:
             send_messages(rows, *sink, batch=batch, **options)
-            if statistics:
-                archive_batch(summaries.batch_statistics(rows, "key"), statistics, [], batch)
-        finally:
-            rows.unpersist()
+            return
+        seen, observation = _observed(rows, F.col("key"))
+        send_messages(seen, *sink, batch=batch, **options)
+        archive_batch(_statistics_row(rows.sparkSession, observation), statistics, [], batch)
 
     return _run_batches(out, checkpoint, trigger, "append", process)
 
@@ -113,6 +129,16 @@ def read_windows(spark: SparkSession, path: str) -> DataFrame:
     return top_k_per_group(states, keys, newest, 1).drop("rank", "run_id", "batch_id")
 
 
+def read_current_windows(spark: SparkSession, checkpoint: str, by: str = "location") -> DataFrame:
+    """Windows that the watermark has not passed, as the last micro-batch left them.
+
+    They are read from the state of the window job itself: nothing is ranked, and what the
+    job has written over time is not opened. The job may be running.
+    """
+    state = spark.read.format("statestore").load(checkpoint)
+    return windows.metrics_of_state(state, by)
+
+
 def start_alert_archive(
     messages: DataFrame, base: str, checkpoint: str, trigger: Trigger = EVERY_10_SECONDS
 ) -> StreamingQuery:
@@ -177,24 +203,120 @@ def start_anomaly_detector(
         flags = anomalies.flag_anomalies(
             rows, load_profile(), temp_threshold, wind_threshold, temp_sigmas, profile_year, ("latitude", "longitude")
         ).persist()
+        # The first output that is written also counts the rows.
+        seen, observation = _observed(flags, location_key(), F.col("is_anomaly"))
         try:
             if sink:
-                found = anomalies.anomaly_messages(flags, carry=("latitude", "longitude"))
+                found = anomalies.anomaly_messages(seen, carry=("latitude", "longitude"))
                 keyed = readings.keyed_json(found, location_key(), ANOMALY_MESSAGE.fieldNames())
                 send_messages(keyed, *sink, batch=batch, **options)
             if archive:
-                found = anomalies.archive_rows(flags)
+                found = anomalies.archive_rows(flags if sink else seen)
                 archive_batch(found, f"{archive}/anomalies", ["country", "city", "year", "month"], batch)
             if statistics:
-                located = flags.withColumn("location_key", location_key())
-                counted = summaries.batch_statistics(located, "location_key", "is_anomaly")
-                archive_batch(counted, statistics, [], batch)
+                if not sink and not archive:
+                    seen.write.format("noop").mode("overwrite").save()
+                archive_batch(_statistics_row(rows.sparkSession, observation), statistics, [], batch)
         finally:
             flags.unpersist()
 
     return _run_batches(flat, checkpoint, trigger, "append", process)
 
 
+ARRIVALS = ("on_time", "late", "untimed")
+_TIMES = "max_event_time timestamp"
+
+
+def _seen_until(spark: SparkSession, path: str, batch: Batch) -> object:
+    """The latest event time of the batches of this run before ``batch``; None before there is one."""
+    names = listed(spark, f"{path}/_times/run_id={batch.run}/batch_id=*/_SUCCESS")
+    numbers = [int(name.split("/")[-2].split("=", 1)[1]) for name in names]
+    earlier = [number for number in numbers if number < batch.number]
+    if not earlier:
+        return None
+    # Each batch keeps the latest time so far, so the last one before is enough.
+    return spark.read.schema(_TIMES).json(Batch(batch.run, max(earlier)).folder(f"{path}/_times")).first().max_event_time
+
+
+def start_arrival_split(
+    messages: DataFrame, path: str, checkpoint: str, lateness: str = LATENESS, trigger: Trigger = EVERY_10_SECONDS
+) -> StreamingQuery:
+    """All flat readings, filed by whether they came on time.
+
+    A reading is ``late`` if its event time is before the watermark that a window job with
+    the same ``lateness`` has in that micro-batch: the latest event time of the batches
+    before, less ``lateness``. One without a readable time, which enters no window either, is
+    ``untimed``. Every reading is in exactly one of the folders, each batch once.
+    """
+    flat = readings.with_event_timestamp(readings.parse_flat_readings(messages))
+
+    def process(rows: DataFrame, batch: Batch) -> None:
+        spark = rows.sparkSession
+        until = _seen_until(spark, path, batch)
+        # Watermarks are kept in milliseconds.
+        watermark = F.date_trunc("millisecond", F.lit(until).cast("timestamp")) - F.expr(f"interval {lateness}")
+        late = F.coalesce(F.col("event_timestamp") < watermark, F.lit(False))
+        arrival = F.when(F.col("event_timestamp").isNull(), ARRIVALS[2]).when(late, ARRIVALS[1]).otherwise(ARRIVALS[0])
+        observation = Observation()
+        seen = rows.observe(observation, F.max("event_timestamp").alias("latest"))
+        archive_batch(seen.withColumn("arrival", arrival).drop("event_timestamp"), f"{path}/rows", ["arrival"], batch)
+        latest = max((at for at in (until, observation.get["latest"]) if at is not None), default=None)
+        archive_batch(spark.createDataFrame([(latest,)], _TIMES), f"{path}/_times", [], batch)
+
+    return _run_batches(flat, checkpoint, trigger, "append", process)
+
+
+def read_arrivals(spark: SparkSession, path: str) -> DataFrame:
+    """The readings that start_arrival_split() has filed, with their ``arrival``."""
+    schema = StructType(list(FLAT_READING.fields)).add("arrival", "string")
+    return spark.read.schema(schema).json(f"{path}/rows")
+
+
+def start_live_buffer(
+    messages: DataFrame,
+    path: str,
+    checkpoint: str,
+    order: Callable[[], list[Column]],
+    stream: str = "topic",
+    limit: int = RETAINED,
+    trigger: Trigger = EVERY_5_SECONDS,
+) -> StreamingQuery:
+    """The last ``limit`` messages of every stream, kept up to date while the job runs.
+
+    Each micro-batch brings its own last messages, at most ``limit`` of a stream from each
+    task, which meet the stored buffer; a manifest then names the new buffer and the batch
+    that is in it, so a batch that is tried again changes nothing. ``order`` gives the
+    newest first.
+    """
+
+    def process(rows: DataFrame, batch: Batch) -> None:
+        spark = rows.sparkSession
+        before = manifest.newest(spark, path)
+        if before.covered.get(batch.run, -1) >= batch.number:
+            return
+        held = rows
+        if before.parts:
+            held = spark.read.schema(rows.schema).parquet(f"{path}/{before.parts[0]}").unionByName(rows)
+        part = f"buffer-{batch.run}-{batch.number}"
+        kept = retained(held, order(), stream, limit).drop("rank")
+        kept.write.mode("overwrite").parquet(f"{path}/{part}")
+        after = manifest.commit(spark, path, before, (part,), dict(before.covered) | {batch.run: batch.number})
+        # Readers of the buffer before may still be at work; the one before that is let go.
+        for name in listed(spark, f"{path}/buffer-*"):
+            if name.rsplit("/", 1)[1] not in (*before.parts, *after.parts):
+                manifest.remove(spark, name)
+
+    return _run_batches(messages, checkpoint, trigger, "append", process)
+
+
+def read_live_buffer(spark: SparkSession, path: str) -> DataFrame:
+    """What the buffer holds now."""
+    state = manifest.newest(spark, path)
+    if not state.parts:
+        raise ValueError(f"no buffer is stored in {path}")
+    return spark.read.parquet(f"{path}/{state.parts[0]}")
+
+
 class LateRows(StreamingQueryListener):
     """Rows that watermarks have dropped, by query id, over the whole run of each query."""
 

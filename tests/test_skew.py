@@ -89,6 +89,28 @@ select city, date, temperature_max, rn from (
     assert rows_of(top.select("city", "date", "temperature_max", "rank")) == wanted(duck, sql)
 
 
+def test_levels_of_the_tree():
+    assert [records.tree_levels(n, 64) for n in (1, 64, 65, 4096, 4097, 300_000)] == [0, 0, 1, 1, 2, 3]
+
+
+def test_no_task_meets_more_than_its_part(spark, skewed, duck):
+    """A large k over many tasks: every level's shuffle carries at most k rows of each task below it."""
+    before = spark.conf.get("spark.sql.optimizer.windowGroupLimitThreshold")
+    k, fan_in, tasks = 5000, 4, 30
+    many = skewed.repartition(tasks)
+    order = [F.desc(name) for name in ("temperature_max", "date", "temperature_min", "windspeed_max", "precipitation")]
+    top = records.top_k_per_group(many, ["city"], order, k, fan_in=fan_in, tasks=tasks)
+    sql = f"""
+select city, date, temperature_max, rn from (
+  select *, row_number() over (partition by city order by temperature_max desc, date desc, temperature_min desc,
+                               windspeed_max desc, precipitation desc) as rn from t) where rn <= {k}"""
+    assert rows_of(top.select("city", "date", "temperature_max", "rank")) == wanted(duck, sql)
+    assert spark.conf.get("spark.sql.optimizer.windowGroupLimitThreshold") == before
+    plan = top._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+    # Two levels of parts and the final one, each limited before its shuffle and after it.
+    assert plan.count("WindowGroupLimit") == 2 * 3
+
+
 def test_records(skewed, duck):
     found = records.climate_records(skewed).select("city", "max_temperature", "min_temperature", "total_days")
     sql = "select city, max(temperature_max), min(temperature_min), count(*) from t group by city"

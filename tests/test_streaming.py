@@ -3,13 +3,14 @@
 import datetime
 import json
 import time
+from pathlib import Path
 
 import pytest
 from pyspark.errors import StreamingQueryException
 from pyspark.sql import functions as F
 
 from isobar import schemas
-from isobar.operators import readings, windows
+from isobar.operators import readings, serving, summaries, windows
 from isobar.sources.documents import archived_alerts, archived_anomalies
 from isobar.sources.messages import message_stream
 from isobar.streaming import jobs
@@ -275,3 +276,103 @@ def test_text_stream(spark, folder):
         message_stream(spark, "text", f"{folder}/inbox/*"), ("json", f"{folder}/out"), f"{folder}/checkpoint", NOW
     ).awaitTermination()
     assert spark.read.json(f"{folder}/out").count() == 2
+
+
+def test_current_windows_come_from_the_state(spark, folder):
+    """Open windows as the job last wrote them, without ranking what it wrote."""
+    drop(spark, folder, [flat(0), flat(1, temperature=30.0), flat(2, city=None)], "a")
+    drop(spark, folder, [flat(14, wind=25.0), flat(13)], "b")
+    drop(spark, folder, [flat(15)], "c")
+    written = run_windows(spark, folder)
+    current = jobs.read_current_windows(spark, f"{folder}/checkpoint")
+    end = START + datetime.timedelta(minutes=15) - datetime.timedelta(minutes=10)
+    wanted = written.where(F.col("window_end") > F.lit(end)).drop("computed_at")
+    names = sorted(wanted.columns)
+    assert sorted(current.columns) == names
+    found = sorted(map(str, current.select(*names).collect()))
+    assert found == sorted(map(str, wanted.select(*names).collect())) and 0 < len(found) < written.count()
+    assert "Window" not in current._jdf.queryExecution().executedPlan().toString()
+
+
+def test_late_readings_are_kept_apart(spark, folder):
+    """Late, on-time and untimed readings together are the input; late is what a window job drops."""
+    drop(spark, folder, [flat(0), flat(40), flat(None)], "a")
+    drop(spark, folder, [flat(41), flat(30), flat(29, temperature=77.0)], "b")
+    drop(spark, folder, [flat(35, temperature=99.0), flat(5, temperature=88.0), flat(31)], "c")
+    jobs.start_arrival_split(inbox(spark, folder), f"{folder}/out", f"{folder}/cp", trigger=NOW).awaitTermination()
+    found = jobs.read_arrivals(spark, f"{folder}/out").collect()
+    assert len(found) == 9
+    minute = lambda row: (datetime.datetime.fromisoformat(row.event_time[:19]) - START).seconds // 60
+    by = {kind: sorted(minute(r) for r in found if r.arrival == kind and r.event_time) for kind in jobs.ARRIVALS}
+    assert by == {"on_time": [0, 30, 31, 35, 40, 41], "late": [5, 29], "untimed": []}
+    assert [r.arrival for r in found if r.event_time is None] == ["untimed"]
+
+
+def test_arrivals_go_on_after_a_restart(spark, folder):
+    """The watermark of a new start is that of the batches before; a retried batch is filed once."""
+    split = lambda: jobs.start_arrival_split(inbox(spark, folder), f"{folder}/out", f"{folder}/cp", trigger=NOW).awaitTermination()
+    drop(spark, folder, [flat(60)], "a")
+    split()
+    drop(spark, folder, [flat(49), flat(50)], "b")
+    split()
+    commits = sorted(p.name for p in Path(f"{folder}/cp/commits").iterdir() if p.name.isdigit())
+    Path(f"{folder}/cp/commits/{commits[-1]}").unlink()
+    Path(f"{folder}/cp/commits/.{commits[-1]}.crc").unlink(missing_ok=True)
+    split()
+    found = [(r.arrival, r.event_time[14:16]) for r in jobs.read_arrivals(spark, f"{folder}/out").collect()]
+    assert sorted(found) == [("late", "19"), ("on_time", "20"), ("on_time", "30")]
+
+
+def messages_of(spark, numbers, topics=("a", "b")):
+    rows = [(f"k{n}", f"v{n}", START + datetime.timedelta(seconds=n), t, 0, n) for n in numbers for t in topics]
+    return spark.createDataFrame(rows, schemas.MESSAGE)
+
+
+def test_a_live_buffer_holds_the_last_messages(spark, folder):
+    """After each batch the buffer equals the retained messages of all input so far."""
+    order = lambda: [F.desc("timestamp"), F.desc("offset")]
+    sent = None
+    for turn, numbers in enumerate([range(3), range(3, 30), [1, 40], [50]]):
+        topics = ("a", "b") if turn < 3 else ("c",)
+        batch = messages_of(spark, numbers, topics)
+        batch.coalesce(1).write.mode("append").json(f"{folder}/inbox/{turn}")
+        sent = batch if sent is None else sent.unionByName(batch)
+        jobs.start_live_buffer(
+            inbox(spark, folder), f"{folder}/out", f"{folder}/cp", order, limit=7, trigger=NOW
+        ).awaitTermination()
+        held = jobs.read_live_buffer(spark, f"{folder}/out")
+        wanted = serving.retained(sent, order(), "topic", 7).drop("rank")
+        assert sorted(map(str, held.collect())) == sorted(map(str, wanted.collect()))
+    assert len(list(Path(f"{folder}/out").glob("buffer-*"))) <= 2
+
+
+def test_a_retried_batch_does_not_change_the_buffer(spark, folder):
+    order = lambda: [F.desc("timestamp"), F.desc("offset")]
+    run = lambda: jobs.start_live_buffer(inbox(spark, folder), f"{folder}/out", f"{folder}/cp", order, limit=5, trigger=NOW).awaitTermination()
+    messages_of(spark, range(4), ("a",)).coalesce(1).write.json(f"{folder}/inbox/0")
+    run()
+    for name in ("0", ".0.crc"):
+        Path(f"{folder}/cp/commits/{name}").unlink(missing_ok=True)
+    run()
+    assert jobs.read_live_buffer(spark, f"{folder}/out").count() == 4
+
+
+def test_distinct_keys_over_batches(spark, folder):
+    """Message keys that several batches hold count once; per batch they are what a count gives."""
+    bodies = lambda cities: [
+        json.dumps({"timestamp": "2024-01-01T00:00:00Z", "location": {"city": c, "country": "F"}, "current_weather": {"temperature": 1.0}})
+        for c in cities
+    ]
+    drop(spark, folder, bodies(["A", "B", "A"]), "a")
+    drop(spark, folder, bodies(["B", "C"]), "b")
+    jobs.start_transform(
+        inbox(spark, folder), ("json", f"{folder}/out"), f"{folder}/cp", NOW, statistics=f"{folder}/statistics"
+    ).awaitTermination()
+    each = spark.read.schema("rows bigint, distinct_keys bigint, anomalies bigint, keys binary").json(f"{folder}/statistics")
+    assert sorted((r.rows, r.distinct_keys, r.anomalies) for r in each.collect()) == [(2, 2, 0), (3, 3, 0)]
+    assert tuple(summaries.merged_statistics(each).first()) == (5, 3, 0)
+    many = spark.range(200_000).select(F.concat(F.lit("key"), "id").alias("key"), (F.col("id") % 8).alias("batch"))
+    sketched = many.groupBy("batch").agg(
+        F.count(F.lit(1)).alias("rows"), F.lit(0).alias("anomalies"), summaries.key_sketch(F.col("key")).alias("keys")
+    )
+    assert abs(summaries.merged_statistics(sketched.unionByName(sketched)).first().distinct_keys / 200_000 - 1) < 0.03
