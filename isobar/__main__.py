@@ -12,6 +12,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from isobar import batch, schemas
 from isobar.functions.deviations import SIGMA_LIMIT, TEMPERATURE_LIMIT
+from isobar.functions.levels import WIND_UNITS
 from isobar.operators import anomalies, history, readings, serving, summaries
 from isobar.operators.profiles import PROFILE_YEARS, extreme_months, sorted_profile
 from isobar.session import build_session
@@ -74,6 +75,9 @@ def _parser() -> argparse.ArgumentParser:
     output(transform, "flat")
     transform.add_argument("--event-time", choices=("processing", "payload", "received"), default="processing")
     transform.add_argument("--statistics", help="folder for per-batch statistics")
+    transform.add_argument("--wind-unit", choices=sorted(WIND_UNITS), default="m/s", help="unit of the readings' wind")
+    transform.add_argument("--nan-is-missing", action="store_true")
+    transform.add_argument("--quarantine", help="folder for messages that are no JSON, which then do not go on")
 
     windows = streaming("windows", "window metrics per location", "flat")
     windows.add_argument("--output", required=True, help="folder for window states")
@@ -84,6 +88,7 @@ def _parser() -> argparse.ArgumentParser:
 
     archive = streaming("alerts", "archive alerts by country and city", "flat")
     archive.add_argument("--base", required=True)
+    archive.add_argument("--unique", action="store_true", help="archive readings once that are delivered again")
 
     detect = streaming("detect", "flag anomalies against stored profiles", "flat")
     output(detect, "anomalies")
@@ -173,14 +178,15 @@ def _start_stream(spark: SparkSession, args: argparse.Namespace) -> StreamingQue
     if args.job == "transform":
         return jobs.start_transform(
             messages, (args.sink, args.output), args.checkpoint, event_time=args.event_time,
-            statistics=args.statistics, **trigger, **_sink_options(args),
+            statistics=args.statistics, wind_unit=args.wind_unit, nan_is_missing=args.nan_is_missing,
+            quarantine=args.quarantine, **trigger, **_sink_options(args),
         )
     elif args.job == "windows":
         return jobs.start_window_metrics(
             messages, args.output, args.checkpoint, args.window, args.slide, args.by, mode=args.mode, **trigger
         )
     elif args.job == "alerts":
-        return jobs.start_alert_archive(messages, args.base, args.checkpoint, **trigger)
+        return jobs.start_alert_archive(messages, args.base, args.checkpoint, unique=args.unique, **trigger)
 
     def load() -> DataFrame:
         return batch.reference_profile(spark, args.base, args.layout, args.profile_year)

@@ -50,7 +50,8 @@ def run_enriched(
     ``profile`` is one made from stored states, in place of one from history.
     """
     if profile is None:
-        profile = profiles.full_profile(stored.daily_history(spark, source, layout), quantile_scope)
+        days = stored.daily_history(spark, source, layout)
+        profile = profiles.full_profile(days, quantile_scope, unfold_once=layout != "rows")
     profile = materialise(profile, "profile")
     checked = profiles.completeness(profile)
     _publish(documents.enriched_documents(profile, checked), base, "enriched", sink, True, options)

@@ -157,13 +157,14 @@ def quartiles(daily: DataFrame, accuracy: int = 10000) -> DataFrame:
     )
 
 
-def full_profile(daily: DataFrame, quantile_scope: str = "all") -> DataFrame:
+def full_profile(daily: DataFrame, quantile_scope: str = "all", unfold_once: bool = False) -> DataFrame:
     """Enriched profile with quartiles; their scope is "all" usable days or only "validated".
 
-    The two aggregate over different days and keys. The days are unfolded and stored once,
-    with the columns that they use, so that documents are not parsed for each of them.
+    The two aggregate over different days and keys, each of which reads the days. With
+    ``unfold_once``, for days that come from documents, these are parsed once and the
+    columns in use stored.
     """
-    days = materialise(daily.select(*_MEASURED), "days")
+    days = materialise(daily.select(*_MEASURED), "days") if unfold_once else daily
     scope = {"all": days, "validated": validated_days(days)}[quantile_scope]
     return enriched_profile(days).join(quartiles(scope), CITY_MONTH, "left")
 

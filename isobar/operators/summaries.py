@@ -40,15 +40,14 @@ def weathercode_matrix(readings: DataFrame, codes: Sequence[int] = CODES) -> Dat
 
     ``code_other`` counts the readings with any other code, so no reading is lost.
     """
-    histogram = weathercode_histogram(readings)
-    shown = sorted(codes)
-    number = F.col("readings")
-    cells = [
-        F.coalesce(F.sum(F.when(F.col("weathercode") == code, number)), F.lit(0)).alias(f"code_{code}")
-        for code in shown
-    ]
-    other = F.coalesce(F.sum(F.when(~F.col("weathercode").isin(*shown), number)), F.lit(0)).alias("code_other")
-    return histogram.groupBy("country").agg(*cells, other)
+    shown = sorted(set(codes))
+    counted = weathercode_histogram(readings).select(
+        "country", F.when(F.col("weathercode").isin(*shown), F.col("weathercode")).alias("code"), "readings"
+    )
+    # The histogram is small; its null code gathers all that are not shown.
+    pivoted = counted.groupBy("country").pivot("code", [*shown, None]).agg(F.sum("readings"))
+    names = [*(f"code_{code}" for code in shown), "code_other"]
+    return pivoted.toDF("country", *names).fillna(0, subset=names)
 
 
 def weathercode_mode(readings: DataFrame) -> DataFrame:

@@ -8,9 +8,11 @@ from pyspark.sql import functions as F
 from isobar.functions.calendar import MONTH_NAMES, within_years
 from isobar.operators import documents, history, profiles, records, serving, summaries
 from isobar.plans.registry import day_text, query
-from isobar.plans.views import COMPLETENESS, DAILY, ENRICHED, HISTORY, SEASONAL, over
+from isobar.plans.views import COMPLETENESS, DAILY, ENRICHED, HISTORY, SEASONAL, WHOLE_HISTORY, over
 from isobar.schemas import ENRICHED_DOCUMENT, HISTORY_DOCUMENT
 from isobar.sinks import daily_store, profile_store
+from isobar.sinks.writers import store_history
+from isobar.sources import documents as stored_documents
 from isobar.sources import tables
 from isobar.storage import materialise, scratch_path
 
@@ -52,6 +54,35 @@ def history_zip(spark: SparkSession, sf_dir: str) -> DataFrame:
     return history.unfold_history(parsed)
 
 
+def _stored_history(spark: SparkSession, sf_dir: str) -> str:
+    """History documents of all six series, landed as files by country and city."""
+    base = scratch_path(spark, "history")
+    texts = tables.history_documents(spark, sf_dir, whole=True)
+    store_history(texts.select(F.from_json("value", HISTORY_DOCUMENT).alias("d")).select("d.*"), base)
+    return base
+
+
+_WHOLE_DAYS = "select * exclude (o_orderkey, i) from history"
+
+
+@query(over(WHOLE_HISTORY, _WHOLE_DAYS))
+def history_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Daily rows out of stored history files."""
+    return stored_documents.daily_history(spark, _stored_history(spark, sf_dir), "table")
+
+
+@query(over(WHOLE_HISTORY, _WHOLE_DAYS + " where country = 'NATION_3' and city = 'CITY_1'"))
+def history_files_of_a_city(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The files of one city alone are read."""
+    return stored_documents.daily_history(spark, _stored_history(spark, sf_dir), "table", ("NATION_3", "CITY_1"))
+
+
+@query(over(WHOLE_HISTORY, "select distinct replace(country, ' ', '_') as country, city from history"))
+def stored_locations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The cities of a store, from the names of its folders."""
+    return stored_documents.stored_places(spark, _stored_history(spark, sf_dir))
+
+
 @query(
     over(
         HISTORY,

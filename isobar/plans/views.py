@@ -201,5 +201,12 @@ history as (
 )"""
 
 
+# The same documents with all six series.
+WHOLE_HISTORY = HISTORY.replace(
+    "cast(null as double) as precipitation, cast(null as double) as windspeed_max",
+    "cast((o_orderkey % 30 + i) * 0.25 as double) as precipitation, cast((o_orderkey % 50 + i) * 0.5 as double) as windspeed_max",
+)
+
+
 def over(views: str, statement: str) -> str:
     return f"with {views.strip()}\n{statement.strip()}"

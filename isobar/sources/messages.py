@@ -5,7 +5,7 @@ Every reader returns (key, value, timestamp, topic, partition, offset).
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from isobar.operators.records import top_k
@@ -51,11 +51,45 @@ def message_table(spark: SparkSession, kind: str, location: str, **options: str)
     return _open(spark, spark.read, kind, location, options)
 
 
+def _reach(messages: DataFrame, limit: int) -> Column | None:
+    """A condition on partition and offset that holds for the first ``limit`` readable messages.
+
+    Spans of offsets are widened, each twice the one before, partition after partition,
+    until so many are found. None if some messages have no place in a log.
+    """
+    places = messages.groupBy("partition").agg(
+        F.min("offset").alias("first"), F.max("offset").alias("last"), F.count_if(F.col("offset").isNull()).alias("lost")
+    )
+    partitions = sorted(places.collect(), key=lambda row: (row["partition"] is not None, row["partition"]))
+    if any(row["partition"] is None or row["lost"] for row in partitions):
+        return None
+    missing = limit
+    for row in partitions:
+        at, span = row["first"], 2 * limit
+        while at <= row["last"]:
+            until = at + span
+            own = (F.col("partition") == row["partition"]) & (F.col("offset") >= at) & (F.col("offset") < until)
+            # Enough is enough: no more are counted than are missing.
+            missing -= messages.where(own).where(_readable()).limit(missing).count()
+            if missing <= 0:
+                here = (F.col("partition") == row["partition"]) & (F.col("offset") < until)
+                return here | (F.col("partition") < row["partition"])
+            at, span = until, 2 * span
+    return F.lit(True)
+
+
+def _readable() -> Column:
+    return F.try_parse_json("value").isNotNull()
+
+
 def first_messages(messages: DataFrame, limit: int) -> DataFrame:
     """The first ``limit`` messages in log order whose payload is JSON.
 
-    Lines of text have no offset; they come in the order of their files' times and names.
+    Of a log only the beginning is read that holds them: the condition on partition and
+    offset reaches the scan. Lines of text have no offset; they come in the order of their
+    files' times and names.
     """
-    readable = messages.where(F.try_parse_json("value").isNotNull())
+    reach = _reach(messages, limit) if limit > 0 else None
+    readable = (messages if reach is None else messages.where(reach)).where(_readable())
     order = ("partition", "offset", "timestamp", "topic", "value")
     return top_k(readable, [F.asc(name) for name in order], limit)

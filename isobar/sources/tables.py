@@ -120,9 +120,12 @@ def as_messages(readings_df: DataFrame) -> DataFrame:
     )
 
 
-def history_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+def history_documents(spark: SparkSession, sf_dir: str, whole: bool = False) -> DataFrame:
     """One seven-day history document per order, some with short or missing arrays.
 
+    With ``whole`` it has all six series: precipitation (o_orderkey % 30 + i) * 0.25 and
+    wind maxima (o_orderkey % 50 + i) * 0.5.
+
     Day i of an order has mean (o_orderkey % 40 + i) * 0.5 and wind (o_orderkey % 60 + i)
     * 0.25. Every fifth order lacks its last day's date, every third its last two means.
     """
@@ -150,12 +153,14 @@ def history_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("n_name").alias("country"),
         F.lit(None).cast("string").alias("location_name"),
     )
+    more = [series(key % 30, 0.25).alias("precipitation_sum"), series(key % 50, 0.5).alias("windspeed_10m_max")] if whole else []
     arrays = F.struct(
         time.alias("time"),
         F.transform(mean, lambda t: t + 2.0).alias("temperature_2m_max"),
         F.transform(mean, lambda t: t - 2.0).alias("temperature_2m_min"),
         F.when(key % 3 == 0, F.slice(mean, 1, 5)).otherwise(mean).alias("temperature_2m_mean"),
         series(key % 60, 0.25).alias("windspeed_10m_mean"),
+        *more,
     )
     document = F.struct(
         F.struct(location.alias("location")).alias("metadata"),

@@ -78,13 +78,37 @@ def start_transform(
     trigger: Trigger = EVERY_5_SECONDS,
     event_time: str = "processing",
     statistics: str | None = None,
+    wind_unit: str = "m/s",
+    nan_is_missing: bool = False,
+    quarantine: str | None = None,
     **options: str,
 ) -> StreamingQuery:
-    """Raw readings to graded flat readings, with optional per-batch statistics."""
-    flat = readings.flatten_readings(readings.parse_messages(messages, RAW_READING), event_time)
-    out = readings.reading_messages(flat)
+    """Raw readings to graded flat readings, with optional per-batch statistics.
+
+    With ``quarantine``, messages that are no JSON are stored in that folder as they came
+    and do not go on.
+    """
+
+    def graded(raw: DataFrame) -> DataFrame:
+        parsed = readings.parse_messages(raw, RAW_READING)
+        return readings.reading_messages(
+            readings.flatten_readings(parsed, event_time, wind_unit=wind_unit, nan_is_missing=nan_is_missing)
+        )
+
+    out = messages if quarantine else graded(messages)
 
     def process(rows: DataFrame, batch: Batch) -> None:
+        if not quarantine:
+            deliver(rows, batch)
+            return
+        tagged = readings.classify_messages(rows).persist()
+        try:
+            archive_batch(tagged.where("kind = 'text'").drop("kind"), quarantine, [], batch)
+            deliver(graded(tagged.where("kind <> 'text'").drop("kind")), batch)
+        finally:
+            tagged.unpersist()
+
+    def deliver(rows: DataFrame, batch: Batch) -> None:
         if not statistics:
             send_messages(rows, *sink, batch=batch, **options)
             return
@@ -139,11 +163,23 @@ def read_current_windows(spark: SparkSession, checkpoint: str, by: str = "locati
     return windows.metrics_of_state(state, by)
 
 
+def _once(flat: DataFrame) -> DataFrame:
+    """Flat readings without those that a source delivers again within the watermark."""
+    timed = readings.with_event_timestamp(flat)
+    keys = [name for name in FLAT_READING.fieldNames() if name in flat.columns]
+    return deduplicated(timed, keys, "event_timestamp").drop("event_timestamp")
+
+
 def start_alert_archive(
-    messages: DataFrame, base: str, checkpoint: str, trigger: Trigger = EVERY_10_SECONDS
+    messages: DataFrame, base: str, checkpoint: str, trigger: Trigger = EVERY_10_SECONDS, unique: bool = False
 ) -> StreamingQuery:
-    """Alerts archived by country and city, each micro-batch exactly once."""
-    entries = readings.alert_entries(readings.parse_flat_readings(messages))
+    """Alerts archived by country and city, each micro-batch exactly once.
+
+    With ``unique``, a reading that the source delivers again within the watermark is
+    archived once; readings without a readable time are then left out.
+    """
+    flat = readings.parse_flat_readings(messages)
+    entries = readings.alert_entries(_once(flat) if unique else flat)
 
     def process(rows: DataFrame, batch: Batch) -> None:
         archive_batch(rows, f"{base}/alerts", ["country_dir", "city_dir"], batch)

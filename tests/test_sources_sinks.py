@@ -1,6 +1,7 @@
 """Files in the stored layouts, and writers that replace or append."""
 
 import json
+import re
 from pathlib import Path
 
 import pytest
@@ -252,3 +253,33 @@ def test_envelopes_drop_unusable_responses(spark):
     rows = readings.reading_envelopes(landed.select("r.*"), "open-meteo").collect()
     assert [row.key for row in rows] == ["France/Paris", "1.0,2.0"]
     assert json.loads(rows[1].value)["location"] == {"latitude": 1.0, "longitude": 2.0, "country": "France"}
+
+
+def test_a_bounded_read_touches_the_beginning_of_a_log(spark, folder):
+    """1,000 readable messages of a long log: the scan gets a bound on the offset."""
+    log = spark.range(200_000).select(
+        F.lit("k").alias("key"), F.when(F.col("id") % 5 == 0, "junk").otherwise(F.concat(F.lit('{"n":'), "id", F.lit("}"))).alias("value"),
+        F.lit(None).cast("timestamp").alias("timestamp"), F.lit("t").alias("topic"),
+        (F.col("id") % 4).cast("int").alias("partition"), F.floor(F.col("id") / 4).alias("offset"),
+    )
+    log.repartitionByRange(16, "partition", "offset").sortWithinPartitions("partition", "offset").write.parquet(f"{folder}/log")
+    messages = inbox.message_table(spark, "parquet", f"{folder}/log")
+    found = inbox.first_messages(messages, 1000)
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    bounds = [int(n) for n in re.findall(r"LessThan\(offset,(\d+)\)", plan)]
+    assert bounds and max(bounds) <= 4000
+    plain = [r.offset for r in log.where("partition = 0 and value <> 'junk'").orderBy("offset").limit(1000).collect()]
+    assert [r.offset for r in found.collect()] == plain
+    # More than the first partition holds, and more than there is.
+    many = inbox.first_messages(messages, 41_000).groupBy("partition").count().collect()
+    assert sorted((r.partition, r["count"]) for r in many) == [(0, 40_000), (1, 1_000)]
+    assert inbox.first_messages(messages, 10**6).count() == 160_000 and inbox.first_messages(messages, 0).count() == 0
+
+
+def test_places_keep_their_names(spark, folder):
+    rows = [("007", "Land"), ("1e3", "Land"), ("2024-01-01", "Land")]
+    documents = spark.createDataFrame(rows, "city string, country string").select(
+        F.struct(F.struct("city", "country").alias("location")).alias("metadata"), F.lit(1).alias("x")
+    )
+    writers.store_history(documents, folder)
+    assert sorted(r.city for r in stored.stored_places(spark, folder).collect()) == ["007", "1e3", "2024-01-01"]

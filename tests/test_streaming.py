@@ -376,3 +376,24 @@ def test_distinct_keys_over_batches(spark, folder):
         F.count(F.lit(1)).alias("rows"), F.lit(0).alias("anomalies"), summaries.key_sketch(F.col("key")).alias("keys")
     )
     assert abs(summaries.merged_statistics(sketched.unionByName(sketched)).first().distinct_keys / 200_000 - 1) < 0.03
+
+
+def test_messages_that_are_no_json_are_set_aside(spark, folder):
+    good = json.dumps({"timestamp": "2024-01-01T00:00:00Z", "location": {"city": "A"}, "current_weather": {"temperature": 26.0, "windspeed": 40.0}})
+    drop(spark, folder, [good, "not json", "", '{"msg": "Hello"}'], "a")
+    jobs.start_transform(
+        inbox(spark, folder), ("json", f"{folder}/out"), f"{folder}/cp", NOW, quarantine=f"{folder}/quarantine",
+        wind_unit="km/h", statistics=f"{folder}/statistics",
+    ).awaitTermination()
+    sent = [json.loads(row.value) for row in spark.read.schema("key string, value string").json(f"{folder}/out").collect()]
+    aside = spark.read.schema(schemas.MESSAGE).json(f"{folder}/quarantine").collect()
+    assert sorted(row.value for row in aside) == ["", "not json"] and len(sent) == 2
+    assert {m.get("wind_alert_level") for m in sent} == {"level_1", "level_0"}  # 40 km/h are 11 m/s
+    assert spark.read.json(f"{folder}/statistics").first().rows == 2
+
+
+def test_repeated_readings_are_archived_once(spark, folder):
+    drop(spark, folder, [flat(0), flat(0), flat(1)], "a")
+    drop(spark, folder, [flat(1), flat(2, temperature=30.0), flat(2, temperature=31.0)], "b")
+    jobs.start_alert_archive(inbox(spark, folder), folder, f"{folder}/cp", NOW, unique=True).awaitTermination()
+    assert sorted(r.temperature for r in archived_alerts(spark, folder).collect()) == [26.0, 26.0, 30.0, 31.0]
