@@ -54,11 +54,12 @@ _PLAIN = {
     "ip": r"[0-9]+\.[0-9]+\.[0-9]+\.[0-9]+",
     "card": r"[0-9](?:[\x20-]?[0-9])+",
     "phone": r"\+[0-9][\x20().0-9-]+[0-9]",
-    "iban": r"[A-Z]{2}[0-9]{2}[0-9A-Za-z]+",
+    "iban": r"[A-Z]{2}[0-9]{2}(?:[0-9A-Za-z]+|(?:\x20[0-9A-Z]{4}){2,7}(?:\x20[0-9A-Z]{1,3})?)",
     "ssn": r"[0-9]+(?:-[0-9]+)+",
 }
 _DIGITS = "regexp_replace(m, '[^0-9]', '', 'g')"
-_TURNED = "string_split(m[5:] || m[1:4], '')"
+_CLOSE = "replace(m, ' ', '')"
+_TURNED = f"string_split({_CLOSE}[5:] || {_CLOSE}[1:4], '')"
 _CODES = f"list_transform({_TURNED}, lambda c: case when c < 'A' then ascii(c) - 48 else ascii(c) - 55 end)"
 _VALID = {
     "email": "true",
@@ -68,7 +69,7 @@ _VALID = {
              when reverse({_DIGITS})[i]::int > 4 then reverse({_DIGITS})[i]::int * 2 - 9
              else reverse({_DIGITS})[i]::int * 2 end)) % 10 = 0""",
     "phone": f"length({_DIGITS}) between 9 and 15",
-    "iban": f"""regexp_full_match(m, '[A-Z0-9]{{15,34}}') and list_reduce(list_prepend(0, {_CODES}),
+    "iban": f"""regexp_full_match({_CLOSE}, '[A-Z0-9]{{15,34}}') and list_reduce(list_prepend(0, {_CODES}),
         lambda rest, x: case when x < 10 then (rest * 10 + x) % 97 else (rest * 100 + x) % 97 end) = 1""",
     "ssn": """regexp_full_match(m, '[0-9]{3}-[0-9]{2}-[0-9]{4}')
         and not regexp_matches(m, '^(?:000|666|9)|-00-|-0000$')""",
@@ -81,9 +82,11 @@ def _spans_of(number: int, name: str) -> str:
     pattern = _PLAIN[name]
     return f"""
   select rid, {number} as k, '{name}' as kind, last - length(m) as first, last from (
-    select rid, m, lower(right(gap, {CONTEXT})) as near,
+    select rid, m,
+           lower(right(coalesce(ps[i] || ms[i], '') || gap, {CONTEXT}) || ' | '
+                 || left(ps[i + 2] || coalesce(ms[i + 2] || ps[i + 3], ''), {CONTEXT})) as near,
            (sum(length(gap) + length(m)) over (partition by rid order by i))::bigint as last
-    from (select rid, unnest(ms) as m, unnest(ps[1:len(ms)]) as gap, unnest(range(len(ms))) as i from (
+    from (select rid, ms, ps, unnest(ms) as m, unnest(ps[1:len(ms)]) as gap, unnest(range(len(ms))) as i from (
       select rid, regexp_extract_all(body, '{pattern}') as ms, regexp_split_to_array(body, '{pattern}') as ps
       from rows)))
   where {_VALID[name]}{context}"""

@@ -14,7 +14,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-#: Characters before a span that are searched for words that speak for its kind.
+#: Characters before and behind a span that are searched for words that speak for its kind.
 CONTEXT = 40
 _CHUNK = 256
 
@@ -28,7 +28,8 @@ def _digit_count(match: Column, least: int, most: int) -> Column:
 
 
 def _mod_97(match: Column) -> Column:
-    """ISO 7064 over the account number with its first four characters moved to the end."""
+    """ISO 7064 over the account number, without gaps, with its first four characters moved to the end."""
+    match = F.regexp_replace(match, "\x20", "")
     turned = F.concat(F.substring(match, 5, 64), F.substring(match, 1, 4))
 
     def step(rest: Column, c: Column) -> Column:
@@ -97,7 +98,8 @@ KINDS = (
     ),
     Kind(
         "iban",
-        r"[A-Z]{2}[0-9]{2}[0-9A-Za-z]++",
+        # Written as one or in groups of four.
+        r"[A-Z]{2}[0-9]{2}(?:[0-9A-Za-z]++|(?:\x20[0-9A-Z]{4}){2,7}(?:\x20[0-9A-Z]{1,3})?)",
         _mod_97,
         "iban|bank|account|konto|cuenta|compte",
         0.9,
@@ -159,24 +161,38 @@ _SPAN = "array<struct<kind:string,start:bigint,end:bigint,score:double>>"
 def _found(text: Column, matches: Column, kind: Kind) -> Column:
     """The confirmed spans of a kind, of which the text has at least one match."""
 
-    def span(pair: Column) -> Column:
-        start = pair["before"] + F.length(pair["gap"])
-        near = F.lower(F.when(F.length(pair["gap"]) < CONTEXT, pair["gap"]).otherwise(F.right(pair["gap"], F.lit(CONTEXT))))
-        score = F.lit(kind.score) + F.when(near.rlike(kind.context), F.lit(_BONUS)).otherwise(F.lit(0.0))
-        return F.struct(
-            F.lit(kind.name).alias("kind"), start.alias("start"),
-            (start + F.length(pair["match"])).alias("end"), score.alias("score"),
-        )
+    none = F.lit("")
 
     def spans(gaps: Column) -> Column:
-        pairs = F.arrays_zip(gaps.alias("gap"), matches.alias("match"))
-        size = F.transform(pairs, lambda p: (F.length(p["gap"]) + F.length(p["match"])).cast("long"))
-        placed = F.arrays_zip(_totals_before(size).alias("before"), gaps.alias("gap"), matches.alias("match"))
+        def near(i: Column) -> Column:
+            """What stands on either side, also beyond the next match of the kind."""
+
+            def last(x: Column) -> Column:
+                return F.coalesce(F.right(x, F.lit(CONTEXT)), none)
+
+            def first(x: Column) -> Column:
+                return F.coalesce(F.left(x, F.lit(CONTEXT)), none)
+
+            before = F.concat(last(F.get(gaps, i - 1)), last(F.get(matches, i - 1)), last(F.get(gaps, i)))
+            behind = F.concat(first(F.get(gaps, i + 1)), first(F.get(matches, i + 1)), first(F.get(gaps, i + 2)))
+            return F.lower(F.concat(last(before), F.lit(" | "), first(behind)))
+
+        def span(place: Column) -> Column:
+            start = place["before"] + F.length(F.get(gaps, place["i"]))
+            score = F.lit(kind.score) + F.when(near(place["i"]).rlike(kind.context), F.lit(_BONUS)).otherwise(F.lit(0.0))
+            return F.struct(
+                F.lit(kind.name).alias("kind"), start.alias("start"),
+                (start + F.length(place["match"])).alias("end"), score.alias("score"),
+            )
+
+        size = F.transform(matches, lambda m, i: (F.length(F.get(gaps, i)) + F.length(m)).cast("long"))
+        number = F.sequence(F.lit(0), F.size(matches) - 1)
+        placed = F.arrays_zip(_totals_before(size).alias("before"), matches.alias("match"), number.alias("i"))
         confirmed = F.transform(F.filter(placed, lambda p: kind.valid(p["match"])), span)
         return confirmed if kind.base else F.filter(confirmed, lambda s: s["score"] >= kind.least)
 
     # The pieces between the matches; the last one is behind them all.
-    return _let(F.slice(F.split(text, kind.pattern, -1), 1, F.size(matches)), spans)
+    return _let(F.split(text, kind.pattern, -1), spans)
 
 
 def find_pii(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

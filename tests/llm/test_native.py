@@ -91,3 +91,22 @@ def test_long_runs_stay_linear(spark):
 
 def test_spans_count_code_points(spark):
     assert spans_of(spark, "😀é a@b.cc 😀 1.2.3.4")[0][1] == "a@b.cc"
+
+
+def test_context_on_both_sides(spark):
+    assert spans_of(spark, "123-45-6789 is my ssn") == [("ssn", "123-45-6789", 0.5)]
+    # Also beyond another match of the kind, on either side.
+    both = spans_of(spark, "ssn 123-45-6789 and 223-45-6789 only")
+    assert [text for _, text, _ in both] == ["123-45-6789", "223-45-6789"]
+    assert spans_of(spark, "123-45-6789" + " x" * 30 + " ssn") == []
+
+
+def test_account_numbers_in_groups(spark):
+    text = "pay to DE89 3704 0044 0532 0130 00 or ES91 2100 0418 4502 0005 1332 please, not DE89 3704 0044 0532 0130 01"
+    found = [span for span in spans_of(spark, text) if span[0] == "iban"]
+    assert [t for _, t, _ in found] == ["DE89 3704 0044 0532 0130 00", "ES91 2100 0418 4502 0005 1332"]
+
+
+def test_many_spans_with_context(spark):
+    text = " ".join(f"user{i}@mail.org wrote 123-45-{i % 9000 + 1000}" for i in range(20_000))
+    assert Counter(kind for kind, _, _ in spans_of(spark, text))["email"] == 20_000
