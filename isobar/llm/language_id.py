@@ -30,6 +30,8 @@ from isobar.storage import materialise
 ORDER = 4
 #: Expected sample documents of a language; a fifth of them calibrate.
 PER_LANGUAGE = 2000
+#: A language with fewer documents than this teaches with all of them and is not calibrated.
+FEW = 25
 #: Most frequent sequences kept of a language.
 SEQUENCES = 60_000
 #: Share of a language's own texts whose cross-entropy may be called too high.
@@ -270,10 +272,13 @@ def _sample(docs: DataFrame, train: Column, id_col: str, lang_col: str, text_col
     """(lang, text, part): about ``rows`` whole documents of each language, the same in every run."""
     taught = docs.where(train & F.col(lang_col).isNotNull() & F.col(text_col).isNotNull())
     taught = taught.select(F.col(id_col).alias("id"), F.col(lang_col).alias("lang"), F.col(text_col).alias("text"))
-    rates = materialise(taught.groupBy("lang").agg((F.lit(float(rows)) / F.count(F.lit(1))).alias("rate")), "rates")
+    number = F.count(F.lit(1))
+    rates = taught.groupBy("lang").agg((F.lit(float(rows)) / number).alias("rate"), (number < FEW).alias("few"))
+    rates = materialise(rates, "rates")
     drawn = F.pmod(F.xxhash64(F.lit("sample"), "id"), F.lit(1 << 20)) / F.lit(float(1 << 20))
     part = F.pmod(F.xxhash64(F.lit("part"), "id"), F.lit(5))
     picked = taught.withColumn("drawn", drawn).join(rates, "lang").where("drawn < rate")
+    part = F.when(F.col("few"), 1).otherwise(part)
     return materialise(picked.select("lang", "text", part.alias("part")), "language-sample")
 
 

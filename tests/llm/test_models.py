@@ -148,3 +148,74 @@ def test_class_shares_add_up_to_one(odd):
     for place in range(lm_scoring.SHARED):
         own = lm_scoring._shared_class(hashes[lm_scoring.SINGLE :]) == place
         assert shares[lm_scoring.SINGLE :][own].sum() + np.exp(words.log_rest[place]) == pytest.approx(1)
+
+
+def test_language_model_gradients():
+    """Each step goes down the slope of the mean loss, as differences of the loss show it."""
+    pick = np.random.default_rng(1)
+    network = lm_scoring.Network.fresh(50)
+    double = lm_scoring.Network(*(part.astype(np.float64) + 0.1 * pick.standard_normal(part.shape) for part in network._parts()))
+    around, classes = pick.integers(0, 50, (40, 2 * lm_scoring.REACH)), pick.integers(0, 128, 40)
+    loss = lambda net: -net.log_classes(around, classes).mean()
+    copy = lambda: lm_scoring.Network(*(part.copy() for part in double._parts()))
+    moved = copy()
+    moved.learn(around, classes, 1.0)
+    for name, scale in (("output", 4), ("output_bias", 4), ("distances", 1), ("bias", 1)):
+        step = (getattr(double, name) - getattr(moved, name)) / scale
+        for place in list(np.argwhere(np.abs(step) > 1e-4))[:5]:
+            up, down = copy(), copy()
+            getattr(up, name)[tuple(place)] += 1e-5
+            getattr(down, name)[tuple(place)] -= 1e-5
+            assert (loss(up) - loss(down)) / 2e-5 == pytest.approx(step[tuple(place)], rel=1e-2), name
+    # Embeddings go the same way, each by the square root of how often it occurs.
+    number = np.bincount(around.ravel(), minlength=50)
+    step = (double.embeddings - moved.embeddings) * np.sqrt(np.maximum(number, 1))[:, None] / 40
+    place = tuple(np.argwhere(np.abs(step) > 1e-4)[0])
+    up, down = copy(), copy()
+    up.embeddings[place] += 1e-5
+    down.embeddings[place] -= 1e-5
+    assert (loss(up) - loss(down)) / 2e-5 == pytest.approx(step[place], rel=1e-2)
+
+
+def test_codes_keep_embeddings_and_classes(odd):
+    words = lm_scoring.vocabulary(odd, "text", 100)
+    hashes = lm_scoring.words_of(pa.array([row[1] or "" for row in odd_rows()])).hashes
+    ids = words.ids(hashes)
+    found = words.decoded(words.codes(hashes, ids))
+    assert (found[0] == ids).all() and (found[1] == words.classes(hashes, ids)).all()
+
+
+def test_scores_by_hand(spark):
+    """The sum over a document's words, each looked up and predicted one by one."""
+    pick = np.random.default_rng(9)
+    texts = [" ".join(f"w{int(i)}" for i in pick.zipf(1.4, size) % 300) for size in (1, 2, 30, 200)]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id int, text string")
+    counted = lm_scoring.count_words(docs, "text")
+    words = lm_scoring.vocabulary(docs, "text", 80, counted)
+    coded = lm_scoring.encode(docs, words, "doc_id", "text").withColumn("row", F.monotonically_increasing_id()).persist()
+    network = lm_scoring.train(coded, words)
+    found = {r.id: r.log_likelihood for r in lm_scoring.score(coded, words, counted, network).collect()}
+    number = {r.word: r.n for r in counted.collect()}
+    pad = len(words.ranks) + lm_scoring.OTHERS
+    for doc_id, text in enumerate(texts):
+        hashes = lm_scoring.words_of(pa.array([text])).hashes
+        ids, total = words.ids(hashes), 0.0
+        classes = words.classes(hashes, ids)
+        for i in range(len(ids)):
+            around = [ids[i + d] if 0 <= i + d < len(ids) else pad for d in (-2, -1, 1, 2)]
+            total += float(network.log_classes(np.array([around]), classes[i : i + 1])[0])
+            own = number[int(hashes[i : i + 1].view(np.int64)[0])]
+            if ids[i] < len(words.ranks):
+                total += words.log_share[ids[i]]
+            else:
+                place = classes[i] - lm_scoring.SINGLE
+                total += words.log_rest[place] + np.log(own) - words.log_unranked[place]
+        assert found[doc_id] == pytest.approx(total, rel=1e-4)
+
+
+def test_a_language_of_few_documents_has_a_model(spark):
+    docs = spark.createDataFrame(
+        [(i, chr(0x61 + i) * 3 + " word of its own " * 5, f"l{i}") for i in range(12)], "doc_id int, text string, lang string"
+    )
+    models = language_id.fit(docs, F.lit(True))
+    assert models.languages == sorted(f"l{i}" for i in range(12))
