@@ -112,7 +112,8 @@ def window_hits(
     shingles = materialise(_window_shingles(windows), "window-shingles")
     lengths = sorted(row[0] for row in shingles.select("length").distinct().collect())
     if not lengths:
-        schema = "id bigint, text_key bigint, start int, size int, window_id bigint"
+        kind = rows.schema["id"].dataType.simpleString()
+        schema = f"id {kind}, text_key bigint, start int, size int, window_id bigint"
         return docs.sparkSession.createDataFrame([], schema)
 
     seen = materialise(_rarity(rows, shingles, lengths), "rarity")
