@@ -14,6 +14,8 @@ from dataclasses import dataclass, field
 from pyspark.sql import SparkSession
 
 _FOLDER = "_manifests"
+#: Manifests kept beside the newest: enough to go back, few enough to list.
+KEPT = 20
 
 
 class Conflict(RuntimeError):
@@ -76,10 +78,11 @@ def newest(spark: SparkSession, path: str) -> Manifest:
 def commit(
     spark: SparkSession, path: str, after: Manifest, parts: tuple[str, ...], covered: Mapping[str, int] | None = None
 ) -> Manifest:
-    """Make ``parts`` what counts, if ``after`` still is the last manifest."""
+    """Make ``parts`` what counts, if ``after`` still is the last manifest; old manifests go."""
     if newest(spark, path).number != after.number:
         raise Conflict(f"{path} has changed since manifest {after.number}")
-    number = max([0, *_numbers(spark, path)]) + 1
+    known = _numbers(spark, path)
+    number = max([0, *known]) + 1
     covered = dict(after.covered if covered is None else covered)
     files, place = _files(spark, f"{path}/{_FOLDER}/{number:010d}.json")
     try:
@@ -90,4 +93,7 @@ def commit(
         stream.write(bytearray(json.dumps({"parts": list(parts), "covered": covered}).encode()))
     finally:
         stream.close()
+    for old in known:
+        if old < number - KEPT:
+            remove(spark, f"{path}/{_FOLDER}/{old:010d}.json")
     return Manifest(number, tuple(parts), covered)

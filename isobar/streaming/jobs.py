@@ -265,13 +265,11 @@ _TIMES = "max_event_time timestamp"
 
 def _seen_until(spark: SparkSession, path: str, batch: Batch) -> object:
     """The latest event time of the batches of this run before ``batch``; None before there is one."""
-    names = listed(spark, f"{path}/_times/run_id={batch.run}/batch_id=*/_SUCCESS")
-    numbers = [int(name.split("/")[-2].split("=", 1)[1]) for name in names]
-    earlier = [number for number in numbers if number < batch.number]
-    if not earlier:
+    if batch.number == 0:
         return None
-    # Each batch keeps the latest time so far, so the last one before is enough.
-    return spark.read.schema(_TIMES).json(Batch(batch.run, max(earlier)).folder(f"{path}/_times")).first().max_event_time
+    # Each batch keeps the latest time so far, so the one before is enough.
+    before = Batch(batch.run, batch.number - 1).folder(f"{path}/_times")
+    return spark.read.schema(_TIMES).json(before).first().max_event_time
 
 
 def start_arrival_split(
@@ -298,6 +296,8 @@ def start_arrival_split(
         archive_batch(seen.withColumn("arrival", arrival).drop("event_timestamp"), f"{path}/rows", ["arrival"], batch)
         latest = max((at for at in (until, observation.get["latest"]) if at is not None), default=None)
         archive_batch(spark.createDataFrame([(latest,)], _TIMES), f"{path}/_times", [], batch)
+        # This batch may be tried again and then needs the one before; earlier ones are done with.
+        manifest.remove(spark, Batch(batch.run, batch.number - 2).folder(f"{path}/_times"))
 
     return _run_batches(flat, checkpoint, trigger, "append", process)
 

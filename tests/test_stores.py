@@ -92,6 +92,11 @@ def test_manifests(spark, folder):
     assert manifest.newest(spark, folder) == second
     third = manifest.commit(spark, folder, second, ("d",))
     assert third.number == 4 and manifest.newest(spark, folder).covered == {"run": 3}
+    last = third
+    for number in range(30):
+        last = manifest.commit(spark, folder, last, (f"p{number}",))
+    assert manifest.newest(spark, folder) == last and last.parts == ("p29",)
+    assert len(os.listdir(f"{folder}/_manifests")) < 2 * (manifest.KEPT + 5)
 
 
 def rounded(profile):
