@@ -21,7 +21,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from isobar.llm.arrow import CHUNK_BYTES, chunks, ship_package
+from isobar.llm.arrow import chunks, give_back_memory, ship_package
 from isobar.llm.pretokens import SPECIAL, UnitEncoder, unit_bytes, units, worker_encoder
 from isobar.storage import materialise
 
@@ -29,7 +29,7 @@ LENGTH = 2048
 #: The id that ends each document.
 END = 1
 #: Units a worker remembers before it starts anew.
-REMEMBERED = 500_000
+REMEMBERED = 250_000
 #: Partitions of the first pass whose totals are summed by one task.
 BLOCK = 4096
 
@@ -62,8 +62,9 @@ def encode(docs: DataFrame, tokenizer: str, end: int, id_col: str, text_col: str
     last = np.array([end], dtype="<u4").tobytes()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        give_back_memory()
         encoder, part, total = worker_encoder(definition.value, REMEMBERED), TaskContext.get().partitionId(), 0
-        for batch in chunks(batches, "text", 8 * CHUNK_BYTES):
+        for batch in chunks(batches, "text"):
             ids = [one + last for one in encode_texts(batch.column("text"), encoder)]
             sizes = np.array([len(one) for one in ids], dtype=np.int64) // 4
             before = total + np.cumsum(sizes) - sizes

@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from isobar.llm.arrow import chunks, ship_package, text_bytes
+from isobar.llm.arrow import CHUNK_BYTES, chunks, give_back_memory, ship_package, text_bytes
 from isobar.llm.words import words_of
 from isobar.storage import materialise
 
@@ -225,6 +225,43 @@ def fit(labelled: DataFrame) -> Discriminant:
     return Discriminant(centre, scale, model.means, model.factors, model.logdets, slope, offset)
 
 
+def _learned(
+    table: DataFrame, labels: DataFrame, train: Column, label_col: str, label_id: str, link: str | None
+) -> Discriminant:
+    """``table`` is a stored table of statistics (id, x)."""
+    known = labels.where(train).select(F.col(label_id).alias("known"), F.col(label_col).alias("label"))
+    known = known.where("label in (0, 1)").withColumn("label", F.col("label").cast("int"))
+    met = F.col(f"id.{link}" if link else "id") == F.col("known")
+    return fit(materialise(table.join(known, met).select("x", "label"), "labelled"))
+
+
+def good_documents(
+    docs: DataFrame,
+    labels: DataFrame,
+    train: Column,
+    keep: float = KEEP,
+    id_col: str = "doc_id",
+    text_col: str = "text",
+    label_col: str = "quality",
+    label_id: str = "doc_id",
+) -> DataFrame:
+    """The rows of ``docs``, with all columns, that ``quality_scores`` predicts as good.
+
+    Texts are judged where they are read: no row is joined with a score or shuffled.
+    """
+    table = materialise(document_statistics(docs, id_col, text_col), "statistics")
+    model = docs.sparkSession.sparkContext.broadcast(_learned(table, labels, train, label_col, label_id, None))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        # Whole rows pass through, so the arrays made of them are kept smaller.
+        for batch in chunks(batches, text_col, CHUNK_BYTES // 4):
+            good = model.value.probability(statistics(batch.column(text_col)).astype(np.float64)) >= keep
+            yield batch.filter(pa.array(good))
+        give_back_memory()
+
+    return docs.mapInArrow(run, docs.schema)
+
+
 def quality_scores(
     docs: DataFrame,
     labels: DataFrame,
@@ -246,10 +283,7 @@ def quality_scores(
     rows each give a row; other columns are ignored.
     """
     table = materialise(document_statistics(docs, id_col, text_col), "statistics")
-    known = labels.where(train).select(F.col(label_id).alias("known"), F.col(label_col).cast("int").alias("label"))
-    met = F.col(f"id.{link}" if link else "id") == F.col("known")
-    labelled = materialise(table.join(known.where("label in (0, 1)"), met).select("x", "label"), "labelled")
-    model = table.sparkSession.sparkContext.broadcast(fit(labelled))
+    model = table.sparkSession.sparkContext.broadcast(_learned(table, labels, train, label_col, label_id, link))
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
