@@ -268,6 +268,7 @@ def near_duplicates(
     recall: float = RECALL,
     id_col: str = "doc_id",
     text_col: str = "text",
+    links: bool = True,
 ) -> DataFrame:
     """One row per input row: id, ``class_id``, ``class_size``, ``n_links``, ``n_copies``.
 
@@ -275,7 +276,8 @@ def near_duplicates(
     through others; ``class_id`` is its smallest id and ``class_size`` its rows.
     ``n_links`` is the number of different texts of the class that the text is similar
     to, from all pairs of the class. ``n_copies`` counts the rows with the very same text. Texts of fewer than ``words`` words are compared as one n-gram. Texts
-    without words, null or empty, link to nothing but their copies. Other columns are
+    without words, null or empty, link to nothing but their copies. Without ``links`` they
+    are not counted, which spares the comparison of all pairs of a class. Other columns are
     ignored; an empty table gives an empty result.
     """
     bands, length = choose_bands(similarity, recall)
@@ -294,26 +296,26 @@ def near_duplicates(
 
     compared = signed.join(buckets.select("node").distinct(), "node", "left_semi").select("key", "node")
     compared = materialise(compared, "compared")
-    texts = rows.select("key", "text").join(compared.hint("merge"), "key").dropDuplicates(["key"]).select("node", "text")
+    # Each task drops its copies of a text before any is shuffled, so no key is hot.
+    texts = rows.select("key", "text").dropDuplicates(["key"]).join(compared.hint("merge"), "key").select("node", "text")
     texts = materialise(texts, "texts")
-    links = materialise(_verified(pairs, texts, words, similarity), "links")
+    linked = materialise(_verified(pairs, texts, words, similarity), "links")
 
-    open_members = _open_members(buckets, components(links))
+    open_members = _open_members(buckets, components(linked))
     small = _small_pairs(open_members.where(F.col("members") <= SMALL), similarity)
     large = _large_pairs(open_members.where(F.col("members") > SMALL), texts, words, similarity)
     late = materialise(small.unionByName(large).distinct().join(pairs, ["a", "b"], "left_anti"), "late-pairs")
-    links = materialise(links.unionByName(_verified(late, texts, words, similarity)), "links")
+    linked = materialise(linked.unionByName(_verified(late, texts, words, similarity)), "links")
 
     ids = materialise(rows.select("id", "key"), "ids")
-    labels = components(links)
-    degree = materialise(_link_counts(labels, texts, words, similarity), "link-counts")
+    labels = components(linked)
     nodes = ids.groupBy("key").agg(F.min("id").alias("first"), F.count(F.lit(1)).alias("n_copies"))
     nodes = nodes.join(signed.select("key", "node"), "key")
-    nodes = nodes.join(labels, "node", "left").join(degree, "node", "left")
+    nodes = nodes.join(labels, "node", "left")
+    if links:
+        nodes = nodes.join(materialise(_link_counts(labels, texts, words, similarity), "link-counts"), "node", "left")
     nodes = materialise(nodes.withColumn("label", F.coalesce("label", "node")), "nodes")
     classes = nodes.groupBy("label").agg(F.min("first").alias("class_id"), F.sum("n_copies").alias("class_size"))
     known = materialise(nodes.join(classes, "label").drop("label", "first", "node"), "classes")
-    return ids.join(known, "key").select(
-        F.col("id").alias(id_col), "class_id", "class_size",
-        F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"), "n_copies",
-    )
+    counts = [F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links")] if links else []
+    return ids.join(known, "key").select(F.col("id").alias(id_col), "class_id", "class_size", *counts, "n_copies")

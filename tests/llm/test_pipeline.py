@@ -2,6 +2,7 @@
 
 import re
 from collections import Counter
+from pathlib import Path
 
 import pytest
 from pyspark.sql import functions as F
@@ -87,3 +88,42 @@ def test_an_empty_table_passes_all_stages(spark, nothing, sf_dir):
     for _, stage in pipeline.STAGES:
         left = stage(spark, left, sf_dir)
     assert left.count() == 0
+
+
+def test_an_empty_benchmark_keeps_everything(spark, odd, tmp_path):
+    spark.createDataFrame([], "item_id bigint, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
+    assert pipeline.decontamination(spark, odd, str(tmp_path)).count() == odd.count()
+
+
+@pytest.mark.parametrize(("block", "blocks"), [(3, 1000), (3, 1), (500_000, 8)], ids=["blocks", "merge", "one"])
+def test_dropped_rows_go_whatever_their_number(spark, odd, monkeypatch, block, blocks):
+    """The list of dropped rows in many blocks, by a shuffled join, and in one block."""
+    monkeypatch.setattr(pipeline, "BLOCK", block)
+    monkeypatch.setattr(pipeline, "BLOCKS", blocks)
+    rows, row = pipeline._known(odd)
+    gone = rows.where("text is null or length(text) % 2 = 0")
+    left = pipeline._without(rows, row, gone)
+    assert left.columns == odd.columns
+    wanted = sorted(map(str, odd.where("length(text) % 2 = 1").collect()))
+    assert sorted(map(str, left.collect())) == wanted
+
+
+def plan_of(df):
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_no_text_is_shuffled_to_drop_rows(spark, docs, sf_dir):
+    assert "Exchange" not in plan_of(pipeline.quality(spark, docs, sf_dir))
+    for stage in (pipeline.near_dedup, pipeline.decontamination):
+        plan = plan_of(stage(spark, docs, sf_dir))
+        assert "BroadcastHashJoin" in plan and "Exchange hashpartitioning" not in plan
+
+
+def test_stages_leave_no_scratch_tables(spark, sf_dir):
+    from isobar.storage import scratch_root
+
+    folder = Path(scratch_root(spark).removeprefix("file://"))
+    before = {path.name for path in folder.iterdir()}
+    pipeline.run(spark, sf_dir)
+    made = {path.name for path in folder.iterdir()} - before
+    assert len(made) == len(pipeline.STAGES) and all(name.startswith("stage-") for name in made)
