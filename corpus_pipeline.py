@@ -5,13 +5,16 @@ stages before it kept, and the folder of the tables, and returns what it keeps w
 columns, but for the last, which returns the pieces of the packed sequences.
 
 A row is known by its id and its text together, so ids that are null or repeated do no
-harm: rows of one id with different texts are judged apart. Stages remove rows by the
-list of what they drop, which is short beside what they keep.
+harm: rows of one id with different texts are judged apart. The classifier judges a row
+where it is read. The other stages remove rows by the list of what they drop, which goes
+out in blocks of bounded size, so that no text is shuffled to drop others; only a list of
+more blocks than may be held at once is joined by shuffling.
 """
 
 from __future__ import annotations
 
 from collections.abc import Callable
+from math import ceil
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -19,9 +22,12 @@ from pyspark.sql import functions as F
 from isobar.llm.decontamination import contamination
 from isobar.llm.exact_dedup import exact_groups
 from isobar.llm.ngram_join import near_duplicates
-from isobar.llm.quality import quality_scores
+from isobar.llm.quality import good_documents
 from isobar.llm.queries import learned_labels, packed
-from isobar.storage import materialise, scratch_path
+from isobar.storage import materialise, scratch_path, scratch_scope
+
+#: Dropped rows sent out in a block, some 50 MB as a hash table, and blocks held at once.
+BLOCK, BLOCKS = 500_000, 8
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
@@ -37,15 +43,19 @@ def _known(docs: DataFrame) -> tuple[DataFrame, str]:
 def _without(docs: DataFrame, row: str, dropped: DataFrame) -> DataFrame:
     """``docs`` without the rows in the one column of ``dropped``."""
     gone = materialise(dropped.select(F.col(row).alias("gone")).distinct(), "dropped")
-    return docs.join(gone, docs[row].eqNullSafe(gone["gone"]), "left_anti").drop(row)
+    blocks = max(1, ceil(gone.count() / BLOCK))
+    if blocks > BLOCKS:
+        return docs.join(gone.hint("merge"), docs[row].eqNullSafe(gone["gone"]), "left_anti").drop(row)
+    for block in range(blocks):
+        own = gone if blocks == 1 else gone.where(F.pmod(F.xxhash64("gone"), F.lit(blocks)) == block)
+        docs = docs.join(F.broadcast(own), docs[row].eqNullSafe(own["gone"]), "left_anti")
+    return docs.drop(row)
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents whose predicted quality is good enough."""
-    rows, row = _known(docs)
     labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
-    scored = quality_scores(rows, labels, learned_labels(), id_col=row, link="doc_id")
-    return _without(rows, row, scored.where("predicted = 0"))
+    return good_documents(docs, labels, learned_labels())
 
 
 def exact_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -65,7 +75,7 @@ def exact_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near duplicates: the one with the smallest id."""
     rows, row = _known(docs)
-    classes = near_duplicates(rows, id_col=row)
+    classes = near_duplicates(rows, id_col=row, links=False)
     return _without(rows, row, classes.where(~F.col(row).eqNullSafe(F.col("class_id"))))
 
 
@@ -98,6 +108,7 @@ def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     for name, stage in STAGES:
         path = scratch_path(spark, f"stage-{name}")
-        stage(spark, docs, sf_dir).write.parquet(path)
+        with scratch_scope(spark):
+            stage(spark, docs, sf_dir).write.parquet(path)
         docs = spark.read.parquet(path)
     return docs
