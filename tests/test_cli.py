@@ -124,3 +124,28 @@ def test_ingested_days_give_the_same_records(spark, base):
         for folder in (f"{base}/ingested", base)
     )
     assert sorted(found.collect()) == sorted(wanted.collect())
+
+
+def test_profiles_from_states_are_those_of_the_history(spark, base):
+    folder = f"{base}/states"
+    for _ in range(2):  # an ingest of one name counts once
+        main(["add-days", "--history", base, "--layout", "table", "--base", folder, "--name", "all"])
+    main(["compact", "profile-state", "--base", folder])
+    main(["enrich", "--states", folder, "--base", folder, "--skip-messages"])
+    columns = ["city", "year", "month", "total_days", "avg_temperature", "temp_median", "alert_probability"]
+    found, wanted = (
+        sorted(map(str, stored.enriched_profiles(spark, place, "table").select(*columns).collect())) for place in (folder, base)
+    )
+    assert found == wanted and len(found) == 4
+
+
+def test_a_merged_ingest_replaces_a_city(spark, base, tmp_path):
+    folder = str(tmp_path)
+    main(["ingest", "--history", base, "--layout", "table", "--base", folder])
+    before = stored.daily_history(spark, folder, "rows").count()
+    response = {"latitude": 48.5, "longitude": 2.25, "city": "Paris", "country": "France", "daily": {"time": ["2024-02-01"], "temperature_2m_mean": [7.0]}}
+    put(f"{folder}/new/part.json", [response])
+    main(["land-history", "--responses", f"{folder}/new", "--base", f"{folder}/landed", "--skip-messages"])
+    main(["ingest", "--merge", "--history", f"{folder}/landed", "--layout", "table", "--base", folder])
+    after = {row.city: row["count"] for row in stored.daily_history(spark, folder, "rows").groupBy("city").count().collect()}
+    assert after == {"Paris": 1, "Lyon": before // 2}
