@@ -134,20 +134,20 @@ def enriched_profile(daily: DataFrame) -> DataFrame:
     return _profile(days, [*PLACE, "year", "month"], _climatology() | _dispersion())
 
 
-def quartiles(daily: DataFrame, accuracy: int = 10000) -> DataFrame:
-    """Quartiles of mean temperature and wind per city, year and month.
+def quartiles(daily: DataFrame) -> DataFrame:
+    """Quartiles of mean temperature and wind per city, year and month: exact nearest ranks.
 
-    One sketch per measure yields all three ranks. Groups up to ``accuracy`` days give
-    exact nearest ranks; larger ones stay within 1/accuracy of the asked rank in
-    bounded memory. Pass validated_days(daily) to restrict the rows.
+    Every task counts the distinct values of a group before the shuffle. What is held of a
+    group are its values, as many as the resolution of a measurement allows, however many
+    days have them. Pass validated_days(daily) to restrict the rows.
     """
     days = with_month(daily.dropna(subset=["temperature_mean", "windspeed_mean"]))
-    ranks = F.array(*(F.lit(q) for q in QUARTILES))
-    sketched = days.groupBy(*CITY_MONTH).agg(
-        F.percentile_approx("temperature_mean", ranks, accuracy).alias("temp"),
-        F.percentile_approx("windspeed_mean", ranks, accuracy).alias("wind"),
+    ranks = ", ".join(f"{q}D" for q in QUARTILES)
+    counted = days.groupBy(*CITY_MONTH).agg(
+        F.expr(f"percentile_disc(array({ranks})) within group (order by temperature_mean)").alias("temp"),
+        F.expr(f"percentile_disc(array({ranks})) within group (order by windspeed_mean)").alias("wind"),
     )
-    return sketched.select(
+    return counted.select(
         *CITY_MONTH,
         *(
             F.col(measure)[i].alias(f"{measure}_{rank}")
@@ -157,12 +157,13 @@ def quartiles(daily: DataFrame, accuracy: int = 10000) -> DataFrame:
     )
 
 
-def full_profile(daily: DataFrame, quantile_scope: str = "all", unfold_once: bool = False) -> DataFrame:
+def full_profile(daily: DataFrame, quantile_scope: str = "all", unfold_once: bool = True) -> DataFrame:
     """Enriched profile with quartiles; their scope is "all" usable days or only "validated".
 
-    The two aggregate over different days and keys, each of which reads the days. With
-    ``unfold_once``, for days that come from documents, these are parsed once and the
-    columns in use stored.
+    The two aggregate over different days and keys, each of which reads the days. So the
+    days are made once, whether by parsing documents or by joins, and the columns in use
+    stored; without ``unfold_once``, for days that come straight from files, they are read
+    in place.
     """
     days = materialise(daily.select(*_MEASURED), "days") if unfold_once else daily
     scope = {"all": days, "validated": validated_days(days)}[quantile_scope]

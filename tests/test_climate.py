@@ -279,3 +279,16 @@ def test_latest_year(spark):
     rows = [("F", "P", 2019, 1), ("F", "P", 2021, 2), ("F", "L", 2020, 3)]
     df = spark.createDataFrame(rows, "country string, city string, year int, month int")
     assert {row.month for row in serving.latest_year(df).collect()} == {2, 3}
+
+
+def test_quartiles_of_large_groups_are_exact(spark):
+    """More days than a sketch keeps, in many parts: every rank is still the nearest."""
+    rows = 60_000
+    days = spark.range(0, rows, 1, 7).select(
+        F.lit("2020-01-05").alias("date"), F.lit(2020).alias("year"), F.lit("F").alias("country"),
+        F.lit("P").alias("city"), (F.pmod(F.col("id") * 7919, F.lit(rows)) + 0.5).alias("temperature_mean"),
+        (F.col("id") % 7 / 4).alias("windspeed_mean"),
+    )
+    found = profiles.quartiles(days).first()
+    assert (found.temp_q25, found.temp_median, found.temp_q75) == (14_999.5, 29_999.5, 44_999.5)
+    assert (found.wind_q25, found.wind_median, found.wind_q75) == (0.25, 0.75, 1.25)
