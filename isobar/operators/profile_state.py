@@ -1,25 +1,26 @@
 """Climate profiles that are kept up to date: states of days that merge.
 
 A state holds, by place, year and month, counts, sums, centred second moments, extremes and
-alert days, and by city, year and month a quantile sketch of either mean. The state of new
-days is added to what is there; days that are in a state are never read again.
+alert days, and by city, year and month the days of every value of either mean, so that merged
+quartiles are exact. The state of new days is added to what is there; days that are in a state
+are never read again.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from isobar.functions.calendar import with_month
 from isobar.functions.deviations import share_percent
 from isobar.operators.profiles import CITY_MONTH, PLACE, QUARTILES, grade_days, usable_days, validated_days
 
-#: Size parameter of a sketch: below about this many days its quartiles are exact ranks,
-#: beyond it they stay within about 2.5 / SKETCH ** 0.9 of the asked rank.
+#: Size of the sketches that held the values before; what they could be off by is still tested against.
 SKETCH = 4096
 
 KEYS = [*PLACE, "year", "month"]
 _SUMMED = ("temperature_mean", "temperature_max", "temperature_min", "windspeed_mean", "windspeed_max", "precipitation")
+_RANKED = {"temp": "temperature_mean", "wind": "windspeed_mean"}
 _SPREAD = ("temperature_mean", "windspeed_mean")
 _LOWEST = ("temperature_mean", "temperature_min", "windspeed_mean", "windspeed_max")
 _HIGHEST = ("temperature_mean", "temperature_max", "windspeed_mean", "windspeed_max")
@@ -42,13 +43,14 @@ def moments_of(daily: DataFrame) -> DataFrame:
     return _moments(usable_days(daily), "usable").unionByName(_moments(validated_days(daily), "validated"))
 
 
-def ranks_of(daily: DataFrame, size: int = SKETCH) -> DataFrame:
-    """Quantile sketches of both means, over the days that quartiles() takes."""
+def ranks_of(daily: DataFrame) -> DataFrame:
+    """How many days have each value of either mean, over the days that quartiles() takes."""
     days = with_month(daily.dropna(subset=["temperature_mean", "windspeed_mean"]))
-    return days.groupBy(*CITY_MONTH).agg(
-        F.kll_sketch_agg_double("temperature_mean", size).alias("temp"),
-        F.kll_sketch_agg_double("windspeed_mean", size).alias("wind"),
+    means = F.array(
+        *(F.struct(F.lit(measure).alias("measure"), F.col(name).alias("value")) for measure, name in _RANKED.items())
     )
+    unfolded = days.select(*CITY_MONTH, F.inline(means))
+    return unfolded.groupBy(*CITY_MONTH, "measure", "value").agg(F.count(F.lit(1)).alias("days"))
 
 
 def merged_moments(states: DataFrame, keys: list[str]) -> DataFrame:
@@ -65,10 +67,8 @@ def merged_moments(states: DataFrame, keys: list[str]) -> DataFrame:
     return states.groupBy("scope", *keys).agg(*measures)
 
 
-def merged_ranks(states: DataFrame, size: int = SKETCH) -> DataFrame:
-    return states.groupBy(*CITY_MONTH).agg(
-        F.kll_merge_agg_double("temp", size).alias("temp"), F.kll_merge_agg_double("wind", size).alias("wind")
-    )
+def merged_values(states: DataFrame) -> DataFrame:
+    return states.groupBy(*CITY_MONTH, "measure", "value").agg(F.sum("days").alias("days"))
 
 
 def _mean(name: str) -> Column:
@@ -120,17 +120,21 @@ def seasonal_from(moments: DataFrame) -> DataFrame:
     return merged.select(*keys, *_climatology(), _probability())
 
 
-def quartiles_from(ranks: DataFrame, size: int = SKETCH) -> DataFrame:
-    """What quartiles() gives, from merged sketches."""
-    merged = merged_ranks(ranks, size)
+def quartiles_from(values: DataFrame) -> DataFrame:
+    """What quartiles() gives: the first value up to which there are as many days as the rank asks for."""
+    group = Window.partitionBy(*CITY_MONTH, "measure")
+    upto = group.orderBy("value").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    ranked = merged_values(values).withColumns({"upto": F.sum("days").over(upto), "of": F.sum("days").over(group)})
     columns = [
-        F.kll_sketch_get_quantile_double(measure, F.lit(q)).alias(f"{measure}_{name}")
-        for measure in ("temp", "wind")
+        F.min(F.when((F.col("measure") == measure) & (F.col("upto") >= F.ceil(F.col("of") * q)), F.col("value"))).alias(
+            f"{measure}_{name}"
+        )
+        for measure in _RANKED
         for q, name in zip(QUARTILES, ("q25", "median", "q75"), strict=True)
     ]
-    return merged.select(*CITY_MONTH, *columns)
+    return ranked.groupBy(*CITY_MONTH).agg(*columns)
 
 
-def full_profile_from(moments: DataFrame, ranks: DataFrame) -> DataFrame:
+def full_profile_from(moments: DataFrame, values: DataFrame) -> DataFrame:
     """What full_profile() gives over all the days of the states."""
-    return enriched_from(moments).join(quartiles_from(ranks), CITY_MONTH, "left")
+    return enriched_from(moments).join(quartiles_from(values), CITY_MONTH, "left")

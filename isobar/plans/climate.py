@@ -293,7 +293,7 @@ def profile_full(spark: SparkSession, sf_dir: str) -> DataFrame:
 def _states(spark: SparkSession, sf_dir: str) -> str:
     """Days ingested in three parts, of which the first two are merged into one."""
     base = scratch_path(spark, "states")
-    days = tables.daily(spark, sf_dir)
+    days = materialise(tables.daily(spark, sf_dir), "days")
     for third in range(3):
         profile_store.add_days(days.where(F.dayofyear("date") % 3 == third), base, f"third-{third}")
         if third == 1:

@@ -14,10 +14,10 @@ def _root(base: str) -> str:
     return f"{base}/profile_state"
 
 
-def _write(moments: DataFrame, ranks: DataFrame, folder: str) -> None:
+def _write(moments: DataFrame, values: DataFrame, folder: str) -> None:
     # A lost writer leaves a folder that no manifest names; the next one writes over it.
     moments.write.mode("overwrite").parquet(f"{folder}/moments")
-    ranks.write.mode("overwrite").parquet(f"{folder}/ranks")
+    values.write.mode("overwrite").parquet(f"{folder}/values")
 
 
 def add_days(daily: DataFrame, base: str, name: str | None = None) -> bool:
@@ -36,15 +36,15 @@ def add_days(daily: DataFrame, base: str, name: str | None = None) -> bool:
 
 
 def stored_state(spark: SparkSession, base: str) -> tuple[DataFrame, DataFrame]:
-    """(moments, ranks) of all parts that count, not merged yet."""
+    """(moments, values) of all parts that count, not merged yet."""
     root = _root(base)
     parts = manifest.newest(spark, root).parts
     if not parts:
         raise ValueError(f"no profile state is stored below {base}")
-    moments, ranks = (
-        spark.read.parquet(*(f"{root}/{part}/{kind}" for part in parts)) for kind in ("moments", "ranks")
+    moments, values = (
+        spark.read.parquet(*(f"{root}/{part}/{kind}" for part in parts)) for kind in ("moments", "values")
     )
-    return moments, ranks
+    return moments, values
 
 
 def stored_full_profile(spark: SparkSession, base: str) -> DataFrame:
@@ -61,9 +61,9 @@ def compact_state(spark: SparkSession, base: str) -> None:
     before = manifest.newest(spark, root)
     if len(before.parts) < 2:
         return
-    moments, ranks = stored_state(spark, base)
+    moments, values = stored_state(spark, base)
     part = f"merged-{uuid.uuid4().hex}"
     merged = profile_state.merged_moments(moments, profile_state.KEYS)
-    _write(merged, profile_state.merged_ranks(ranks), f"{root}/{part}")
+    _write(merged, profile_state.merged_values(values), f"{root}/{part}")
     known = dict(before.covered) | {name: 1 for name in before.parts if name.startswith("days-")}
     manifest.commit(spark, root, before, (part,), known)
