@@ -16,6 +16,8 @@ from isobar.sinks import manifest
 from isobar.storage import materialise
 
 PLACE = ["country", "city"]
+#: Days of a file, about.
+ROWS = 1_000_000
 
 
 def _root(base: str) -> str:
@@ -31,12 +33,16 @@ def _write(daily: DataFrame, root: str) -> str:
 
     A large city spans many files, and a lookup skips those of other cities by their
     statistics. The row number spreads rows equal in all else; it is stable because
-    ``daily`` comes straight from a scan of files.
+    ``daily`` must come straight from a scan of files. Their number grows with the rows, so
+    that no task sorts more than about ROWS.
     """
     part = f"part-{uuid.uuid4().hex}"
     order = [*PLACE, "date"]
     numbered = daily.select(*schemas.DAILY.fieldNames(), F.monotonically_increasing_id().alias("_row"))
-    clustered = numbered.repartitionByRange(*order, "_row").sortWithinPartitions(*order)
+    files = -(-daily.count() // ROWS)
+    many = files > int(daily.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    ranged = numbered.repartitionByRange(*([files] if many else []), *order, "_row")
+    clustered = ranged.sortWithinPartitions(*order)
     clustered.drop("_row").write.parquet(f"{root}/{part}")
     return part
 
@@ -45,8 +51,10 @@ def _statistics(spark: SparkSession, root: str, part: str) -> DataFrame:
     """(file, country, first_city, last_city, days) of the files of a part."""
     rows = spark.read.schema(schemas.DAILY).parquet(f"{root}/{part}")
     file = F.concat(F.lit(f"{part}/"), F.col("_metadata.file_name")).alias("file")
-    return rows.groupBy(file, _named("country")).agg(
-        F.min(_named("city")).alias("first_city"), F.max(_named("city")).alias("last_city"), F.count(F.lit(1)).alias("days")
+    # By city first, which hashes: the least and greatest of texts alone would sort all rows of a task.
+    cities = rows.groupBy(file, _named("country"), _named("city")).agg(F.count(F.lit(1)).alias("days"))
+    return cities.groupBy("file", "country").agg(
+        F.min("city").alias("first_city"), F.max("city").alias("last_city"), F.sum("days").alias("days")
     )
 
 
@@ -90,7 +98,8 @@ def store_daily(daily: DataFrame, base: str) -> None:
     """Replace all stored days."""
     spark, root = daily.sparkSession, _root(base)
     before = manifest.newest(spark, root)
-    part = _write(daily, root)
+    # Stored first: the ranges are sampled from, and rows numbered over, files instead of a join or a parser.
+    part = _write(materialise(daily.select(*schemas.DAILY.fieldNames()), "all-days"), root)
     _commit(spark, root, before, _statistics(spark, root, part))
 
 

@@ -227,3 +227,34 @@ def test_scratch_tables_go_with_their_scope(spark):
     with pytest.raises(ZeroDivisionError), scratch_scope(spark):
         1 / 0
     assert os.path.exists(kept.removeprefix("file://"))
+
+
+def test_quartiles_of_a_large_group_are_exact(spark):
+    """Merged states give every rank exactly, however many days and parts there are."""
+    number = 60_000
+    days = spark.range(number).select(
+        F.lit("2020-01-05").alias("date"), F.lit(2020).alias("year"), F.lit("A").alias("city"), F.lit("F").alias("country"),
+        F.pmod(F.col("id") * 7919, F.lit(number)).cast("double").alias("temperature_mean"),
+        (F.col("id") % 7 / 4).alias("windspeed_mean"),
+    )
+    first, second = (profile_state.ranks_of(days.where(f"temperature_mean % 2 = {n}")) for n in range(2))
+    row = profile_state.quartiles_from(first.unionByName(second)).first()
+    assert (row.temp_q25, row.temp_median, row.temp_q75) == (14_999.0, 29_999.0, 44_999.0)
+    assert (row.wind_q25, row.wind_median, row.wind_q75) == (0.25, 0.75, 1.25)
+
+
+def test_files_are_ranges_of_bounded_size(spark, folder, monkeypatch):
+    """More rows make more files, not larger ones."""
+    monkeypatch.setattr(daily_store, "ROWS", 100, raising=False)
+    days = days_of(spark, [f"City{i:02d}" for i in range(50)])
+    daily_store.store_daily(days, folder)
+    held = daily_store.live_files(spark, folder).groupBy("file").agg(F.sum("days").alias("days")).collect()
+    assert len(held) > 10 and max(row.days for row in held) < 400
+    assert bag(daily_store.stored_days(spark, folder)) == bag(days)
+
+
+def test_the_list_of_files_sorts_no_days(spark, folder):
+    days_of(spark, ["A", "B"]).write.parquet(f"{folder}/part-a")
+    plan = daily_store._statistics(spark, folder, "part-a")._jdf.queryExecution().executedPlan().toString()
+    below = plan.split("Exchange hashpartitioning")[-1]
+    assert "HashAggregate" in below and "SortAggregate" not in below
