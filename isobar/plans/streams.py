@@ -248,12 +248,12 @@ select count(*) as "rows", count(distinct coalesce(country || '/' || city, latit
 def stream_distinct_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Totals of two runs over the same stream: keys that both have seen count once."""
     totals = None
+    profile = reference(spark, sf_dir)
     for half in (0, 1):
         base = scratch_path(spark, "statistics")
-        profile = reference(spark, sf_dir)
         events = tables.event_stream(spark, sf_dir).where(F.col("event_id") % 2 == half)
         jobs.start_anomaly_detector(
-            _flat_messages(events), lambda profile=profile: profile, f"{base}/checkpoint",
+            _flat_messages(events), lambda: profile, f"{base}/checkpoint",
             statistics=f"{base}/statistics", trigger=_UNTIL_READ,
         ).awaitTermination()
         read = spark.read.schema("rows bigint, anomalies bigint, keys binary").json(f"{base}/statistics")

@@ -8,7 +8,8 @@ from pyspark.sql import functions as F
 from isobar import schemas
 from isobar.operators import profiles, readings, records, serving, summaries, windows
 from isobar.operators.joins import lookup
-from isobar.plans import registered
+from isobar.plans import registered, streams
+from isobar.plans.anomaly import reference
 from isobar.sources import tables
 from isobar.storage import materialise
 
@@ -128,3 +129,18 @@ def test_only_the_named_fields_are_parsed(spark):
     plan = plan_of(found)
     parsed = plan[plan.index("from_json(") :].split("\n", 1)[0]
     assert "StructField(temperature" in parsed and "weathercode" not in parsed and "winddirection" not in parsed
+
+
+def test_a_session_of_others_shuffles_in_many_parts(spark, sf_dir):
+    """What a task of a join sorts is bounded by its advisory size, not by the number of partitions set."""
+    setting = "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
+    spark.conf.unset(setting)
+    tables.daily(spark, sf_dir)
+    assert int(spark.conf.get(setting)) >= 400
+
+
+def test_distinct_keys_make_their_profile_once(spark, sf_dir, monkeypatch):
+    made = []
+    monkeypatch.setattr(streams, "reference", lambda *args: made.append(args) or reference(*args))
+    assert streams.stream_distinct_keys(spark, sf_dir).first().rows == 1000
+    assert len(made) == 1
