@@ -45,7 +45,8 @@ ROUNDS = 2
 STRIDE = ROUNDS
 #: Tasks whose weights are averaged in one step, and weights of one row.
 FAN_IN, SLICE = 64, 16_384
-_STEP, _BLOCK = 1024, 16_384
+#: Words of a gradient step, and words scored at once, whose logits fit the processor's cache.
+_STEP, _BLOCK = 1024, 2048
 #: Words handled at once, a longer document alone.
 _WORDS = 1 << 18
 _RATE = 0.3
@@ -198,8 +199,8 @@ class Network:
         return Network(*parts)
 
     def _hidden(self, around: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        near = self.embeddings[around]
-        return near, np.tanh((near * self.distances).sum(axis=1) + self.bias)
+        near = np.take(self.embeddings, around, axis=0)
+        return near, np.tanh(np.einsum("ndw,dw->nw", near, self.distances) + self.bias)
 
     def log_classes(self, around: np.ndarray, classes: np.ndarray) -> np.ndarray:
         """Log probability of each row's class, given the ids around it."""
@@ -223,11 +224,11 @@ class Network:
         sorted_ids = flat[order]
         starts = np.flatnonzero(np.concatenate([[True], sorted_ids[1:] != sorted_ids[:-1]]))
         ids, number = sorted_ids[starts], np.diff(np.append(starts, len(flat)))
-        pulls = (back[:, None, :] * self.distances).reshape(-1, WIDTH)[order]
+        pulls = np.take((back[:, None, :] * self.distances).reshape(-1, WIDTH), order, axis=0)
         summed = np.add.reduceat(pulls, starts, axis=0)
         self.output -= rate * (hidden.T @ error) / size * 4
         self.output_bias -= rate * error.sum(axis=0) / size * 4
-        self.distances -= rate * (near * back[:, None, :]).sum(axis=0) / size
+        self.distances -= rate * np.einsum("ndw,nw->dw", near, back) / size
         self.bias -= rate * back.sum(axis=0) / size
         self.embeddings[ids] -= rate * summed / np.sqrt(number)[:, None].astype(np.float32)
 
