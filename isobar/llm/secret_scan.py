@@ -198,13 +198,15 @@ class CharNetwork:
         ]
         return np.concatenate([np.empty(0, np.float32), *parts])
 
-    def gradients(self, symbols: np.ndarray, inside: np.ndarray, labels: np.ndarray) -> tuple[float, dict[str, np.ndarray]]:
-        """The mean cross-entropy and its gradient."""
+    def gradients(
+        self, symbols: np.ndarray, inside: np.ndarray, labels: np.ndarray, shares: np.ndarray | float = 1.0
+    ) -> tuple[float, dict[str, np.ndarray]]:
+        """The mean cross-entropy, each row's taken by its share, and its gradient."""
         w = self.weights
         seen, raised, own, number, top, top_around, pooled, logit = self._forward(symbols, inside)
         chance = 1 / (1 + np.exp(-np.clip(logit, -30, 30)))
-        loss = float(np.mean(np.logaddexp(0, logit) - labels * logit))
-        error = ((chance - labels) / len(labels)).astype(np.float32)
+        loss = float(np.mean(shares * (np.logaddexp(0, logit) - labels * logit)))
+        error = (shares * (chance - labels) / len(labels)).astype(np.float32)
         back = error[:, None] * w["output"]
         f = _FILTERS
         hidden = np.repeat((back[:, None, f : 2 * f] / number[:, None]) * 1.0, seen.shape[1], axis=1) * own
@@ -254,12 +256,14 @@ class Learner:
                 at += value.size
         return Learner(CharNetwork(parts[0]), parts[1], parts[2], float(flat[at]))
 
-    def learn(self, symbols: np.ndarray, inside: np.ndarray, labels: np.ndarray, order: np.random.Generator) -> None:
+    def learn(
+        self, symbols: np.ndarray, inside: np.ndarray, labels: np.ndarray, shares: np.ndarray, order: np.random.Generator
+    ) -> None:
         """Adam over shuffled batches, once over all rows."""
         weights, mixed = self.network.weights, order.permutation(len(labels))
         for at in range(0, len(mixed), _BATCH):
             own = mixed[at : at + _BATCH]
-            _, pulls = self.network.gradients(symbols[own], inside[own], labels[own])
+            _, pulls = self.network.gradients(symbols[own], inside[own], labels[own], shares[own])
             self.step += 1
             for name, pull in pulls.items():
                 self.first[name] += 0.1 * (pull - self.first[name])
@@ -405,19 +409,21 @@ def _dealt(lessons: DataFrame) -> DataFrame:
                     pa.array(np.arange(len(owners)) - np.searchsorted(owners, owners)),
                     pa.array([row.tobytes() for row in symbols], pa.binary()),
                     pa.array(inside.sum(axis=1).astype(np.int32)), batch.column("label").take(pa.array(owners)),
+                    # A lesson counts once, however many windows it has.
+                    pa.array((1 / np.bincount(owners)[owners]).astype(np.float32)),
                 ],
-                ["lesson", "number", "symbols", "size", "label"],
+                ["lesson", "number", "symbols", "size", "label", "share"],
             )
 
     lesson = F.xxhash64("left", "value", "right", "label").alias("lesson")
     each = lessons.select(lesson, "left", "value", "right", "label").mapInArrow(
-        run, "lesson bigint, number bigint, symbols binary, size int, label float"
+        run, "lesson bigint, number bigint, symbols binary, size int, label float, share float"
     )
     task = F.pmod(F.xxhash64("lesson", "number"), F.lit(tasks)).cast("int")
     rows = each.withColumn("task", task).repartition(tasks, "task").groupBy("task")
     # Sorted, so that every run learns in the same order.
-    own = rows.agg(F.array_sort(F.collect_list(F.struct("lesson", "number", "symbols", "size", "label"))).alias("own"))
-    return materialise(own.select("task", "own.symbols", "own.size", "own.label"), "windows")
+    own = rows.agg(F.array_sort(F.collect_list(F.struct("lesson", "number", "symbols", "size", "label", "share"))).alias("own"))
+    return materialise(own.select("task", "own.symbols", "own.size", "own.label", "own.share"), "windows")
 
 
 def _averaged(parts: DataFrame) -> np.ndarray:
@@ -438,13 +444,13 @@ def _trained(dealt: DataFrame, rounds: int) -> CharNetwork:
 
         def learn(batches: Iterator[pa.RecordBatch], number: int = number, shared=shared) -> Iterator[pa.RecordBatch]:
             for batch in batches:
-                for task, symbols, size, labels in zip(*batch.columns, strict=True):
+                for task, symbols, size, labels, shares in zip(*batch.columns, strict=True):
                     learner = shared.value.replaced(shared.value.flat())
                     symbols = np.frombuffer(b"".join(symbols.values.to_pylist()), np.uint8).reshape(len(labels.values), -1)
                     place = np.arange(symbols.shape[1]) - LEFT
                     inside = ((place >= 0) & (place < size.values.to_numpy()[:, None])).astype(np.float32)
                     order = np.random.default_rng([5, number, task.as_py()])
-                    learner.learn(symbols, inside, labels.values.to_numpy(), order)
+                    learner.learn(symbols, inside, labels.values.to_numpy(), shares.values.to_numpy(), order)
                     state = pa.array([learner.flat()], pa.list_(pa.float64()))
                     yield pa.RecordBatch.from_arrays([pa.array([len(symbols)]), state], ["number", "state"])
 
